@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ratio_or_zero
+from ..functions.numeric import half_up, ratio_or_zero
 from ..schemas import SPINE_TYPES
 
 
@@ -100,7 +100,6 @@ def daily_metrics(
     c = F.col
     daily = daily_activity(orders, shipments, returns, reviews, sellers).select(
         "*",
-        F.try_divide(c("gmv").cast("double"), c("gmv_rows")).alias("mean_order_value"),
         F.try_divide(c("unit_price").cast("double"), c("price_rows")).alias("mean_price"),
     )
     windowed = daily.select(
@@ -114,17 +113,17 @@ def daily_metrics(
         "metric_date": c("metric_date"),
         "order_volume": c("order_volume"),
         "gmv": c("gmv"),
-        "avg_order_value": F.coalesce(c("mean_order_value"), F.lit(0)),
+        "avg_order_value": F.coalesce(F.try_divide(c("gmv"), c("gmv_rows")), F.lit(0)),
         "defect_rate": ratio_or_zero(c("defect_returns"), c("order_volume")),
         "late_shipment_rate": ratio_or_zero(c("late_shipments"), c("shipment_count")),
         "cancellation_rate": ratio_or_zero(c("cancelled_orders"), c("order_volume")),
         "return_rate": ratio_or_zero(c("return_count"), c("order_volume")),
-        "refund_rate": ratio_or_zero(c("refund_amount").cast("double"), c("gmv").cast("double")),
+        "refund_rate": half_up(ratio_or_zero(c("refund_amount").cast("double"), c("gmv").cast("double")), 4),
         "avg_rating": F.try_divide(c("rating_sum"), c("rating_rows")),
         "review_count": c("review_count"),
         "review_velocity": F.coalesce(c("velocity"), F.lit(0)),
         "negative_review_rate": ratio_or_zero(c("negative_reviews"), c("review_count")),
-        "avg_price": c("mean_price"),
+        "avg_price": F.try_divide(c("unit_price"), c("price_rows")),
         "price_volatility": F.coalesce(c("volatility"), F.lit(0)),
         "order_growth_rate_dod": F.when(
             c("previous_volume") > 0, (c("order_volume") - c("previous_volume")) / c("previous_volume")

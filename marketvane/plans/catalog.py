@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, IntegerType, ShortType
 
-from ..functions.numeric import snap
+from ..functions.numeric import half_up, snap
 from ..operators import baselines, detectors
 from ..registry import METHODS
 from ..sources.activity import ACTIVITY_METRICS, activity_series
@@ -61,11 +61,11 @@ def plain(frame: DataFrame) -> DataFrame:
 def _flag_view(frame: DataFrame) -> DataFrame:
     """Flags with their measured values at six decimals."""
     measured = ("baseline_value", "observed_value", "deviation_abs", "deviation_pct")
-    return frame.withColumns({m: F.round(m, 6) for m in measured}).drop("metric")
+    return frame.withColumns({m: half_up(F.col(m), 6) for m in measured}).drop("metric")
 
 
 def _rounded(frame: DataFrame, *columns: str) -> DataFrame:
-    return frame.withColumns({x: F.round(x, 6) for x in columns})
+    return frame.withColumns({x: half_up(F.col(x), 6) for x in columns})
 
 
 def _ticket_view(frame: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def activity_series(spark: SparkSession, folder: str) -> DataFrame:
     daily = events.groupBy(F.col("user_id").alias("seller_id"), F.to_date("ts").alias("metric_date")).agg(
         F.count("*").alias("n"),
         F.count_if(F.col("event_type") == "error").alias("errors"),
-        F.sum(value).cast("double").alias("total"),
+        F.sum(value).alias("total"),
         F.count(value).alias("valued"),
     )
     return daily.select(

@@ -74,7 +74,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.date_add(_day("2020-01-01"), F.floor(real_days / 7).cast("int")).alias("order_date"),
         quantity.alias("quantity"),
-        (gmv.cast("double") / quantity).cast("decimal(10,2)").alias("unit_price"),
+        (gmv / quantity).cast("decimal(10,2)").alias("unit_price"),
         gmv.alias("gmv"),
         F.col("o_orderstatus").alias("source_status"),
         ((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")).alias("is_cancelled"),
