@@ -50,8 +50,8 @@ def _magnitude_bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("long")
 
 
-def rank_percent(df: DataFrame, value: str, name: str, spread_by: list[str]) -> DataFrame:
-    """Percent rank 0-100 with ties sharing their average rank: 100 * average rank / n.
+def rank_table(df: DataFrame, value: str) -> DataFrame:
+    """(value, percent rank 0-100) with ties sharing their average rank: 100 * average rank / n.
 
     Equal values are counted first, so a hot value is one row; running counts are taken inside
     magnitude buckets and shifted by the counts of the lower buckets.
@@ -61,24 +61,25 @@ def rank_percent(df: DataFrame, value: str, name: str, spread_by: list[str]) ->
         .agg(F.count("*").alias("_n"))
         .withColumn("_b", _magnitude_bucket(F.col("_v").cast("double")))
     )
-    lower = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = Window.orderBy("_b")
+    lower = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    all_of_them = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     buckets = (
         counts.groupBy("_b")
         .agg(F.sum("_n").alias("_bn"))
         .select(
             "_b",
             F.coalesce(F.sum("_bn").over(lower), F.lit(0)).alias("_before"),
-            F.sum("_bn").over(everything.orderBy("_b")).alias("_total"),
+            F.sum("_bn").over(all_of_them).alias("_total"),
         )
     )
     upto = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     below = F.col("_before") + F.sum("_n").over(upto) - F.col("_n")
-    ranks = counts.join(buckets, "_b").select(
-        "_v", ((below + (F.col("_n") + 1) / 2) / F.col("_total") * 100).alias("_rank")
-    )
-    return (
-        salted_join(df.withColumn("_v", F.col(value)), ranks, ["_v"], spread_by)
-        .withColumnRenamed("_rank", name)
-        .drop("_v")
+    return counts.join(buckets, "_b").select(
+        F.col("_v").alias(value), ((below + (F.col("_n") + 1) / 2) / F.col("_total") * 100).alias("_rank")
     )
+
+
+def with_rank(df: DataFrame, ranks: DataFrame, value: str, name: str, spread_by: list[str]) -> DataFrame:
+    """Attach a rank table; rows of a hot value are spread over tasks."""
+    return salted_join(df, ranks, [value], spread_by).withColumnRenamed("_rank", name)

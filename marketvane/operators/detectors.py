@@ -21,19 +21,20 @@ from ..registry import (
 from .baselines import cohort_zscore, long_cohort_stats, metric_name, self_zscore, unit_of
 
 
-def _direction(metrics) -> Column:
-    return metric_attribute(F.col("metric"), [m.direction for m in metrics])
+def _ordinals(metrics, *directions) -> list[int]:
+    return [i for i, m in enumerate(metrics) if m.direction in directions]
 
 
-def _directed(direction: Column, delta: Column) -> Column:
-    """Whether a change goes the bad way."""
-    return (direction == "both") | ((direction == "up") & (delta > 0)) | ((direction == "down") & (delta < 0))
+def _may(metrics, direction: str) -> Column:
+    """Whether a change in this direction is bad for the row's metric."""
+    return F.col("metric").isin(_ordinals(metrics, direction, "both"))
 
 
 def _is_z_candidate(metrics, threshold) -> Column:
     """Far from the seller's own baseline, the bad way; the peer test follows."""
+    change = F.col("units") - F.col("roll_mean")
     far = snap(F.abs(self_zscore())) >= threshold
-    return far & _directed(_direction(metrics), F.col("units") - F.col("roll_mean"))
+    return far & ((_may(metrics, "up") & (change > 0)) | (_may(metrics, "down") & (change < 0)))
 
 
 def _fences(multiplier):
@@ -44,18 +45,16 @@ def _fences(multiplier):
 
 def _is_iqr_outlier(metrics, multiplier) -> Column:
     lower, upper, spread = _fences(multiplier)
-    direction = _direction(metrics)
-    below, above = F.col("units") < lower, F.col("units") > upper
-    outside = ((direction != "down") & above) | ((direction != "up") & below)
-    return (spread > 0) & outside & ~metric_name(metrics).isin(*IQR_EXCLUDED)
+    outside = (_may(metrics, "up") & (F.col("units") > upper)) | (_may(metrics, "down") & (F.col("units") < lower))
+    excluded = [i for i, m in enumerate(metrics) if m.name in IQR_EXCLUDED]
+    return (spread > 0) & outside & ~F.col("metric").isin(excluded)
 
 
 def _cusum(metrics) -> Column:
     """The cumulative sum of the metric's bad direction, in anchor deviations."""
-    direction = _direction(metrics)
-    up, down = F.col("cusum_up"), F.col("cusum_down")
-    raw = F.when(direction == "up", up).when(direction == "down", down).otherwise(F.greatest(up, down))
-    return snap(F.try_divide(raw, F.col("anchor_std")))
+    up = F.when(_may(metrics, "up"), F.col("cusum_up"))
+    down = F.when(_may(metrics, "down"), F.col("cusum_down"))
+    return snap(F.try_divide(F.greatest(up, down), F.col("anchor_std")))
 
 
 def candidates(
@@ -65,15 +64,29 @@ def candidates(
     iqr_multiplier: float = IQR_MULTIPLIER,
     alarm: float = CUSUM_ALARM,
 ) -> DataFrame:
-    """The readings at least one detector may flag: a few percent of the profile, found in one pass."""
-    marked = profile.withColumns(
-        {
-            "z_candidate": F.coalesce(_is_z_candidate(metrics, z_threshold), F.lit(False)),
-            "iqr_outlier": F.coalesce(_is_iqr_outlier(metrics, iqr_multiplier), F.lit(False)),
-            "cusum_alarm": F.coalesce(_cusum(metrics) > alarm, F.lit(False)),
-        }
+    """The readings at least one detector may flag: a few percent of the profile, found in one pass.
+
+    A drift alarm counts on the first day of a run only: no alarm on the three days before. The
+    last window reuses the order of the profile.
+    """
+    before = (
+        Window.partitionBy("seller_id", "metric").orderBy("metric_date").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    alarmed = F.coalesce(F.col("cusum") > alarm, F.lit(False))
+    previous = F.max(F.when(alarmed, F.col("metric_date"))).over(before)
+    waited = F.coalesce(F.datediff("metric_date", "_previous") > CUSUM_REARM_DAYS, F.lit(True))
+    marked = (
+        profile.withColumn("cusum", _cusum(metrics))
+        .withColumn("_previous", previous)
+        .withColumns(
+            {
+                "z_candidate": F.coalesce(_is_z_candidate(metrics, z_threshold), F.lit(False)),
+                "iqr_outlier": F.coalesce(_is_iqr_outlier(metrics, iqr_multiplier), F.lit(False)),
+                "cusum_alarm": alarmed & waited,
+            }
+        )
     )
-    return marked.where("z_candidate OR iqr_outlier OR cusum_alarm")
+    return marked.where("z_candidate OR iqr_outlier OR cusum_alarm").drop("cusum_up", "cusum_down", "_previous")
 
 
 def _flags(
@@ -182,19 +195,16 @@ def iqr_flags(found: DataFrame, metrics=METRICS, multiplier: float = IQR_MULTIPL
 
 
 def cusum_flags(found: DataFrame, metrics=METRICS, alarm: float = CUSUM_ALARM) -> DataFrame:
-    """First day of every run of alarms: no alarm on the three days before."""
+    """First day of every run of drift alarms."""
     unit = unit_of(metrics)
-    previous = F.lag("metric_date").over(Window.partitionBy("seller_id", "metric").orderBy("metric_date"))
-    gap = F.datediff("metric_date", previous)
-    first = found.where("cusum_alarm").withColumn("_gap", gap).where(f"_gap IS NULL OR _gap > {CUSUM_REARM_DAYS}")
-    level = _cusum(metrics) * F.col("anchor_std") / unit
+    level = F.col("cusum") * F.col("anchor_std") / unit
     return _flags(
-        first,
+        found.where("cusum_alarm"),
         metrics,
         "CUSUM",
         F.col("anchor_mean"),
         F.col("units") - F.col("anchor_mean"),
-        half_up(_cusum(metrics), 4),
+        half_up(F.col("cusum"), 4),
         "_cusum_drift",
         F.concat(
             F.lit("Cumulative drift in "),

@@ -49,6 +49,9 @@ POOL_ROWS = 200_000
 # Share over the needed sample drawn before the exact cut (six deviations above it).
 OVERDRAW = 1.5
 
+# Few rows arrive in few partitions, but scoring is bound by computing: spread them over the cores.
+SPREAD_BELOW_ROWS = 10_000_000
+
 NODE_SCHEMA = "cohort string, tree int, node int, feature int, threshold double, depth double"
 
 
@@ -133,36 +136,45 @@ def fit(rows: DataFrame, counts: dict[str, int], seed: int = 42) -> DataFrame:
     return sample.groupBy("cohort", "tree").applyInPandas(build, NODE_SCHEMA)
 
 
-def _pack(nodes: pd.DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per cohort: feature, threshold and depth as (tree, node position) arrays."""
-    width = 2 ** (MAX_DEPTH + 1) - 1
+def pack(nodes: pd.DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per cohort: split feature, threshold and leaf depth as (tree, position) arrays.
+
+    Every tree is filled up to a complete one: below a leaf rows keep going left, and the leaf's
+    depth is repeated, so all rows take the same number of steps.
+    """
+    inner = 2**MAX_DEPTH - 1
     forest = {}
     for cohort, part in nodes.groupby("cohort"):
-        feature = np.full((N_TREES, width), -1, dtype="int16")
-        threshold = np.zeros((N_TREES, width))
-        depth = np.zeros((N_TREES, width))
-        at = (part["tree"].to_numpy(), part["node"].to_numpy())
-        feature[at] = part["feature"].to_numpy()
-        threshold[at] = part["threshold"].to_numpy()
-        depth[at] = part["depth"].to_numpy()
+        feature = np.zeros((N_TREES, inner), dtype="int64")
+        threshold = np.full((N_TREES, inner), np.inf)
+        depth = np.zeros((N_TREES, 2 * inner + 1))
+        splits = part[part["feature"] >= 0]
+        at = (splits["tree"].to_numpy(), splits["node"].to_numpy())
+        feature[at] = splits["feature"].to_numpy()
+        threshold[at] = splits["threshold"].to_numpy()
+        leaves = part[part["feature"] < 0]
+        depth[leaves["tree"].to_numpy(), leaves["node"].to_numpy()] = leaves["depth"].to_numpy()
+        parents = np.arange(inner)
+        for level in range(MAX_DEPTH):
+            row = parents[2**level - 1 : 2 ** (level + 1) - 1]
+            below = 2 * row + 1
+            ended = np.isinf(threshold[:, row])
+            depth[:, below] = np.where(ended, depth[:, row], depth[:, below])
         forest[cohort] = (feature, threshold, depth)
     return forest
 
 
 def path_score(points: np.ndarray, feature: np.ndarray, threshold: np.ndarray, depth: np.ndarray, n: int) -> np.ndarray:
     """Anomaly score 2^(-mean path / average path of the sample size), in 0..1."""
-    rows = np.arange(len(points))
+    flat = np.ascontiguousarray(points).ravel()
+    base = np.arange(len(points)) * points.shape[1]
     total = np.zeros(len(points))
     for f, t, d in zip(feature, threshold, depth):
         at = np.zeros(len(points), dtype="int64")
         for _ in range(MAX_DEPTH):
-            split = f[at]
-            inner = split >= 0
-            if not inner.any():
-                break
-            right = points[rows, np.maximum(split, 0)] > t[at]
-            at = np.where(inner, 2 * at + 1 + right, at)
-        total += d[at]
+            right = flat.take(base + f.take(at)) > t.take(at)
+            at = 2 * at + 1 + right
+        total += d.take(at)
     return 2.0 ** (-(total / len(feature)) / float(average_path(min(n, SAMPLE_SIZE))))
 
 
@@ -176,10 +188,12 @@ def score(rows: DataFrame, seed: int = 42) -> DataFrame:
     sizes = rows.groupBy("cohort").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP_ROWS)
     known = sorted((r["cohort"], r["n"]) for r in sizes.collect())
     schema = "seller_id bigint, metric_date date, cohort string, raw_score double"
+    if sum(n for _, n in known) < SPREAD_BELOW_ROWS:
+        rows = rows.repartition(spark.sparkContext.defaultParallelism)
     result = spark.createDataFrame([], schema)
     for start in range(0, len(known), COHORTS_PER_ROUND):
         counts = dict(known[start : start + COHORTS_PER_ROUND])
-        forest = spark.sparkContext.broadcast(_pack(fit(rows, counts, seed).toPandas()))
+        forest = spark.sparkContext.broadcast(pack(fit(rows, counts, seed).toPandas()))
 
         def run(batches, forest=forest, counts=counts):
             for batch in batches:

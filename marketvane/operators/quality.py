@@ -26,13 +26,17 @@ def _many(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counted.unpivot([], [f"`{name}`" for name in rules], "check", "violations")
 
 
+def _copies(frame: DataFrame, key: str) -> DataFrame:
+    """Rows per key. Used as child and as parent of the key checks, so each table is exchanged once."""
+    return frame.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def _orphans(name: str, child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key has no parent. Copies of a key are counted before the join.
+    """Child rows whose key has no parent, from counted keys.
 
     A null key is an orphan too, as in an outer join followed by a null test.
     """
-    counts = child.groupBy(key).agg(F.count("*").alias("n"))
-    return _one(name, counts.join(parent.select(key), key, "left_anti"), F.sum("n"))
+    return _one(name, child.join(parent.where("n > 0"), key, "left_anti"), F.sum("n"))
 
 
 def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
@@ -40,18 +44,15 @@ def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
     orders, shipments = star["fact_orders"], star["fact_shipments"]
     returns, reviews, sellers = star["fact_returns"], star["fact_reviews"], star["dim_seller"]
     c = F.col
-    copies = orders.groupBy("order_line_id").agg(F.count("*").alias("n")).where("n > 1")
-    early = (
-        orders.groupBy("seller_id", "order_date")
-        .agg(F.count("*").alias("n"))
-        .join(sellers.select("seller_id", "signup_date"), "seller_id")
-        .where(c("order_date") < c("signup_date"))
-    )
+    line = "order_line_id"
+    lines, shipped, returned = _copies(orders, line), _copies(shipments, line), _copies(returns, line)
+    days = orders.groupBy("seller_id", "order_date").agg(F.count("*").alias("n"))
+    early = days.join(sellers.select("seller_id", "signup_date"), "seller_id").where(c("order_date") < c("signup_date"))
     parts = [
-        _one("duplicate_orders", copies, F.count("*")),
-        _orphans("orphan_order_seller_fk", orders, sellers, "seller_id"),
-        _orphans("orphan_shipment_order_fk", shipments, orders, "order_line_id"),
-        _orphans("orphan_return_order_fk", returns, orders, "order_line_id"),
+        _one("duplicate_orders", lines.where("n > 1"), F.count("*")),
+        _orphans("orphan_order_seller_fk", days, _copies(sellers, "seller_id"), "seller_id"),
+        _orphans("orphan_shipment_order_fk", shipped, lines, line),
+        _orphans("orphan_return_order_fk", returned, lines, line),
         _many(
             orders,
             {
@@ -64,7 +65,7 @@ def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
         _many(reviews, {"invalid_rating": ~c("rating").between(1, 5)}),
         _many(shipments, {"delivery_before_ship": c("actual_delivery_date") < c("actual_ship_date")}),
         _one("order_date_before_seller_signup", early, F.sum("n")),
-        _orphans("return_without_delivered_shipment", returns, shipments, "order_line_id"),
+        _orphans("return_without_delivered_shipment", returned, shipped, line),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
-from ..functions.scale import rank_percent
+from ..functions.scale import rank_table, with_rank
 from ..registry import (
     DEFAULT_RATING,
     ENSEMBLE,
@@ -134,19 +134,23 @@ def methods_agreed(reason_code: Column) -> Column:
     return F.size(F.filter(F.split(reason_code, "_"), lambda part: F.array_contains(names, part)))
 
 
-def priority_scores(spine: DataFrame, flags: DataFrame) -> DataFrame:
-    """Queue priority 0-100 of every Ensemble flag."""
+def exposed_cases(spine: DataFrame, flags: DataFrame) -> DataFrame:
+    """Ensemble flags with their trailing exposure."""
     cases = flags.where(F.col("method") == ENSEMBLE).select(
         "flag_id", "seller_id", "flag_date", "anomaly_type", "affected_metric", "severity", "reason_code", "explanation"
     )
-    exposed = with_exposure(spine, cases).withColumns(
-        {
-            "_gmv": F.coalesce(F.col("gmv_30d"), F.lit(0)).cast("double"),
-            "_orders": F.coalesce(F.col("orders_30d"), F.lit(0)).cast("double"),
-        }
-    )
-    ranked = rank_percent(exposed, "_gmv", "_financial", ["flag_id"])
-    ranked = rank_percent(ranked, "_orders", "_customers", ["flag_id"])
+    return with_exposure(spine, cases)
+
+
+def priority_scores(cases: DataFrame) -> DataFrame:
+    """Queue priority 0-100 of exposed cases. The cases are read several times: pass a stored frame."""
+    money = F.coalesce(F.col("gmv_30d"), F.lit(0)).cast("double")
+    orders = F.coalesce(F.col("orders_30d"), F.lit(0)).cast("double")
+    valued = cases.withColumns({"_gmv": money, "_orders": orders})
+    ranks = {c: rank_table(valued, c) for c in ("_gmv", "_orders")}
+    ranked = valued
+    for column, name in (("_gmv", "_financial"), ("_orders", "_customers")):
+        ranked = with_rank(ranked, ranks[column], column, name, ["flag_id"])
     parts = ranked.withColumns(
         {
             "severity_component": coded(F.col("severity"), SEVERITY_POINTS).cast("double"),

@@ -34,7 +34,7 @@ def upsert_summary(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     return existing.join(fresh.select("metric_name"), "metric_name", "left_anti").unionByName(fresh)
 
 
-def trailing_extract(cohort_baseline: DataFrame, spine: DataFrame, days: int = EXTRACT_DAYS) -> DataFrame:
-    """The peer baseline of the last `days` days before the spine's last date."""
+def last_days(spine: DataFrame, days: int) -> DataFrame:
+    """Rows from `days` days before the last date on."""
     last = spine.agg(F.max("metric_date")).scalar()
-    return cohort_baseline.where(F.col("metric_date") >= F.date_sub(last, days))
+    return spine.where(F.col("metric_date") >= F.date_sub(last, days))

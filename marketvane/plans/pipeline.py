@@ -56,6 +56,7 @@ class Warehouse:
             lambda: spine.daily_metrics(
                 s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"], s["dim_seller"]
             ),
+            sort_by="metric_date",
         )
 
     @cached_property
@@ -63,7 +64,7 @@ class Warehouse:
         """The spine the detectors read."""
         if self.rate_floor is None:
             return self.spine
-        return self.workspace.table("monitored_series", self.injected)
+        return self.workspace.table("monitored_series", self.injected, sort_by="metric_date")
 
     def injected(self) -> DataFrame:
         return inject_episodes(self.spine, self.episodes, self.rate_floor or 0.0)
@@ -92,8 +93,13 @@ class Warehouse:
     def rolling_baseline(self) -> DataFrame:
         return baselines.rolling_baseline(self.series)
 
-    def cohort_baseline(self) -> DataFrame:
-        return baselines.cohort_baseline(self.series, self.sellers)
+    def cohort_baseline(self, days: int | None = None) -> DataFrame:
+        """Peer baseline of all days, or of the last `days` before the spine's last date.
+
+        Peers are compared within a day, so the days are chosen in the scan of the spine.
+        """
+        series = self.series if days is None else summary.last_days(self.series, days)
+        return baselines.cohort_baseline(series, self.sellers)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -145,16 +151,25 @@ class Warehouse:
         return self.workspace.table(
             f"fact_anomaly_flags_{len(self.methods)}",
             lambda: ensemble.flag_table(self.method_flags, self.ensemble_flags()),
+            sort_by="flag_date",
         )
 
     @cached_property
     def health(self) -> DataFrame:
         return self.workspace.table(
-            f"seller_health_score_{len(self.methods)}", lambda: scoring.health_scores(self.series, self.flags)
+            f"seller_health_score_{len(self.methods)}",
+            lambda: scoring.health_scores(self.series, self.flags),
+            sort_by="score_date",
+        )
+
+    @cached_property
+    def exposed_cases(self) -> DataFrame:
+        return self.workspace.table(
+            f"exposed_cases_{len(self.methods)}", lambda: scoring.exposed_cases(self.series, self.flags)
         )
 
     def priority(self) -> DataFrame:
-        return scoring.priority_scores(self.series, self.flags)
+        return scoring.priority_scores(self.exposed_cases)
 
     @cached_property
     def new_tickets(self) -> DataFrame:
@@ -196,7 +211,7 @@ class Warehouse:
         return summary.dataset_summary(self.star, self.as_of)
 
     def trimmed_extract(self) -> DataFrame:
-        return summary.trailing_extract(self.cohort_baseline(), self.series)
+        return self.cohort_baseline(summary.EXTRACT_DAYS)
 
 
 def run(warehouse: Warehouse, enforce_quality: bool = True) -> dict[str, DataFrame]:

@@ -108,9 +108,8 @@ def highest_impact(w: Warehouse, top: int = 25) -> DataFrame:
 
 
 def recent_cohort(w: Warehouse, days: int = 30) -> DataFrame:
-    """Peer scores of the last `days` days; the date bound reaches the spine scan."""
-    last = w.series.agg(F.max("metric_date")).scalar()
-    return w.cohort_baseline().where((c("metric_date") >= F.date_sub(last, days)) & c("cohort_zscore").isNotNull())
+    """Peer scores of the last `days` days."""
+    return w.cohort_baseline(days).where(c("cohort_zscore").isNotNull())
 
 
 def unusual_vs_peers(w: Warehouse, top: int = 25) -> DataFrame:

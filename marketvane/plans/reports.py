@@ -296,8 +296,7 @@ def seller_headlines(w: Warehouse) -> DataFrame:
 
 def peer_latest(w: Warehouse, seller_id: int | None = None) -> DataFrame:
     """Peer comparison on the latest day, for one seller or all."""
-    last = w.series.agg(F.max("metric_date")).scalar()
-    rows = w.cohort_baseline().where(c("metric_date") == last)
+    rows = w.cohort_baseline(days=0)
     if seller_id is not None:
         rows = rows.where(c("seller_id") == seller_id)
     return rows.select("seller_id", "metric_name", "observed_value", "cohort_mean", "cohort_zscore").orderBy(
@@ -313,7 +312,7 @@ def monthly_flags(w: Warehouse) -> DataFrame:
         Window.orderBy(F.months_between("month", F.lit("2000-01-01").cast("date")).cast("int")).rangeBetween(-1, -1)
     )
     return (
-        counts.withColumn("flags_prior_month", before)
+        counts.withColumn("flags_prior_month", before.cast("double"))
         .withColumn("mom_pct", percent(c("flags") - c("flags_prior_month"), c("flags_prior_month"), 2))
         .orderBy("month")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import STAR_SCHEMAS
 
@@ -28,8 +29,16 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
-def write_table(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a result table; with `partition_by` each value's rows are gathered before the write."""
-    out = frame.repartition(*partition_by) if partition_by else frame
-    writer = out.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+def write_table(
+    frame: DataFrame, path: str, partition_by: tuple[str, ...] = (), spread_by: tuple[str, ...] = (), files: int = 16
+) -> None:
+    """Replace a result table.
+
+    With `partition_by`, rows of one value are gathered into at most `files` files by a hash of
+    `spread_by`, so neither many small files nor one hot task result.
+    """
+    if not partition_by:
+        frame.write.mode("overwrite").parquet(path)
+        return
+    slot = [F.pmod(F.xxhash64(*spread_by), F.lit(files))] if spread_by else []
+    frame.repartition(*partition_by, *slot).write.mode("overwrite").partitionBy(*partition_by).parquet(path)

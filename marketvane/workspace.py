@@ -34,10 +34,12 @@ class Workspace:
         self.root = root or f"{checkpoint_root(spark)}/marketvane-{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
+        """The stored table. Files sorted by `sort_by` let a scan for a few days skip the rest."""
         if name not in self._tables:
             path = f"{self.root}/{name}"
             frame = build()
-            frame.write.mode("overwrite").parquet(path)
+            ordered = frame.sortWithinPartitions(sort_by) if sort_by else frame
+            ordered.write.mode("overwrite").parquet(path)
             self._tables[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._tables[name]

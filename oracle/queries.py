@@ -329,7 +329,7 @@ Q["r_peer_latest"] = f"""
 SELECT seller_id, metric_name, observed_value, cohort_mean, cohort_zscore FROM ({COHORT_VIEW})
 WHERE metric_date = (SELECT max(metric_date) FROM series_units)"""
 Q["m_flag_mom"] = f"""
-SELECT a.month, a.flags, b.flags AS flags_prior_month, {hu("100.0 * (a.flags - b.flags) / CAST(b.flags AS DOUBLE)", 2)} AS mom_pct
+SELECT a.month, a.flags, CAST(b.flags AS DOUBLE) AS flags_prior_month, {hu("100.0 * (a.flags - b.flags) / CAST(b.flags AS DOUBLE)", 2)} AS mom_pct
 FROM (SELECT CAST(date_trunc('month', flag_date) AS DATE) AS month, count(*) AS flags FROM {_CASES} GROUP BY 1) a
 LEFT JOIN (SELECT CAST(date_trunc('month', flag_date) AS DATE) AS month, count(*) AS flags FROM {_CASES} GROUP BY 1) b
   ON b.month = a.month - INTERVAL 1 MONTH"""

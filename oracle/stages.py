@@ -373,8 +373,8 @@ STAGES["priority"] = f"""
 SELECT flag_id, seller_id, flag_date, anomaly_type, affected_metric, severity,
        {hu("0.35::DOUBLE * severity_component + 0.25::DOUBLE * financial_component + 0.20::DOUBLE * customer_impact_component + 0.20::DOUBLE * confidence_component", 2)} AS priority_score,
        severity_component, financial_component, customer_impact_component, confidence_component,
-       {case("severity", [("Critical", 24), ("High", 72), ("Medium", 120), ("Low", 240)])} AS sla_hours,
-       gmv_30d / 100.0::DOUBLE AS gmv_30d, orders_30d, explanation
+       CAST({case("severity", [("Critical", 24), ("High", 72), ("Medium", 120), ("Low", 240)])} AS BIGINT) AS sla_hours,
+       gmv_30d / 100.0::DOUBLE AS gmv_30d, CAST(orders_30d AS BIGINT) AS orders_30d, explanation
 FROM (SELECT *, CAST({case("severity", [("Low", 25), ("Medium", 50), ("High", 75), ("Critical", 100)])} AS DOUBLE) AS severity_component,
              {hu("(rank() OVER (ORDER BY gmv_30d) + (count(*) OVER (PARTITION BY gmv_30d) - 1) / 2.0::DOUBLE) / CAST(count(*) OVER () AS DOUBLE) * 100", 2)} AS financial_component,
              {hu("(rank() OVER (ORDER BY orders_30d) + (count(*) OVER (PARTITION BY orders_30d) - 1) / 2.0::DOUBLE) / CAST(count(*) OVER () AS DOUBLE) * 100", 2)} AS customer_impact_component,
@@ -388,7 +388,7 @@ FROM (SELECT *, CAST({case("severity", [("Low", 25), ("Medium", 50), ("High", 75
 STAGES["new_tickets"] = """
 SELECT row_number() OVER (ORDER BY detected_date, seller_id % 256, seller_id) AS case_id, seller_id, ids[1] AS primary_flag_id,
        array_to_string(ids[2:], ',') AS related_flag_ids, severity, priority_score, detected_date, sla_hours,
-       CAST(detected_date AS TIMESTAMP) + to_hours(sla_hours) AS sla_deadline, 'New' AS status,
+       CAST(detected_date AS TIMESTAMP) + to_hours(CAST(sla_hours AS INTEGER)) AS sla_deadline, 'New' AS status,
        CAST(NULL AS VARCHAR) AS assigned_investigator, CAST(NULL AS VARCHAR) AS root_cause_category, CAST(NULL AS VARCHAR) AS notes,
        CAST(NULL AS VARCHAR) AS resolution, CAST(NULL AS TIMESTAMP) AS resolved_at, FALSE AS is_sla_breached,
        CAST(detected_date AS TIMESTAMP) AS created_at, CAST(detected_date AS TIMESTAMP) AS updated_at

@@ -41,6 +41,25 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(cell(v) for v in row) for row in ordered.itertuples(index=False, name=None))
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def type_differences(schema, description) -> str:
+    """Columns whose SQL type is not the Spark column's type."""
+    spark = {f.name: f.dataType.simpleString() for f in schema.fields}
+    sql = {name: str(kind) for name, kind, *_ in description}
+    return ", ".join(
+        f"{c}: {spark.get(c)} / {t}" for c, t in sql.items() if SPARK_TYPES.get(t) != spark.get(c)
+    )
+
+
 def differences(got: pd.DataFrame, want: pd.DataFrame, shown: int = 3) -> str:
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(set(got.columns) ^ set(want.columns))}"
@@ -73,11 +92,12 @@ def main() -> int:
         if (names and name not in names) or name not in oracles:
             continue
         t0 = time.time()
-        got = query(spark, folder).toPandas()
+        frame = query(spark, folder)
+        got = frame.toPandas()
         t1 = time.time()
         try:
-            want = db.execute(oracles[name]).df()
-            problem = differences(got, want)
+            found = db.sql(oracles[name])
+            problem = type_differences(frame.schema, zip(found.columns, found.types)) or differences(got, found.df())
         except duckdb.Error as e:
             problem = str(e)[:600]
         failed += bool(problem)
