@@ -23,24 +23,23 @@ def salted_join(
     )
 
 
-def dense_ids(df: DataFrame, name: str, coarse: list[Column], fine: list[str]) -> DataFrame:
-    """Number the rows 1..n in the order of (coarse, fine) without sorting them in one task.
+def dense_ids(df: DataFrame, name: str, major: Column, minor: Column, fine: list[str]) -> DataFrame:
+    """Number the rows 1..n in the order of (major, minor, fine) without sorting them in one task.
 
-    Rows are counted per coarse group; only those counts are summed up in order, and rows are
-    numbered inside their group. `fine` must make the order total.
+    Rows are counted per (major, minor) group and numbered inside it. Only the totals per major
+    value, such as a day, are summed up in one task. `fine` must make the order total.
     """
-    keys = [f"_g{i}" for i in range(len(coarse))]
-    grouped = df.select("*", *[c.alias(k) for c, k in zip(coarse, keys)])
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        grouped.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*fine))
+    grouped = df.select("*", major.alias("_a"), minor.alias("_b"))
+    counts = grouped.groupBy("_a", "_b").agg(F.count("*").alias("_n"))
+    before = (Window.unboundedPreceding, -1)
+    earlier = F.sum("_n").over(Window.orderBy("_a").rowsBetween(*before))
+    majors = counts.groupBy("_a").agg(F.sum("_n").alias("_n")).select("_a", F.coalesce(earlier, F.lit(0)).alias("_start"))
+    inside = F.coalesce(F.sum("_n").over(Window.partitionBy("_a").orderBy("_b").rowsBetween(*before)), F.lit(0))
+    starts = counts.withColumn("_offset", inside).join(majors, "_a").select("_a", "_b", (F.col("_start") + F.col("_offset")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_a", "_b").orderBy(*fine))
     return (
-        grouped.withColumn("_rn", inside)
-        .join(starts, keys)
+        grouped.withColumn("_rn", place)
+        .join(starts, ["_a", "_b"])
         .select((F.col("_start") + F.col("_rn")).alias(name), *df.columns)
     )
 

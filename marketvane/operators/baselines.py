@@ -148,16 +148,20 @@ def detector_profile(spine: DataFrame, metrics=METRICS) -> DataFrame:
     )
 
 
-def cohort_stats(spine: DataFrame, sellers: DataFrame, metrics=METRICS) -> DataFrame:
+def with_cohort(spine: DataFrame, sellers: DataFrame) -> DataFrame:
+    """The spine with each seller's cohort. Right after the spine is built both sides are by seller."""
+    return spine.join(sellers.select("seller_id", *COHORT_KEYS), "seller_id")
+
+
+def cohort_stats(members: DataFrame, metrics=METRICS) -> DataFrame:
     """Peer mean, deviation and count per cohort and day, one wide row with a struct per metric."""
-    peers = sellers.select("seller_id", *COHORT_KEYS)
     stats = []
     for m in metrics:
         u = in_units(m)
         stats.append(
             F.struct(F.avg(u).alias("mean"), F.stddev_samp(u).alias("std"), F.count(u).alias("n")).alias(f"_{m.name}")
         )
-    return spine.join(peers, "seller_id").groupBy(*COHORT_KEYS, "metric_date").agg(*stats)
+    return members.groupBy(*COHORT_KEYS, "metric_date").agg(*stats)
 
 
 def long_cohort_stats(stats: DataFrame, metrics=METRICS) -> DataFrame:
@@ -172,17 +176,16 @@ def cohort_zscore() -> Column:
     return _zscore(F.col("units"), F.col("peer_mean"), F.col("peer_std"), F.col("peer_n"), MIN_PEERS)
 
 
-def cohort_baseline(spine: DataFrame, sellers: DataFrame, metrics=METRICS) -> DataFrame:
+def cohort_baseline(members: DataFrame, metrics=METRICS) -> DataFrame:
     """Peer baseline table: one row per seller, day and metric.
 
     A cohort may hold a large share of the sellers, so its statistics come from a partial
     aggregate and return by a salted join rather than from a window over the cohort.
     """
     unit = unit_of(metrics)
-    members = spine.join(sellers.select("seller_id", *COHORT_KEYS), "seller_id")
     joined = salted_join(
         members.select("seller_id", "metric_date", *COHORT_KEYS, *[m.name for m in metrics]),
-        cohort_stats(spine, sellers, metrics),
+        cohort_stats(members, metrics),
         [*COHORT_KEYS, "metric_date"],
         ["seller_id"],
     )

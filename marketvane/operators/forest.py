@@ -55,10 +55,10 @@ SPREAD_BELOW_ROWS = 10_000_000
 NODE_SCHEMA = "cohort string, tree int, node int, feature int, threshold double, depth double"
 
 
-def features(spine: DataFrame, sellers: DataFrame) -> DataFrame:
+def features(members: DataFrame) -> DataFrame:
     """(seller_id, metric_date, cohort, features); a missing reading counts as 0."""
     cohort = F.concat_ws("|", *COHORT)
-    return spine.join(sellers.select("seller_id", *COHORT), "seller_id").select(
+    return members.select(
         "seller_id",
         "metric_date",
         cohort.alias("cohort"),

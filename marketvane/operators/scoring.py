@@ -80,9 +80,11 @@ def with_penalty(spine: DataFrame, flags: DataFrame, days: int = LOOKBACK_DAYS)
     )
 
 
-def health_scores(spine: DataFrame, flags: DataFrame) -> DataFrame:
-    """Health score 0-100, tier and components per seller and day."""
-    measured = with_penalty(spine, flags)
+def health_scores(measured: DataFrame) -> DataFrame:
+    """Health score 0-100, tier and components per seller and day.
+
+    `measured` is read twice, for the limits and for the scores: pass a stored frame.
+    """
     limits = ceilings(measured, (*RATES, "penalty")).scalar()
     limited = measured.withColumn("_c", limits)
 

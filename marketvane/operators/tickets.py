@@ -51,7 +51,7 @@ def build_tickets(priority: DataFrame) -> DataFrame:
             "updated_at": F.col("detected_date").cast("timestamp_ntz"),
         }
     )
-    return dense_ids(built, "case_id", [F.col("detected_date"), F.pmod("seller_id", F.lit(256))], ["seller_id"])
+    return dense_ids(built, "case_id", F.col("detected_date"), F.pmod("seller_id", F.lit(256)), ["seller_id"])
 
 
 def after_hours(day: Column, hours: Column) -> Column:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..operators import baselines, detectors, ensemble, evaluation, forest, impact, quality, scoring, spine, summary, tickets
 from ..operators.injection import inject_episodes
 from ..registry import METHODS
+from ..schemas import SPINE_TYPES
+from ..sources.star import write_table
 from ..workspace import Workspace
 
 
@@ -49,25 +51,33 @@ class Warehouse:
         return self.star["ground_truth_anomalies"]
 
     @cached_property
-    def spine(self) -> DataFrame:
+    def _spine_members(self) -> DataFrame:
+        """The spine with each seller's cohort, stored."""
         s = self.star
+        facts = (s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"])
         return self.workspace.table(
             "fact_seller_daily_metrics",
-            lambda: spine.daily_metrics(
-                s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"], s["dim_seller"]
-            ),
+            lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers), self.sellers),
             sort_by="metric_date",
         )
 
     @cached_property
-    def series(self) -> DataFrame:
-        """The spine the detectors read."""
+    def members(self) -> DataFrame:
+        """The series the detectors read, with each seller's cohort."""
         if self.rate_floor is None:
-            return self.spine
+            return self._spine_members
         return self.workspace.table("monitored_series", self.injected, sort_by="metric_date")
 
     def injected(self) -> DataFrame:
-        return inject_episodes(self.spine, self.episodes, self.rate_floor or 0.0)
+        return inject_episodes(self._spine_members, self.episodes, self.rate_floor or 0.0)
+
+    @property
+    def spine(self) -> DataFrame:
+        return self._spine_members.select(*SPINE_TYPES)
+
+    @property
+    def series(self) -> DataFrame:
+        return self.members.select(*SPINE_TYPES)
 
     @property
     def as_of(self) -> Column:
@@ -98,8 +108,8 @@ class Warehouse:
 
         Peers are compared within a day, so the days are chosen in the scan of the spine.
         """
-        series = self.series if days is None else summary.last_days(self.series, days)
-        return baselines.cohort_baseline(series, self.sellers)
+        members = self.members if days is None else summary.last_days(self.members, days)
+        return baselines.cohort_baseline(members)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -108,8 +118,7 @@ class Warehouse:
         )
 
     def zscore_flags(self) -> DataFrame:
-        stats = baselines.cohort_stats(self.series, self.sellers)
-        return detectors.zscore_flags(self.candidates, stats, self.sellers)
+        return detectors.zscore_flags(self.candidates, baselines.cohort_stats(self.members), self.sellers)
 
     def iqr_flags(self) -> DataFrame:
         return detectors.iqr_flags(self.candidates)
@@ -119,7 +128,7 @@ class Warehouse:
 
     @cached_property
     def forest_rows(self) -> DataFrame:
-        return forest.features(self.series, self.sellers)
+        return forest.features(self.members)
 
     @cached_property
     def forest_scores(self) -> DataFrame:
@@ -146,19 +155,32 @@ class Warehouse:
     def ensemble_flags(self) -> DataFrame:
         return ensemble.ensemble_flags(self.method_flags)
 
+    @cached_property
+    def unique_flags(self) -> DataFrame:
+        return self.workspace.table(
+            f"unique_flags_{len(self.methods)}",
+            lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()),
+        )
+
     @cached_property
     def flags(self) -> DataFrame:
         return self.workspace.table(
             f"fact_anomaly_flags_{len(self.methods)}",
-            lambda: ensemble.flag_table(self.method_flags, self.ensemble_flags()),
+            lambda: ensemble.number_flags(self.unique_flags),
             sort_by="flag_date",
         )
 
+    @cached_property
+    def measured(self) -> DataFrame:
+        return self.workspace.table(
+            f"penalized_series_{len(self.methods)}", lambda: scoring.with_penalty(self.series, self.flags)
+        )
+
     @cached_property
     def health(self) -> DataFrame:
         return self.workspace.table(
             f"seller_health_score_{len(self.methods)}",
-            lambda: scoring.health_scores(self.series, self.flags),
+            lambda: scoring.health_scores(self.measured),
             sort_by="score_date",
         )
 
@@ -230,3 +252,29 @@ def run(warehouse: Warehouse, enforce_quality: bool = True) -> dict[str, DataFra
         "evaluation": warehouse.evaluation(),
         "business_impact": warehouse.business_impact(),
     }
+
+
+# Tables copied whole into an extract; the peer baseline joins them trimmed.
+COPIED = (
+    "dim_seller",
+    "fact_seller_daily_metrics",
+    "fact_anomaly_flags",
+    "investigation_tickets",
+    "seller_health_score",
+    "dataset_summary",
+)
+
+
+def export(warehouse: Warehouse, folder: str) -> None:
+    """Write the extract a reporting site needs."""
+    whole = (
+        warehouse.sellers,
+        warehouse.series,
+        warehouse.flags,
+        warehouse.tickets,
+        warehouse.health,
+        warehouse.dataset_summary(),
+    )
+    for name, frame in zip(COPIED, whole):
+        write_table(frame, f"{folder}/{name}")
+    write_table(warehouse.trimmed_extract(), f"{folder}/seller_metric_cohort_baseline")
