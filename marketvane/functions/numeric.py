@@ -6,14 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Differences below this are binary noise, not data.
+NOISE = 0.5e-9
+
+
 def snap(x: Column) -> Column:
-    """Drop binary noise below nine decimals, so thresholds and ties do not depend on it."""
+    """Drop binary noise below nine decimals."""
     return F.round(x, 9)
 
 
+def at_least(x: Column, bound: float) -> Column:
+    return x >= bound - NOISE
+
+
+def above(x: Column, bound: float) -> Column:
+    return x > bound + NOISE
+
+
 def half_up(x: Column, digits: int) -> Column:
-    """Round half away from zero on the decimal reading of the value."""
-    return F.round(snap(x), digits)
+    """Round half away from zero on the decimal reading of the value.
+
+    Plain double arithmetic: the built-in round goes through a decimal object per value.
+    """
+    scale = float(10**digits)
+    shifted = F.abs(x) * scale + (0.5 + NOISE * scale)
+    return F.signum(x) * (shifted - shifted % 1.0) / scale + F.lit(0.0)
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

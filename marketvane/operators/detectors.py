@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import half_up, relative_pct, snap
+from ..functions.numeric import above, at_least, half_up, relative_pct
 from ..registry import (
     COHORT_KEYS,
     CUSUM_ALARM,
@@ -33,7 +33,7 @@ def _may(metrics, direction: str) -> Column:
 def _is_z_candidate(metrics, threshold) -> Column:
     """Far from the seller's own baseline, the bad way; the peer test follows."""
     change = F.col("units") - F.col("roll_mean")
-    far = snap(F.abs(self_zscore())) >= threshold
+    far = at_least(F.abs(self_zscore()), threshold)
     return far & ((_may(metrics, "up") & (change > 0)) | (_may(metrics, "down") & (change < 0)))
 
 
@@ -54,7 +54,7 @@ def _cusum(metrics) -> Column:
     """The cumulative sum of the metric's bad direction, in anchor deviations."""
     up = F.when(_may(metrics, "up"), F.col("cusum_up"))
     down = F.when(_may(metrics, "down"), F.col("cusum_down"))
-    return snap(F.try_divide(F.greatest(up, down), F.col("anchor_std")))
+    return F.try_divide(F.greatest(up, down), F.col("anchor_std"))
 
 
 def candidates(
@@ -72,7 +72,7 @@ def candidates(
     before = (
         Window.partitionBy("seller_id", "metric").orderBy("metric_date").rowsBetween(Window.unboundedPreceding, -1)
     )
-    alarmed = F.coalesce(F.col("cusum") > alarm, F.lit(False))
+    alarmed = F.coalesce(above(F.col("cusum"), alarm), F.lit(False))
     previous = F.max(F.when(alarmed, F.col("metric_date"))).over(before)
     waited = F.coalesce(F.datediff("metric_date", "_previous") > CUSUM_REARM_DAYS, F.lit(True))
     marked = (
@@ -139,7 +139,7 @@ def zscore_flags(
         .join(sellers.select("seller_id", *COHORT_KEYS), "seller_id")
         .join(long_cohort_stats(stats, metrics), keys)
         .withColumns({"self_z": self_zscore(), "peer_z": cohort_zscore()})
-        .where(snap(F.abs(F.col("peer_z"))) >= threshold)
+        .where(at_least(F.abs(F.col("peer_z")), threshold))
     )
     self_z, peer_z = F.col("self_z"), F.col("peer_z")
     return _flags(

@@ -215,12 +215,13 @@ def score_cuts(scored: DataFrame, contamination: float = CONTAMINATION) -> DataF
     return counted.groupBy("cohort").agg(cut.alias("cut"))
 
 
-def top_features(rows: DataFrame) -> DataFrame:
-    """For each row, the feature farthest from the seller's own median, in the seller's deviations.
+def top_features(rows: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Flagged rows with the feature farthest from the seller's own median, in the seller's deviations.
 
-    A seller has one row per day, so medians are taken over a bounded group.
+    Medians are taken over the history of flagged sellers only; a seller has one row per day.
     """
-    stats = rows.groupBy("seller_id").agg(
+    history = rows.join(flagged.select("seller_id").distinct(), "seller_id", "left_semi")
+    stats = history.groupBy("seller_id").agg(
         *[F.median(c).alias(f"_m_{c}") for c in FEATURES], *[F.stddev_samp(c).alias(f"_s_{c}") for c in FEATURES]
     )
     entries = []
@@ -228,9 +229,8 @@ def top_features(rows: DataFrame) -> DataFrame:
         spread = F.col(f"_s_{c}")
         z = F.when(spread > 0, F.abs(F.col(c) - F.col(f"_m_{c}")) / spread)
         entries.append(F.struct(F.coalesce(z, F.lit(0.0)).alias("z"), F.lit(-i).alias("o"), F.lit(c).alias("name")))
-    return rows.join(stats, "seller_id").select(
-        "seller_id", "metric_date", F.array_max(F.array(*entries)).alias("top")
-    )
+    readings = rows.drop("cohort").join(flagged, ["seller_id", "metric_date"])
+    return readings.join(stats, "seller_id").select(*flagged.columns, F.array_max(F.array(*entries)).alias("top"))
 
 
 def forest_flags(rows: DataFrame, scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
@@ -243,8 +243,7 @@ def forest_flags(rows: DataFrame, scored: DataFrame, contamination: float = CONT
         .drop("_cuts")
     )
     span = flagged.agg(F.struct(F.min("raw_score").alias("low"), F.max("raw_score").alias("high"))).scalar()
-    suspects = rows.join(flagged.select("seller_id").distinct(), "seller_id", "left_semi")
-    described = flagged.join(top_features(suspects), ["seller_id", "metric_date"]).withColumn("_span", span)
+    described = top_features(rows, flagged).withColumn("_span", span)
     low, high = F.col("_span.low"), F.col("_span.high")
     out = described.withColumn(
         "anomaly_score", half_up((F.col("raw_score") - low) / (high - low + 1e-9) * 10, 4)

@@ -24,11 +24,10 @@ from ..registry import (
 RATES = ("defect_rate", "late_shipment_rate", "return_rate", "cancellation_rate", "negative_review_rate")
 
 
-def bad_is_high(value: Column, p95: Column, top: Column) -> Column:
-    """100 at zero, 0 at the 95th percentile or worse; the maximum replaces a zero percentile."""
-    ceiling = F.when(p95 > 0, p95).otherwise(top)
-    clipped = F.least(F.greatest(value, F.lit(0.0)), ceiling)
-    return F.when(ceiling > 0, 100 * (1 - clipped / ceiling)).otherwise(F.lit(100.0))
+def bad_is_high(value: Column, ceiling: Column) -> Column:
+    """100 at zero, 0 at the ceiling or worse; without a positive ceiling all are healthy."""
+    share = F.least(F.greatest(value, F.lit(0.0)), ceiling) / ceiling
+    return F.when(ceiling > 0, 100 * (1 - share)).otherwise(F.lit(100.0))
 
 
 def bad_is_low(value: Column, floor: float = 1.0, best: float = 5.0) -> Column:
@@ -38,17 +37,16 @@ def bad_is_low(value: Column, floor: float = 1.0, best: float = 5.0) -> Column:
 
 
 def ceilings(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One row: 95th percentile and maximum of every column, in one pass.
+    """One row with a struct: the 95th percentile of every column, or its maximum where that is zero.
 
     The columns hold rates stored at four decimals or small whole numbers, so the exact percentile
     counts few distinct values however many rows there are.
     """
-    return frame.agg(
-        F.struct(
-            *[F.percentile(c, F.lit(0.95)).alias(f"{c}_p95") for c in columns],
-            *[F.max(c).alias(f"{c}_max") for c in columns],
-        ).alias("ceilings")
+    found = frame.agg(
+        *[F.percentile(c, F.lit(0.95)).alias(f"{c}_p95") for c in columns], *[F.max(c).alias(f"{c}_max") for c in columns]
     )
+    tops = [F.when(F.col(f"{c}_p95") > 0, F.col(f"{c}_p95")).otherwise(F.col(f"{c}_max")).alias(c) for c in columns]
+    return found.select(F.struct(*tops).alias("ceilings"))
 
 
 def with_penalty(spine: DataFrame, flags: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -89,7 +87,7 @@ def health_scores(measured: DataFrame) -> DataFrame:
     limited = measured.withColumn("_c", limits)
 
     def high(column: str) -> Column:
-        return bad_is_high(F.col(column), F.col(f"_c.{column}_p95"), F.col(f"_c.{column}_max"))
+        return bad_is_high(F.col(column), F.col(f"_c.{column}"))
 
     rating = bad_is_low(F.coalesce(F.col("avg_rating"), F.lit(DEFAULT_RATING)))
     components = {

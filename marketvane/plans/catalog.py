@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, IntegerType, ShortType
+from pyspark.sql.types import DecimalType, IntegerType, ShortType
 
-from ..functions.numeric import half_up, snap
+from ..functions.numeric import half_up
 from ..operators import baselines, detectors
 from ..registry import METHODS
 from ..sources.activity import ACTIVITY_METRICS, activity_series
@@ -42,7 +42,7 @@ def warehouse(spark: SparkSession, folder: str, methods: tuple[str, ...] = SQL_M
 
 
 def plain(frame: DataFrame) -> DataFrame:
-    """Portable column types: whole numbers as bigint, decimals and floats as nine-digit doubles."""
+    """Portable column types: whole numbers as bigint, decimals as doubles."""
     out = []
     for field in frame.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -52,8 +52,6 @@ def plain(frame: DataFrame) -> DataFrame:
             column = column.cast("bigint")
         elif isinstance(field.dataType, DecimalType):
             column = column.cast("double")
-        elif isinstance(field.dataType, DoubleType):
-            column = snap(column)
         out.append(column.alias(field.name))
     return frame.select(*out)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import half_up, percent, snap
+from ..functions.numeric import at_least, half_up, percent
 from ..operators.evaluation import episode_hits
 from ..registry import CLOSED_STATUSES, ENSEMBLE, is_open, is_unresolved
 from .pipeline import Warehouse
@@ -121,7 +121,7 @@ def unusual_vs_peers(w: Warehouse, top: int = 25) -> DataFrame:
         .groupBy("seller_id", "tenure_cohort", "primary_category", "seller_segment")
         .agg(
             half_up(F.avg(z), 2).alias("avg_abs_cohort_zscore_30d"),
-            F.count_if(snap(z) >= 2.5).alias("days_flagged_vs_peers"),
+            F.count_if(at_least(z, 2.5)).alias("days_flagged_vs_peers"),
             F.count("*").alias("n"),
         )
         .where("n >= 10")
