@@ -124,7 +124,7 @@ def samples(rows: DataFrame, counts: dict[str, int], seed: int) -> DataFrame:
 def fit(rows: DataFrame, counts: dict[str, int], seed: int = 42) -> DataFrame:
     """Tree nodes of the given cohorts."""
 
-    def build(key, group: pd.DataFrame) -> pd.DataFrame:
+    def build(key, group):
         cohort, tree = key
         ordered = group.sort_values(["draw", "seller_id", "metric_date"])
         rng = np.random.default_rng([seed, int(tree)])

@@ -94,8 +94,11 @@ def _activity_rolling(spark, folder):
 
 
 def _activity_flags(spark, folder):
-    found = detectors.candidates(
-        baselines.detector_profile(activity_series(spark, folder), ACTIVITY_METRICS), ACTIVITY_METRICS
+    found = _workspace(spark, folder).table(
+        "activity_candidates",
+        lambda: detectors.candidates(
+            baselines.detector_profile(activity_series(spark, folder), ACTIVITY_METRICS), ACTIVITY_METRICS
+        ),
     )
     flags = detectors.iqr_flags(found, ACTIVITY_METRICS).unionByName(detectors.cusum_flags(found, ACTIVITY_METRICS))
     return plain(_flag_view(flags))

@@ -81,11 +81,18 @@ class Warehouse:
 
     @property
     def as_of(self) -> Column:
-        """The moment the run looks back from: the last order day unless given."""
+        """The moment of the load: the last order day unless given."""
         if self._as_of is not None:
             return self._as_of
         return self.star["fact_orders"].agg(F.max("order_date").cast("timestamp_ntz").alias("t")).scalar()
 
+    @property
+    def reporting_time(self) -> Column:
+        """The moment tickets are judged at. The spine ends on the last order day, and is far smaller."""
+        if self._as_of is not None:
+            return self._as_of
+        return self.series.agg(F.max("metric_date").cast("timestamp_ntz").alias("t")).scalar()
+
     def dq_report(self) -> DataFrame:
         return quality.report(quality.raw_checks(self.star, self.as_of), quality.spine_check(self.spine))
 
@@ -208,7 +215,7 @@ class Warehouse:
     def tickets(self) -> DataFrame:
         return self.workspace.table(
             f"investigation_tickets_{len(self.methods)}",
-            lambda: tickets.mark_breaches(self.merged_tickets(), self.as_of),
+            lambda: tickets.mark_breaches(self.merged_tickets(), self.reporting_time),
         )
 
     def sla_summary(self) -> DataFrame:

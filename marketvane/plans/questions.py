@@ -19,8 +19,13 @@ def latest_health(w: Warehouse) -> DataFrame:
     return w.health.where(c("score_date") == last)
 
 
-def hours_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz")) / HOUR
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds between two zoneless moments, whatever the session's time zone."""
+
+    def of_day(t: Column) -> Column:
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+    return F.datediff(end, start).cast("long") * 86400 + of_day(end) - of_day(start)
 
 
 def with_lead_flag(w: Warehouse, tickets: DataFrame, *columns: str) -> DataFrame:
@@ -220,7 +225,7 @@ def repeat_offenders(w: Warehouse, top: int = 25) -> DataFrame:
 
 def mean_hours(start: Column, end: Column) -> Column:
     """Mean hours between two moments, from whole seconds."""
-    seconds = F.timestamp_diff("SECOND", start.cast("timestamp_ntz"), end)
+    seconds = seconds_between(start.cast("timestamp_ntz"), end)
     return half_up(F.try_divide(F.sum(seconds), F.count(seconds)) / HOUR, 1)
 
 
@@ -241,12 +246,12 @@ def investigator_workload(w: Warehouse) -> DataFrame:
 
 def investigation_queue(w: Warehouse, top: int = 50) -> DataFrame:
     """Q10: unresolved cases by priority with the time left to their deadline."""
-    left = hours_between(c("as_of"), c("sla_deadline"))
+    left = seconds_between(c("as_of"), c("sla_deadline")) / HOUR
     best = w.tickets.where(is_unresolved(c("status"))).orderBy(F.desc("priority_score"), "case_id").limit(top)
     return (
         with_lead_flag(w, best, "anomaly_type", "affected_metric", "explanation")
         .join(w.sellers.select("seller_id", "seller_name"), "seller_id")
-        .withColumn("as_of", w.as_of)
+        .withColumn("as_of", w.reporting_time)
         .select(
             "case_id",
             "seller_id",
