@@ -98,9 +98,16 @@ def _repeated(source: str, *keys: str) -> str:
     return f"SELECT count(*) FROM (SELECT 1 FROM {source} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
 
 
-# The derived labels of sellers, orders, returns and reviews come from closed lists, so those rules
-# are stated as the zero they must be.
-_ZERO = "SELECT 0"
+_BUSINESS = "(SELECT (ARRAY['Individual', 'LLC', 'Corporation'])[s_suppkey % 3 + 1] AS business_type FROM supplier)"
+_FULFILLMENT = "(SELECT (ARRAY['Marketplace-Fulfilled', 'Self-Ship'])[s_suppkey % 2 + 1] AS fulfillment_type FROM supplier)"
+_PRICES = "(SELECT CASE WHEN p_retailprice < 1000 THEN 'Budget' WHEN p_retailprice < 1500 THEN 'Mid' ELSE 'Premium' END AS price_tier FROM part)"
+_SEGMENTS = "(SELECT (ARRAY['New', 'Occasional', 'Frequent', 'VIP'])[c_custkey % 4 + 1] AS customer_segment FROM customer)"
+_ORDERS = """(SELECT CASE WHEN is_cancelled THEN 'Cancelled' WHEN is_returned THEN 'Returned' WHEN source_status = 'F' THEN 'Delivered'
+                       WHEN source_status = 'P' THEN 'Shipped' ELSE 'Placed' END AS order_status FROM lines)"""
+_REASONS = "(SELECT CASE WHEN is_defect THEN 'Defective' ELSE 'Changed_Mind' END AS return_reason_code FROM lines WHERE is_returned)"
+_SENTIMENT = """(SELECT CASE WHEN rating <= 2 THEN 'Negative' WHEN rating = 3 THEN 'Neutral' ELSE 'Positive' END AS sentiment_flag
+                FROM lines WHERE is_reviewed)"""
+_REASON_CODES = ("Defective", "Not_As_Described", "Wrong_Item", "Changed_Mind", "Late_Arrival", "Damaged_In_Transit", "Other")
 _SEVERITIES = ("Low", "Medium", "High", "Critical")
 _STATUSES = ("New", "Investigating", "Action_Required", "Resolved", "False_Positive", "Escalated")
 _CAUSES = ("Logistics", "Inventory", "Pricing", "Product_Quality", "Seller_Behavior", "Review_Anomaly", "Data_Quality")
@@ -108,21 +115,21 @@ Q["dq_domains"] = report(
     {
         "dim_seller.tenure_cohort:enum": _outside("sellers", "tenure_cohort", ("New", "Growing", "Established", "Veteran")),
         "dim_seller.seller_segment:enum": _outside("sellers", "seller_segment", ("Micro", "Small", "Mid", "Power")),
-        "dim_seller.business_type:enum": _ZERO,
-        "dim_seller.fulfillment_type:enum": _ZERO,
+        "dim_seller.business_type:enum": _outside(_BUSINESS, "business_type", ("Individual", "LLC", "Corporation")),
+        "dim_seller.fulfillment_type:enum": _outside(_FULFILLMENT, "fulfillment_type", ("Marketplace-Fulfilled", "Self-Ship")),
         "dim_seller:unique": _repeated("sellers", "seller_id"),
-        "dim_product.price_tier:enum": _ZERO,
+        "dim_product.price_tier:enum": _outside(_PRICES, "price_tier", ("Budget", "Mid", "Premium")),
         "dim_product.list_price:range": "SELECT count(*) FROM part WHERE p_retailprice < 0",
         "dim_product:unique": _repeated("part", "p_partkey"),
-        "dim_customer.customer_segment:enum": _ZERO,
+        "dim_customer.customer_segment:enum": _outside(_SEGMENTS, "customer_segment", ("New", "Occasional", "Frequent", "VIP")),
         "dim_customer:unique": _repeated("customer", "c_custkey"),
-        "fact_orders.order_status:enum": _ZERO,
+        "fact_orders.order_status:enum": _outside(_ORDERS, "order_status", ("Placed", "Shipped", "Delivered", "Cancelled", "Returned")),
         "fact_orders.quantity:range": "SELECT count(*) FROM lines WHERE quantity < 1",
         "fact_orders.unit_price:range": "SELECT count(*) FROM lines WHERE unit_price < 0",
         "fact_orders.gmv:range": "SELECT count(*) FROM lines WHERE gmv < 0",
-        "fact_returns.return_reason_code:enum": _ZERO,
+        "fact_returns.return_reason_code:enum": _outside(_REASONS, "return_reason_code", _REASON_CODES),
         "fact_returns.refund_amount:range": "SELECT count(*) FROM lines WHERE is_returned AND gmv < 0",
-        "fact_reviews.sentiment_flag:enum": _ZERO,
+        "fact_reviews.sentiment_flag:enum": _outside(_SENTIMENT, "sentiment_flag", ("Positive", "Neutral", "Negative")),
         "fact_reviews.rating:range": "SELECT count(*) FROM lines WHERE is_reviewed AND rating NOT BETWEEN 1 AND 5",
         "fact_seller_daily_metrics:unique": _repeated("spine_units", "seller_id", "metric_date"),
         "fact_anomaly_flags.anomaly_type:enum": _outside("flags", "anomaly_type", TYPES),
