@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes of text that one call of a mapped function sees at most (a single longer row goes alone).
 SLICE_ROWS = 1000
@@ -35,13 +39,15 @@ def as_binary(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
 
 
+def byte_lengths(column: pa.Array) -> np.ndarray:
+    """Bytes of each value; 0 for a null."""
+    return pc.fill_null(pc.binary_length(as_binary(column)), 0).to_numpy(zero_copy_only=False)
+
+
 def slices(batch: pa.RecordBatch, measured: str) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in order, few enough at a time that their `measured` column stays small."""
     start = size = 0
-    column = batch.column(measured)
-    for row in range(batch.num_rows):
-        value = column[row]
-        own = len(value.as_buffer()) if value.is_valid else 0
+    for row, own in enumerate(byte_lengths(batch.column(measured)).tolist()):
         if row > start and (size + own > SLICE_BYTES or row - start >= SLICE_ROWS):
             yield batch.slice(start, row - start)
             start, size = row, 0
@@ -61,3 +67,18 @@ def map_slices(
                 yield function(part)
 
     return frame.mapInArrow(run, schema)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """`frame` written as a table to the shared folder and read again: cuts its lineage."""
+    spark = frame.sparkSession
+    use_checkpoints(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
+
+
+def with_tag(docs: DataFrame) -> DataFrame:
+    """Adds `tag`, which tells documents of one `id` apart by their `text`: 0 throughout where ids are unique."""
+    again = docs.groupBy("id").count().where("count > 1").limit(1).count()
+    return docs.withColumn("tag", F.xxhash64("text") if again else F.lit(0).cast("bigint"))

@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import ngram_join, quality_rules, suffix_dedup
 from .common import documents
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and its number of links."""
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings."""
+    left = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda sum_, span: sum_ + span["end"] - span["at"])
+    return left.select(
+        "row.doc_id",
+        (F.octet_length("kept") + removed).cast("bigint").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger with the verdicts of the base policy and of the current one."""
     lines = quality_rules.ledger(documents(spark, sf_dir))
@@ -20,7 +38,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op9_quality_rules": op9_quality_rules,
+}
 
 ORACLES = {
     "op9_quality_rules": r"""
