@@ -361,8 +361,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "stretches",
     )
 
-    # Both joins read one shuffle of the texts: the same rows, dealt the same way.
-    dealt = frame.withColumn("doc", F.struct("id", "tag")).select("doc", "text", "row").repartition("doc")
+    # Both joins read one shuffle of the texts: the same columns and rows, dealt the same way.
+    doc = F.struct("id", "tag").cast(f"struct<id: {kind}, tag: bigint>")  # as nullable as the other side's
+    dealt = frame.select(doc.alias("doc"), "text", "row").repartition("doc")
     places = settled.where("end is null").groupBy(F.struct("id", "tag").alias("doc")).agg(F.collect_list("at").alias("places"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,7 +371,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for batch in slices(whole, "text"):
                 yield _blocks(batch)
 
-    shown = dealt.join(places, "doc", "left").select("doc.id", "doc.tag", "text", "places")
+    shown = dealt.join(places, "doc", "left").select("doc.id", "doc.tag", "text", "row", "places")
     arrayed = (
         shown.mapInArrow(blocks, f"core bigint, id {kind}, tag bigint, at bigint, text binary")
         .repartition("core")
