@@ -39,9 +39,9 @@ from .common import as_binary, byte_lengths, slices, stored, with_tag
 from .rolling import PIECE, gram_hashes, inner_hashes
 
 LENGTH = 100
-GRAM = 36
+GRAM = 28
 #: Window offsets from the anchor in one block.
-BLOCK = 16
+BLOCK = 32
 #: Bytes of text that one suffix array holds, but for a single larger group of blocks.
 ARRAY_BYTES = 1 << 20
 
