@@ -97,17 +97,28 @@ def measure(text: bytes | None) -> tuple[int, ...]:
 def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
     found = [measure(text) for text in as_binary(batch.column("text")).to_pylist()]
     columns = [pa.array([row[k] for row in found], pa.int64()) for k in range(len(MEASURES))]
-    return pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", *MEASURES])
+    return pa.RecordBatch.from_arrays([batch.column("line"), *columns], ["line", *MEASURES])
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One line a document: its id, the measurements, and `failed`, the bits of the rules it fails."""
-    frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = frame.schema["id"].dataType.simpleString()
-    measured = map_slices(frame, _measured, f"id {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES), "text")
+def _ledger(docs: DataFrame, line: Column, text_col: str) -> DataFrame:
+    """The measurements and `failed` beside `line`, which is whatever names the document."""
+    frame = docs.select(line.alias("line"), F.col(text_col).alias("text"))
+    kind = frame.schema["line"].dataType.simpleString()
+    measured = map_slices(frame, _measured, f"line {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES), "text")
     bits = [F.when(rule.fails, F.lit(rule.mask)).otherwise(0) for rule in rules()]
     failed = reduce(lambda a, b: a.bitwiseOR(b), bits).cast("bigint")
-    return measured.select(F.col("id").alias(id_col), *MEASURES, failed.alias("failed"))
+    return measured.select("line", *MEASURES, failed.alias("failed"))
+
+
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One line a document: its id, the measurements, and `failed`, the bits of the rules it fails."""
+    return _ledger(docs, F.col(id_col), text_col).withColumnRenamed("line", id_col)
+
+
+def passing(docs: DataFrame, version: str, text_col: str = "text") -> DataFrame:
+    """The documents that pass a policy, with all their columns; the texts are not shuffled."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return _ledger(docs, whole, text_col).where(passes(version)).select("line.*")
 
 
 def passes(version: str, failed: Column | None = None) -> Column:

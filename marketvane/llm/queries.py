@@ -5,15 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, quality_rules, suffix_dedup
+from . import bpe, language_model, mixing, ngram_join, quality_rules, sharding, suffix_dedup, token_counts, toxicity, winnowing
 from .common import documents
 
 
+#: Vocabulary files, read where they are installed.
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class and its number of links."""
     return ngram_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    taken = mixing.mix_sources(documents(spark, sf_dir)).taken()
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability, by word frequencies and by the n-gram trie."""
+    return language_model.train_and_score(documents(spark, sf_dir))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard."""
+    return sharding.assign_shards(documents(spark, sf_dir))
+
+
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and of the next document."""
+    return winnowing.compare_with_next(documents(spark, sf_dir))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated strings."""
     left = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
@@ -27,6 +60,27 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected severity."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def digests(coded: DataFrame) -> DataFrame:
+    """The digest columns of encoded and decoded texts."""
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of what they decode to."""
+    return digests(bpe.encode_decode(documents(spark, sf_dir), vocabulary(WORD_VOCABULARY)))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger with the verdicts of the base policy and of the current one."""
     lines = quality_rules.ledger(documents(spark, sf_dir))
@@ -38,13 +92,41 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes and tokens."""
+    counts = token_counts.count_tokens(documents(spark, sf_dir), vocabulary(BYTE_VOCABULARY))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_mixing": op2_mixing,
+    "op3_language_model": op3_language_model,
+    "op4_sharding": op4_sharding,
+    "op5_winnowing": op5_winnowing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {
+    "op4_sharding": """
+with docs as (
+  select doc_id, cast(coalesce(strlen(text), 0) as bigint) as n_bytes,
+    lpad(bin(cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15)) as ubigint)), 60, '0') as bits
+  from documents
+), sums as (
+  select d as depth, substr(bits, 1, d) as shard, cast(sum(n_bytes) as bigint) as shard_bytes, count(*) as shard_docs
+  from docs, (select unnest(range(0, 41)) as d) group by all
+), fits as (
+  select * from sums where shard_bytes <= 1048576 or shard_docs = 1
+)
+select doc_id, n_bytes, f.shard, cast(f.depth as bigint) as depth, f.shard_bytes, f.shard_docs
+from docs join fits f on substr(bits, 1, f.depth) = f.shard
+qualify row_number() over (partition by doc_id order by f.depth) = 1
+""",
     "op9_quality_rules": r"""
 with texts as (
   select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words

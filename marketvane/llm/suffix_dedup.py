@@ -322,7 +322,7 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*left, text[upto:]])
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _removed(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             kept, spans = [], []
@@ -332,17 +332,20 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     _, start, end = _joined(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
                     found = list(zip(start.tolist(), end.tolist(), strict=True))
                 spans.append([{"at": a, "end": b} for a, b in found or ()])
-                kept.append(cut(text or b"", found or []))
+                left = cut(text or b"", found or [])
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
             kind = pa.list_(pa.struct([("at", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(kept, pa.binary()), pa.array(spans, kind)], ["row", "kept", "spans"]
+                [batch.column("row"), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(spans, kind)],
+                ["row", "kept", "spans"],
             )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: `row` (its columns as given, but the text), `kept` (the bytes left) and `spans` (what
-    was removed, as byte offsets [at, end), in order and apart)."""
-    others = [F.col(c) for c in docs.columns if c != text_col]
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """One row a document: `row` (its columns as given, but the text), `kept` (the bytes left, or with `as_text`
+    the text without code points that were cut) and `spans` (what was removed, as byte offsets [at, end), in order
+    and apart)."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     frame = with_tag(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*others).alias("row")))
     kind = frame.schema["id"].dataType.simpleString()
 
@@ -388,5 +391,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return (
         dealt.join(spans, "doc", "left")
         .select("row", "text", "spans")
-        .mapInArrow(_removed, f"row {row_kind}, kept binary, spans array<struct<at: bigint, end: bigint>>")
+        .mapInArrow(
+            lambda batches: _removed(batches, as_text),
+            f"row {row_kind}, kept {'string' if as_text else 'binary'}, spans array<struct<at: bigint, end: bigint>>",
+        )
     )
