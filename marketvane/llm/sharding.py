@@ -23,7 +23,7 @@ from .common import stored
 LIMIT_BYTES = 1 << 20
 #: Address bits: what 15 hex digits of md5 hold, and as many again for rows of one id.
 ID_BITS = 60
-ROUND_BITS = 12
+ROUND_BITS = 8
 
 
 def address(value: Column) -> Column:
