@@ -34,7 +34,7 @@ LIMIT = 2.0
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 4096
 #: Documents that one window orders, about.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2000
 SEED = 7
 
 
@@ -218,7 +218,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = sizes(docs, id_col, text_col, source_col)
     mixed = plan(sized)
     where = placed(sized, mixed)
-    pieces = slots(docs.sparkSession, mixed, seed).join(block_spans(where), ["number", "block"])
+    # Both sides grow with the corpus, whatever Spark expects of a range: never broadcast one.
+    pieces = slots(docs.sparkSession, mixed, seed).hint("merge").join(block_spans(where), ["number", "block"])
     return Mix(mixed, where, pieces)
 
 
