@@ -33,6 +33,8 @@ BUDGET = 1.5
 LIMIT = 2.0
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 4096
+#: Shards whose slots one task makes, about: few rows become many here, which Spark can't foresee.
+TASK_SHARDS = 16
 #: Documents that one window orders, about.
 BUCKET_DOCS = 2000
 SEED = 7
@@ -179,6 +181,7 @@ def slots(spark: SparkSession, mixed: Plan, seed: int = SEED) -> DataFrame:
                     ["shard", "place", "number", "epoch", "block"],
                 )
 
+    runs = runs.repartition(mixed.shards // TASK_SHARDS + 1, "shard")
     return runs.mapInArrow(dealt, "shard bigint, place bigint, number int, epoch bigint, block bigint")
 
 
