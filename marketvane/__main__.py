@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .plans.pipeline import Warehouse, run
 from .registry import METHODS
@@ -18,12 +19,17 @@ def main() -> None:
     parser.add_argument("output", help="folder the result tables are written to")
     parser.add_argument("--format", choices=("csv", "parquet"), default="csv")
     parser.add_argument("--methods", nargs="+", choices=METHODS, default=list(METHODS))
+    parser.add_argument("--as-of", help="moment of the run, as 'YYYY-MM-DD hh:mm:ss'; now unless given")
     parser.add_argument("--skip-quality-gate", action="store_true")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("marketvane").getOrCreate()
     read = read_csv_star if args.format == "csv" else read_parquet_star
-    warehouse = Warehouse(read(spark, args.input), Workspace(spark), tuple(args.methods))
+    moment = F.lit(args.as_of) if args.as_of else F.current_timestamp()
+    moment = moment.cast("timestamp_ntz")
+    warehouse = Warehouse(
+        read(spark, args.input), Workspace(spark), tuple(args.methods), as_of=moment, judged_at=moment
+    )
     for name, frame in run(warehouse, not args.skip_quality_gate).items():
         write_table(frame, f"{args.output}/{name}")
 

@@ -20,6 +20,9 @@ from .pipeline import Warehouse
 # The detectors whose results SQL can restate; the forest joins them in the `forest_*` queries.
 SQL_METHODS = METHODS[:3]
 
+# The load's moment of the registered queries. It lies inside the data, so the check for later orders finds some.
+LOADED_AT = "2001-07-01 00:00:00"
+
 _workspaces: dict[tuple[str, str], Workspace] = {}
 _warehouses: dict[tuple[str, str, tuple[str, ...]], Warehouse] = {}
 
@@ -37,7 +40,9 @@ def warehouse(spark: SparkSession, folder: str, methods: tuple[str, ...] = SQL_M
     if key not in _warehouses:
         workspace = _workspace(spark, folder)
         star = commerce_star(spark, folder, workspace)
-        _warehouses[key] = Warehouse(star, workspace, methods, status_updates, EPISODE_RATE_FLOOR)
+        _warehouses[key] = Warehouse(
+            star, workspace, methods, status_updates, EPISODE_RATE_FLOOR, F.lit(LOADED_AT).cast("timestamp_ntz")
+        )
     return _warehouses[key]
 
 

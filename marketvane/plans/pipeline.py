@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from hashlib import blake2b
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,12 @@ class Warehouse:
     stored when first used; everything else stays a lazy frame, so a query computes what it needs.
 
     `methods` names the detectors that vote. `updates` turns new tickets into status updates.
-    With `rate_floor`, the labelled episodes are put into the spine before detection.
+    With `rate_floor`, the labelled episodes are put into the spine before detection. `as_of` is the moment
+    of the load, now unless given: an order dated later is a fault. Tickets are judged at `judged_at`, the
+    last day of the series unless given.
+
+    A stored table's name holds a digest of all that shapes it, so warehouses that differ in their input or
+    parameters can share a workspace.
     """
 
     def __init__(
@@ -34,13 +40,28 @@ class Warehouse:
         updates: Callable[[DataFrame], DataFrame] | None = None,
         rate_floor: float | None = None,
         as_of: Column | None = None,
+        judged_at: Column | None = None,
     ):
         self.star = star
         self.workspace = workspace
         self.methods = methods
         self.updates = updates
         self.rate_floor = rate_floor
-        self._as_of = as_of
+        self.as_of = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
+        self._judged_at = judged_at
+
+    @cached_property
+    def _input(self) -> tuple:
+        return tuple((name, frame.semanticHash()) for name, frame in sorted(self.star.items()))
+
+    def _store(self, name: str, build: Callable[[], DataFrame], *shaped_by: object, sort_by: str | None = None) -> DataFrame:
+        digest = blake2b(repr((self._input, *shaped_by)).encode(), digest_size=8).hexdigest()
+        return self.workspace.table(f"{name}-{digest}", build, sort_by)
+
+    @property
+    def _voted(self) -> tuple:
+        """What shapes the flags and all that follows from them."""
+        return self.rate_floor, self.methods
 
     @property
     def sellers(self) -> DataFrame:
@@ -55,7 +76,7 @@ class Warehouse:
         """The spine with each seller's cohort, stored."""
         s = self.star
         facts = (s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"])
-        return self.workspace.table(
+        return self._store(
             "fact_seller_daily_metrics",
             lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers), self.sellers),
             sort_by="metric_date",
@@ -66,7 +87,7 @@ class Warehouse:
         """The series the detectors read, with each seller's cohort."""
         if self.rate_floor is None:
             return self._spine_members
-        return self.workspace.table("monitored_series", self.injected, sort_by="metric_date")
+        return self._store("monitored_series", self.injected, self.rate_floor, sort_by="metric_date")
 
     def injected(self) -> DataFrame:
         return inject_episodes(self._spine_members, self.episodes, self.rate_floor or 0.0)
@@ -79,18 +100,11 @@ class Warehouse:
     def series(self) -> DataFrame:
         return self.members.select(*SPINE_TYPES)
 
-    @property
-    def as_of(self) -> Column:
-        """The moment of the load: the last order day unless given."""
-        if self._as_of is not None:
-            return self._as_of
-        return self.star["fact_orders"].agg(F.max("order_date").cast("timestamp_ntz").alias("t")).scalar()
-
     @property
     def reporting_time(self) -> Column:
         """The moment tickets are judged at. The spine ends on the last order day, and is far smaller."""
-        if self._as_of is not None:
-            return self._as_of
+        if self._judged_at is not None:
+            return self._judged_at
         return self.series.agg(F.max("metric_date").cast("timestamp_ntz").alias("t")).scalar()
 
     def dq_report(self) -> DataFrame:
@@ -120,8 +134,8 @@ class Warehouse:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return self.workspace.table(
-            "detector_candidates", lambda: detectors.candidates(baselines.detector_profile(self.series))
+        return self._store(
+            "detector_candidates", lambda: detectors.candidates(baselines.detector_profile(self.series)), self.rate_floor
         )
 
     def zscore_flags(self) -> DataFrame:
@@ -139,7 +153,7 @@ class Warehouse:
 
     @cached_property
     def forest_scores(self) -> DataFrame:
-        return self.workspace.table("forest_scores", lambda: forest.score(self.forest_rows))
+        return self._store("forest_scores", lambda: forest.score(self.forest_rows), self.rate_floor)
 
     def forest_flags(self) -> DataFrame:
         return forest.forest_flags(self.forest_rows, self.forest_scores)
@@ -152,8 +166,8 @@ class Warehouse:
             "CUSUM": self.cusum_flags,
             "IsolationForest": self.forest_flags,
         }
-        return self.workspace.table(
-            f"method_flags_{len(self.methods)}", lambda: ensemble.collect_flags(*[detect[m]() for m in self.methods])
+        return self._store(
+            "method_flags", lambda: ensemble.collect_flags(*[detect[m]() for m in self.methods]), *self._voted
         )
 
     def votes(self) -> DataFrame:
@@ -164,47 +178,36 @@ class Warehouse:
 
     @cached_property
     def unique_flags(self) -> DataFrame:
-        return self.workspace.table(
-            f"unique_flags_{len(self.methods)}",
-            lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()),
+        return self._store(
+            "unique_flags", lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()), *self._voted
         )
 
     @cached_property
     def flags(self) -> DataFrame:
-        return self.workspace.table(
-            f"fact_anomaly_flags_{len(self.methods)}",
-            lambda: ensemble.number_flags(self.unique_flags),
-            sort_by="flag_date",
+        return self._store(
+            "fact_anomaly_flags", lambda: ensemble.number_flags(self.unique_flags), *self._voted, sort_by="flag_date"
         )
 
     @cached_property
     def measured(self) -> DataFrame:
-        return self.workspace.table(
-            f"penalized_series_{len(self.methods)}", lambda: scoring.with_penalty(self.series, self.flags)
-        )
+        return self._store("penalized_series", lambda: scoring.with_penalty(self.series, self.flags), *self._voted)
 
     @cached_property
     def health(self) -> DataFrame:
-        return self.workspace.table(
-            f"seller_health_score_{len(self.methods)}",
-            lambda: scoring.health_scores(self.measured),
-            sort_by="score_date",
+        return self._store(
+            "seller_health_score", lambda: scoring.health_scores(self.measured), *self._voted, sort_by="score_date"
         )
 
     @cached_property
     def exposed_cases(self) -> DataFrame:
-        return self.workspace.table(
-            f"exposed_cases_{len(self.methods)}", lambda: scoring.exposed_cases(self.series, self.flags)
-        )
+        return self._store("exposed_cases", lambda: scoring.exposed_cases(self.series, self.flags), *self._voted)
 
     def priority(self) -> DataFrame:
         return scoring.priority_scores(self.exposed_cases)
 
     @cached_property
     def new_tickets(self) -> DataFrame:
-        return self.workspace.table(
-            f"new_tickets_{len(self.methods)}", lambda: tickets.build_tickets(self.priority())
-        )
+        return self._store("new_tickets", lambda: tickets.build_tickets(self.priority()), *self._voted)
 
     def merged_tickets(self) -> DataFrame:
         if self.updates is None:
@@ -213,9 +216,12 @@ class Warehouse:
 
     @cached_property
     def tickets(self) -> DataFrame:
-        return self.workspace.table(
-            f"investigation_tickets_{len(self.methods)}",
+        return self._store(
+            "investigation_tickets",
             lambda: tickets.mark_breaches(self.merged_tickets(), self.reporting_time),
+            *self._voted,
+            self.updates,
+            str(self._judged_at),
         )
 
     def sla_summary(self) -> DataFrame:
