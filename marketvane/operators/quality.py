@@ -92,6 +92,15 @@ def gate(dq_report: DataFrame) -> None:
 
 
 # Allowed labels of the enumerated columns.
+ROOT_CAUSES = (
+    "Logistics",
+    "Inventory",
+    "Pricing",
+    "Product_Quality",
+    "Seller_Behavior",
+    "Review_Anomaly",
+    "Data_Quality",
+)
 ENUMS = {
     "dim_seller": {
         "tenure_cohort": ("New", "Growing", "Established", "Veteran"),
@@ -122,15 +131,7 @@ ENUMS = {
     "investigation_tickets": {
         "severity": SEVERITIES,
         "status": TICKET_STATUSES,
-        "root_cause_category": (
-            "Logistics",
-            "Inventory",
-            "Pricing",
-            "Product_Quality",
-            "Seller_Behavior",
-            "Review_Anomaly",
-            "Data_Quality",
-        ),
+        "root_cause_category": ROOT_CAUSES,
     },
     "seller_health_score": {"health_tier": HEALTH_TIERS},
 }

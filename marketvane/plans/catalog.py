@@ -12,7 +12,8 @@ from ..functions.numeric import half_up
 from ..operators import baselines, detectors
 from ..registry import METHODS
 from ..sources.activity import ACTIVITY_METRICS, activity_series
-from ..sources.commerce import EPISODE_RATE_FLOOR, commerce_star, status_updates
+from ..sources.commerce import commerce_star
+from ..sources.fixture import status_updates
 from ..workspace import Workspace
 from . import questions, reports
 from .pipeline import Warehouse
@@ -40,9 +41,8 @@ def warehouse(spark: SparkSession, folder: str, methods: tuple[str, ...] = SQL_M
     if key not in _warehouses:
         workspace = _workspace(spark, folder)
         star = commerce_star(spark, folder, workspace)
-        _warehouses[key] = Warehouse(
-            star, workspace, methods, status_updates, EPISODE_RATE_FLOOR, F.lit(LOADED_AT).cast("timestamp_ntz")
-        )
+        loaded_at = F.lit(LOADED_AT).cast("timestamp_ntz")
+        _warehouses[key] = Warehouse(star, workspace, methods, status_updates, loaded_at)
     return _warehouses[key]
 
 
@@ -118,7 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trimmed_extract": _on(lambda w: _rounded(w.trimmed_extract(), *COHORT)),
     # series and baselines
     "daily_metrics": _on(lambda w: w.spine),
-    "inject_episodes": _on(lambda w: w.series),
     "rolling_baseline": _on(lambda w: _rounded(w.rolling_baseline(), *ROLLING)),
     "cohort_baseline": _on(lambda w: _rounded(w.cohort_baseline(), *COHORT)),
     # detection

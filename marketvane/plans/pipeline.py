@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import baselines, detectors, ensemble, evaluation, forest, impact, quality, scoring, spine, summary, tickets
-from ..operators.injection import inject_episodes
 from ..registry import METHODS
 from ..schemas import SPINE_TYPES
 from ..sources.star import write_table
@@ -24,9 +23,8 @@ class Warehouse:
     stored when first used; everything else stays a lazy frame, so a query computes what it needs.
 
     `methods` names the detectors that vote. `updates` turns new tickets into status updates.
-    With `rate_floor`, the labelled episodes are put into the spine before detection. `as_of` is the moment
-    of the load, now unless given: an order dated later is a fault. Tickets are judged at `judged_at`, the
-    last day of the series unless given.
+    `as_of` is the moment of the load, now unless given: an order dated later is a fault. Tickets are judged
+    at `judged_at`, the last day of the series unless given.
 
     A stored table's name holds a digest of all that shapes it, so warehouses that differ in their input or
     parameters can share a workspace.
@@ -38,7 +36,6 @@ class Warehouse:
         workspace: Workspace,
         methods: tuple[str, ...] = METHODS,
         updates: Callable[[DataFrame], DataFrame] | None = None,
-        rate_floor: float | None = None,
         as_of: Column | None = None,
         judged_at: Column | None = None,
     ):
@@ -46,7 +43,6 @@ class Warehouse:
         self.workspace = workspace
         self.methods = methods
         self.updates = updates
-        self.rate_floor = rate_floor
         self.as_of = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
         self._judged_at = judged_at
 
@@ -58,11 +54,6 @@ class Warehouse:
         digest = blake2b(repr((self._input, *shaped_by)).encode(), digest_size=8).hexdigest()
         return self.workspace.table(f"{name}-{digest}", build, sort_by)
 
-    @property
-    def _voted(self) -> tuple:
-        """What shapes the flags and all that follows from them."""
-        return self.rate_floor, self.methods
-
     @property
     def sellers(self) -> DataFrame:
         return self.star["dim_seller"]
@@ -72,7 +63,7 @@ class Warehouse:
         return self.star["ground_truth_anomalies"]
 
     @cached_property
-    def _spine_members(self) -> DataFrame:
+    def members(self) -> DataFrame:
         """The spine with each seller's cohort, stored."""
         s = self.star
         facts = (s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"])
@@ -82,22 +73,8 @@ class Warehouse:
             sort_by="metric_date",
         )
 
-    @cached_property
-    def members(self) -> DataFrame:
-        """The series the detectors read, with each seller's cohort."""
-        if self.rate_floor is None:
-            return self._spine_members
-        return self._store("monitored_series", self.injected, self.rate_floor, sort_by="metric_date")
-
-    def injected(self) -> DataFrame:
-        return inject_episodes(self._spine_members, self.episodes, self.rate_floor or 0.0)
-
     @property
     def spine(self) -> DataFrame:
-        return self._spine_members.select(*SPINE_TYPES)
-
-    @property
-    def series(self) -> DataFrame:
         return self.members.select(*SPINE_TYPES)
 
     @property
@@ -105,7 +82,7 @@ class Warehouse:
         """The moment tickets are judged at. The spine ends on the last order day, and is far smaller."""
         if self._judged_at is not None:
             return self._judged_at
-        return self.series.agg(F.max("metric_date").cast("timestamp_ntz").alias("t")).scalar()
+        return self.spine.agg(F.max("metric_date").cast("timestamp_ntz").alias("t")).scalar()
 
     def dq_report(self) -> DataFrame:
         return quality.report(quality.raw_checks(self.star, self.as_of), quality.spine_check(self.spine))
@@ -122,7 +99,7 @@ class Warehouse:
         )
 
     def rolling_baseline(self) -> DataFrame:
-        return baselines.rolling_baseline(self.series)
+        return baselines.rolling_baseline(self.spine)
 
     def cohort_baseline(self, days: int | None = None) -> DataFrame:
         """Peer baseline of all days, or of the last `days` before the spine's last date.
@@ -135,7 +112,7 @@ class Warehouse:
     @cached_property
     def candidates(self) -> DataFrame:
         return self._store(
-            "detector_candidates", lambda: detectors.candidates(baselines.detector_profile(self.series)), self.rate_floor
+            "detector_candidates", lambda: detectors.candidates(baselines.detector_profile(self.spine))
         )
 
     def zscore_flags(self) -> DataFrame:
@@ -153,7 +130,7 @@ class Warehouse:
 
     @cached_property
     def forest_scores(self) -> DataFrame:
-        return self._store("forest_scores", lambda: forest.score(self.forest_rows), self.rate_floor)
+        return self._store("forest_scores", lambda: forest.score(self.forest_rows))
 
     def forest_flags(self) -> DataFrame:
         return forest.forest_flags(self.forest_rows, self.forest_scores)
@@ -167,7 +144,7 @@ class Warehouse:
             "IsolationForest": self.forest_flags,
         }
         return self._store(
-            "method_flags", lambda: ensemble.collect_flags(*[detect[m]() for m in self.methods]), *self._voted
+            "method_flags", lambda: ensemble.collect_flags(*[detect[m]() for m in self.methods]), self.methods
         )
 
     def votes(self) -> DataFrame:
@@ -179,35 +156,35 @@ class Warehouse:
     @cached_property
     def unique_flags(self) -> DataFrame:
         return self._store(
-            "unique_flags", lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()), *self._voted
+            "unique_flags", lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()), self.methods
         )
 
     @cached_property
     def flags(self) -> DataFrame:
         return self._store(
-            "fact_anomaly_flags", lambda: ensemble.number_flags(self.unique_flags), *self._voted, sort_by="flag_date"
+            "fact_anomaly_flags", lambda: ensemble.number_flags(self.unique_flags), self.methods, sort_by="flag_date"
         )
 
     @cached_property
     def measured(self) -> DataFrame:
-        return self._store("penalized_series", lambda: scoring.with_penalty(self.series, self.flags), *self._voted)
+        return self._store("penalized_series", lambda: scoring.with_penalty(self.spine, self.flags), self.methods)
 
     @cached_property
     def health(self) -> DataFrame:
         return self._store(
-            "seller_health_score", lambda: scoring.health_scores(self.measured), *self._voted, sort_by="score_date"
+            "seller_health_score", lambda: scoring.health_scores(self.measured), self.methods, sort_by="score_date"
         )
 
     @cached_property
     def exposed_cases(self) -> DataFrame:
-        return self._store("exposed_cases", lambda: scoring.exposed_cases(self.series, self.flags), *self._voted)
+        return self._store("exposed_cases", lambda: scoring.exposed_cases(self.spine, self.flags), self.methods)
 
     def priority(self) -> DataFrame:
         return scoring.priority_scores(self.exposed_cases)
 
     @cached_property
     def new_tickets(self) -> DataFrame:
-        return self._store("new_tickets", lambda: tickets.build_tickets(self.priority()), *self._voted)
+        return self._store("new_tickets", lambda: tickets.build_tickets(self.priority()), self.methods)
 
     def merged_tickets(self) -> DataFrame:
         if self.updates is None:
@@ -219,7 +196,7 @@ class Warehouse:
         return self._store(
             "investigation_tickets",
             lambda: tickets.mark_breaches(self.merged_tickets(), self.reporting_time),
-            *self._voted,
+            self.methods,
             self.updates,
             str(self._judged_at),
         )
@@ -240,7 +217,7 @@ class Warehouse:
         return evaluation.seller_confusion(self.flags, self.episodes)
 
     def business_impact(self) -> DataFrame:
-        return impact.business_impact(self.tickets, self.flags, self.series, self.episodes)
+        return impact.business_impact(self.tickets, self.flags, self.spine, self.episodes)
 
     def dataset_summary(self) -> DataFrame:
         return summary.dataset_summary(self.star, self.as_of)
@@ -282,7 +259,7 @@ def export(warehouse: Warehouse, folder: str) -> None:
     """Write the extract a reporting site needs."""
     whole = (
         warehouse.sellers,
-        warehouse.series,
+        warehouse.spine,
         warehouse.flags,
         warehouse.tickets,
         warehouse.health,

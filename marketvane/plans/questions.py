@@ -90,7 +90,7 @@ def currently_critical(w: Warehouse) -> DataFrame:
 def highest_impact(w: Warehouse, top: int = 25) -> DataFrame:
     """Q3: tickets of highest priority with that day's sales and orders."""
     best = w.tickets.orderBy(F.desc("priority_score"), "case_id").limit(top)
-    day = w.series.select("seller_id", c("metric_date").alias("detected_date"), "gmv", "order_volume")
+    day = w.spine.select("seller_id", c("metric_date").alias("detected_date"), "gmv", "order_volume")
     return (
         with_lead_flag(w, best, "anomaly_type", "affected_metric")
         .join(w.sellers.select("seller_id", "seller_name"), "seller_id")

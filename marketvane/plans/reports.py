@@ -102,7 +102,7 @@ def top_risk(w: Warehouse, top: int = 5) -> DataFrame:
 def risky_sellers(w: Warehouse, top: int = 30) -> DataFrame:
     """Lowest health scores with that day's metrics, flag count and highest open priority."""
     worst = latest_health(w).orderBy("health_score", "seller_id").limit(top)
-    day = w.series.select(
+    day = w.spine.select(
         "seller_id", c("metric_date").alias("score_date"), "defect_rate", "late_shipment_rate", "return_rate", "avg_rating"
     )
     urgent = (
@@ -243,7 +243,7 @@ def seller_360(w: Warehouse, seller_id: int) -> dict[str, DataFrame]:
     return {
         "profile": w.sellers.where(mine),
         "health": w.health.where(mine).select("score_date", "health_score", "health_tier").orderBy("score_date"),
-        "metrics": w.series.where(mine)
+        "metrics": w.spine.where(mine)
         .select("metric_date", "defect_rate", "late_shipment_rate", "return_rate", "avg_rating", "order_volume", "gmv")
         .orderBy("metric_date"),
         "flags": _cases(w)
@@ -337,7 +337,7 @@ def executive_measures(w: Warehouse) -> DataFrame:
 def gmv_at_risk(w: Warehouse) -> DataFrame:
     """All sales of the sellers that are At_Risk or Critical on the latest day."""
     at_risk = latest_health(w).where(c("health_tier").isin("At_Risk", "Critical")).select("seller_id")
-    return w.series.join(at_risk, "seller_id", "left_semi").agg(
+    return w.spine.join(at_risk, "seller_id", "left_semi").agg(
         F.count_distinct("seller_id").alias("sellers_at_risk"),
         F.coalesce(F.sum("gmv").cast("double"), F.lit(0.0)).alias("gmv_at_risk"),
     )

@@ -11,44 +11,12 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import calendar
 from ..operators.spine import order_bounds
-from ..registry import ANOMALY_TYPES
 from ..workspace import Workspace
+from .fixture import labelled_episodes
 
 LATE_AFTER_DAYS = 1500
-EPISODE_RATE_FLOOR = 0.2
 CALENDAR_LEAD_DAYS = 365
 
-# Middle of each episode type's magnitude range.
-MAGNITUDES = {
-    "Late_Shipment_Spike": 5.0,
-    "Defect_Rate_Rise": 3.75,
-    "Return_Rate_Spike": 4.25,
-    "Review_Velocity_Spike": 7.0,
-    "Rating_Manipulation": 1.25,
-    "Price_Anomaly": 1.15,
-    "Order_Volume_Shock": 0.275,
-    "Multi_Metric_Deterioration": 3.0,
-}
-METRIC_OF_TYPE = {
-    "Late_Shipment_Spike": "late_shipment_rate",
-    "Defect_Rate_Rise": "defect_rate",
-    "Return_Rate_Spike": "return_rate",
-    "Review_Velocity_Spike": "review_velocity",
-    "Rating_Manipulation": "avg_rating",
-    "Price_Anomaly": "avg_price",
-    "Order_Volume_Shock": "order_volume",
-    "Multi_Metric_Deterioration": "multiple",
-}
-ROOT_CAUSES = (
-    "Logistics",
-    "Inventory",
-    "Pricing",
-    "Product_Quality",
-    "Seller_Behavior",
-    "Review_Anomaly",
-    "Data_Quality",
-)
-
 
 def _day(text: str) -> Column:
     return F.lit(text).cast("date")
@@ -192,74 +160,11 @@ def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {"dim_seller": sellers, "dim_product": products, "dim_customer": customers}
 
 
-def labelled_episodes(sellers: DataFrame, orders: DataFrame) -> DataFrame:
-    """One episode for every sixth seller, in the last 200 days."""
-    key = F.col("seller_id")
-    last = order_bounds(orders).select("last_date").scalar()
-    kind = _pick(ANOMALY_TYPES, F.floor(key / 6) % 8)
-    chosen = sellers.where(key % 6 == 0).select(
-        (F.floor(key / 6) + 1).alias("ground_truth_id"),
-        "seller_id",
-        kind.alias("anomaly_type"),
-        F.date_add(F.date_sub(last, 200), (key % 100).cast("int")).alias("start_date"),
-    )
-    return chosen.select(
-        "ground_truth_id",
-        "seller_id",
-        "anomaly_type",
-        _lookup(METRIC_OF_TYPE).alias("affected_metric"),
-        "start_date",
-        F.date_add("start_date", (10 + key % 25).cast("int")).alias("end_date"),
-        _lookup(MAGNITUDES).cast("decimal(10,4)").alias("injected_magnitude"),
-        F.concat(F.lit("Labelled episode: "), "anomaly_type").alias("notes"),
-    )
-
-
-def _lookup(mapping: dict) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.element_at(table, F.col("anomaly_type"))
-
-
 def commerce_star(spark: SparkSession, folder: str, workspace: Workspace) -> dict[str, DataFrame]:
     """All nine star tables. The lines are joined with their orders once and stored."""
     lines = workspace.table("order_lines", lambda: order_lines(spark, folder))
     star = {**_dimensions(spark, folder), **_facts(lines)}
-    star["dim_date"] = calendar(order_bounds(star["fact_orders"]), CALENDAR_LEAD_DAYS)
-    star["ground_truth_anomalies"] = labelled_episodes(star["dim_seller"], star["fact_orders"])
+    bounds = workspace.table("order_bounds", lambda: order_bounds(star["fact_orders"]))
+    star["dim_date"] = calendar(bounds, CALENDAR_LEAD_DAYS)
+    star["ground_truth_anomalies"] = labelled_episodes(star["dim_seller"], bounds)
     return star
-
-
-def status_updates(tickets: DataFrame) -> DataFrame:
-    """Case work derived from the case number: a first look at every third case, then outcomes."""
-    case = F.col("case_id")
-    digit = case % 10
-    minutes = F.col("sla_hours") * 6 * (case % 15)
-    worked = F.col("detected_date").cast("timestamp_ntz") + F.make_dt_interval(mins=minutes.cast("int"))
-    investigator = F.concat(F.lit("Investigator "), case % 8)
-    none = F.lit(None).cast("string")
-    looked_at = tickets.where(case % 3 == 0).select(
-        "case_id",
-        F.lit("Investigating").alias("status"),
-        none.alias("root_cause"),
-        F.lit("Under review").alias("notes"),
-        none.alias("resolution"),
-        investigator.alias("assigned_investigator"),
-        F.col("detected_date").cast("timestamp_ntz").alias("updated_at"),
-    )
-    outcome = (
-        F.when(digit <= 2, "False_Positive")
-        .when(digit == 3, "Escalated")
-        .when(digit <= 7, "Resolved")
-        .otherwise("Action_Required")
-    )
-    closed = digit <= 7
-    decided = tickets.where(digit <= 8).select(
-        "case_id",
-        outcome.alias("status"),
-        F.when(closed, _pick(ROOT_CAUSES, case % 7)).alias("root_cause"),
-        none.alias("notes"),
-        F.when(closed, F.concat(F.lit("Closed as "), outcome)).alias("resolution"),
-        investigator.alias("assigned_investigator"),
-        worked.alias("updated_at"),
-    )
-    return looked_at.unionByName(decided)

@@ -145,9 +145,8 @@ Q["dq_domains"] = report(
     }
 )
 
-Q["trimmed_extract"] = f"SELECT * FROM ({COHORT_VIEW}) WHERE metric_date >= (SELECT max(metric_date) - 60 FROM series_units)"
+Q["trimmed_extract"] = f"SELECT * FROM ({COHORT_VIEW}) WHERE metric_date >= (SELECT max(metric_date) - 60 FROM spine_units)"
 Q["daily_metrics"] = spine_view("spine_units")
-Q["inject_episodes"] = spine_view("series_units")
 Q["rolling_baseline"] = rolling_view("self_z")
 Q["cohort_baseline"] = COHORT_VIEW
 for _t in ("zscore_flags", "iqr_flags", "cusum_flags"):
@@ -212,7 +211,7 @@ FROM (SELECT *, {hu("days * orders", 0)} AS saved, {hu("days * gmv", 2)} AS expo
             FROM tickets t JOIN flags f ON f.flag_id = t.primary_flag_id
             JOIN episodes e ON e.seller_id = t.seller_id AND e.anomaly_type = f.anomaly_type AND t.detected_date >= e.start_date
             JOIN (SELECT seller_id, sum(order_volume) / CAST(count(*) AS DOUBLE) AS orders, sum(gmv) / 100.0::DOUBLE / count(*) AS gmv
-                  FROM series_units GROUP BY 1) a ON a.seller_id = t.seller_id
+                  FROM spine_units GROUP BY 1) a ON a.seller_id = t.seller_id
             WHERE t.status IN ('Resolved', 'Escalated')))"""
 
 Q["q1_deteriorating"] = f"""
@@ -230,9 +229,9 @@ Q["q3_impact"] = """
 SELECT case_id, t.seller_id, seller_name, anomaly_type, affected_metric, t.severity, priority_score, detected_date, status,
        m.gmv / 100.0::DOUBLE AS gmv_on_detection_day, m.order_volume AS orders_on_detection_day
 FROM tickets t JOIN flags f ON f.flag_id = t.primary_flag_id JOIN sellers s ON s.seller_id = t.seller_id
-LEFT JOIN series_units m ON m.seller_id = t.seller_id AND m.metric_date = t.detected_date
+LEFT JOIN spine_units m ON m.seller_id = t.seller_id AND m.metric_date = t.detected_date
 ORDER BY priority_score DESC, case_id LIMIT 25"""
-_RECENT = "metric_date >= (SELECT max(metric_date) - 30 FROM series_units) AND z IS NOT NULL"
+_RECENT = "metric_date >= (SELECT max(metric_date) - 30 FROM spine_units) AND z IS NOT NULL"
 Q["q4_vs_peers"] = f"""
 SELECT seller_id, s.seller_name, p.tenure_cohort, p.primary_category, p.seller_segment, {hu("avg(abs(z))", 2)} AS avg_abs_cohort_zscore_30d,
        count(*) FILTER (round(abs(z), 9) >= 2.5) AS days_flagged_vs_peers
@@ -304,7 +303,7 @@ SELECT h.seller_id, seller_name, seller_segment, primary_category, health_score,
        m.avg_rating / 1000.0::DOUBLE AS avg_rating, {_ANOMALIES} AS anomaly_count,
        (SELECT max(priority_score) FROM tickets t WHERE t.seller_id = h.seller_id AND {_UNRESOLVED}) AS open_priority_score
 FROM latest h JOIN sellers s ON s.seller_id = h.seller_id
-LEFT JOIN series_units m ON m.seller_id = h.seller_id AND m.metric_date = h.score_date
+LEFT JOIN spine_units m ON m.seller_id = h.seller_id AND m.metric_date = h.score_date
 ORDER BY health_score, h.seller_id LIMIT 30"""
 Q["r_flag_frequency"] = f"""
 SELECT seller_id, seller_name, anomaly_count FROM (
@@ -334,7 +333,7 @@ FROM sellers s LEFT JOIN (SELECT seller_id, arg_max(health_score, score_date) AS
                           FROM health GROUP BY 1) h ON h.seller_id = s.seller_id"""
 Q["r_peer_latest"] = f"""
 SELECT seller_id, metric_name, observed_value, cohort_mean, cohort_zscore FROM ({COHORT_VIEW})
-WHERE metric_date = (SELECT max(metric_date) FROM series_units)"""
+WHERE metric_date = (SELECT max(metric_date) FROM spine_units)"""
 Q["m_flag_mom"] = f"""
 SELECT a.month, a.flags, CAST(b.flags AS DOUBLE) AS flags_prior_month, {hu("100.0 * (a.flags - b.flags) / CAST(b.flags AS DOUBLE)", 2)} AS mom_pct
 FROM (SELECT CAST(date_trunc('month', flag_date) AS DATE) AS month, count(*) AS flags FROM {_CASES} GROUP BY 1) a
@@ -348,7 +347,7 @@ SELECT (SELECT count(*) FROM sellers) AS total_sellers,
 FROM tickets"""
 Q["m_gmv_at_risk"] = """
 SELECT count(DISTINCT seller_id) AS sellers_at_risk, coalesce(sum(gmv), 0) / 100.0::DOUBLE AS gmv_at_risk
-FROM series_units WHERE seller_id IN (SELECT seller_id FROM latest WHERE health_tier IN ('At_Risk', 'Critical'))"""
+FROM spine_units WHERE seller_id IN (SELECT seller_id FROM latest WHERE health_tier IN ('At_Risk', 'Critical'))"""
 
 # The user-event series: metrics 1, 5 and 6 of the registry, and only days with events.
 EVENT_STAGES = {

@@ -153,45 +153,14 @@ SELECT seller_id, metric_date, order_volume, {d("gmv", 100)}, {d("avg_order_valu
 FROM {source}"""
 
 
-MAGNITUDES = [5.0, 3.75, 4.25, 7.0, 1.25, 1.15, 0.275, 3.0]
-
 STAGES["episodes"] = f"""
-SELECT *, {case("anomaly_type", list(zip(TYPES, [f"{m}::DOUBLE" for m in MAGNITUDES])))} AS magnitude
-FROM (SELECT seller_id // 6 + 1 AS ground_truth_id, seller_id,
-             (ARRAY[{", ".join(f"'{t}'" for t in TYPES)}])[(seller_id // 6) % 8 + 1] AS anomaly_type,
-             last_date - 200 + CAST(seller_id % 100 AS INTEGER) AS start_date,
-             last_date - 200 + CAST(seller_id % 100 + 10 + seller_id % 25 AS INTEGER) AS end_date
-      FROM sellers, bounds WHERE seller_id % 6 = 0)"""
-
-
-def _changed(metric: str, effects, digits: int, floor: float, cap: float | None) -> str:
-    """A metric after the episodes, in units."""
-    scale = 10**digits
-    factor = "CASE " + " ".join(
-        f"WHEN e.anomaly_type = '{kind}' THEN 1 + ({used} - 1) * {share}::DOUBLE" for kind, used, share in effects
-    ) + " END"
-    value = f"(s.{metric} / {scale}.0::DOUBLE) * ({factor}) + {floor}::DOUBLE"
-    if cap is not None:
-        value = f"least({value}, {cap}::DOUBLE)"
-    units = f"CAST(round({exact(value)}, {digits}) * {scale} AS BIGINT)"
-    return f"CASE WHEN ({factor}) IS NOT NULL THEN {units} ELSE s.{metric} END AS {metric}"
-
-
-STAGES["series_units"] = f"""
-SELECT s.* REPLACE (
-  {_changed("late_shipment_rate", [("Late_Shipment_Spike", "e.magnitude", 1.0), (MULTI, "e.magnitude", 1.0)], 4, 0.2, 1.0)},
-  {_changed("defect_rate", [("Defect_Rate_Rise", "e.magnitude", 0.5)], 4, 0.2, 1.0)},
-  {_changed("return_rate", [("Defect_Rate_Rise", "e.magnitude", 0.9), ("Return_Rate_Spike", "e.magnitude", 0.9), (MULTI, "e.magnitude", 0.9)], 4, 0.2, 1.0)},
-  {_changed("cancellation_rate", [(MULTI, "e.magnitude", 0.6)], 4, 0.2, 1.0)},
-  {_changed("review_velocity", [("Review_Velocity_Spike", "e.magnitude", 1.0)], 3, 0.0, None)},
-  {_changed("avg_rating", [("Rating_Manipulation", "e.magnitude", 1.0)], 3, 0.0, 5.0)},
-  {_changed("avg_price", [("Price_Anomaly", "e.magnitude", 1.0)], 2, 0.0, None)},
-  {_changed("order_volume", [("Order_Volume_Shock", "e.magnitude", 1.0), (MULTI, "least(e.magnitude, 1.8)", 1.0)], 0, 0.0, None)})
-FROM spine_units s LEFT JOIN episodes e
-  ON e.seller_id = s.seller_id AND s.metric_date BETWEEN e.start_date AND e.end_date"""
+SELECT seller_id // 3 + 1 AS ground_truth_id, seller_id, (ARRAY[{", ".join(f"'{t}'" for t in TYPES)}])[(seller_id // 3) % 8 + 1] AS anomaly_type,
+       last_date - 500 + CAST(seller_id * 37 % 400 AS INTEGER) AS start_date,
+       last_date - 500 + CAST(seller_id * 37 % 400 + 60 + seller_id % 40 AS INTEGER) AS end_date
+FROM sellers, bounds WHERE seller_id % 3 = 0"""
 
 STAGES["long_units"] = " UNION ALL ".join(
-    f"SELECT seller_id, metric_date, {i} AS metric, CAST({m[0]} AS BIGINT) AS u FROM series_units WHERE {m[0]} IS NOT NULL"
+    f"SELECT seller_id, metric_date, {i} AS metric, CAST({m[0]} AS BIGINT) AS u FROM spine_units WHERE {m[0]} IS NOT NULL"
     for i, m in enumerate(METRICS)
 )
 
@@ -337,7 +306,7 @@ SELECT s.seller_id, s.metric_date, s.defect_rate / 10000.0::DOUBLE AS defect_rat
        s.return_rate / 10000.0::DOUBLE AS return_rate, s.cancellation_rate / 10000.0::DOUBLE AS cancellation_rate,
        s.negative_review_rate / 10000.0::DOUBLE AS negative_review_rate, s.avg_rating / 1000.0::DOUBLE AS avg_rating,
        CAST(coalesce(sum({case("f.severity", [("Low", 1), ("Medium", 2), ("High", 4), ("Critical", 8)])}), 0) AS DOUBLE) AS penalty
-FROM series_units s LEFT JOIN (SELECT * FROM flags WHERE method = 'Ensemble') f
+FROM spine_units s LEFT JOIN (SELECT * FROM flags WHERE method = 'Ensemble') f
   ON f.seller_id = s.seller_id AND f.flag_date <= s.metric_date AND f.flag_date > s.metric_date - 30
 GROUP BY ALL"""
 
@@ -380,7 +349,7 @@ FROM (SELECT *, CAST({case("severity", [("Low", 25), ("Medium", 50), ("High", 75
              {hu("(rank() OVER (ORDER BY orders_30d) + (count(*) OVER (PARTITION BY orders_30d) - 1) / 2.0::DOUBLE) / CAST(count(*) OVER () AS DOUBLE) * 100", 2)} AS customer_impact_component,
              least(len(list_filter(string_split(reason_code, '_'), lambda x: x IN ('ZScore', 'IQR', 'CUSUM', 'IsolationForest'))), 4) * 25.0::DOUBLE AS confidence_component
       FROM (SELECT f.*, t.gmv_30d, t.orders_30d FROM flags f
-            JOIN (SELECT seller_id, metric_date, sum(gmv) OVER w AS gmv_30d, sum(order_volume) OVER w AS orders_30d FROM series_units
+            JOIN (SELECT seller_id, metric_date, sum(gmv) OVER w AS gmv_30d, sum(order_volume) OVER w AS orders_30d FROM spine_units
                   WINDOW w AS (PARTITION BY seller_id ORDER BY metric_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) t
               ON t.seller_id = f.seller_id AND t.metric_date = f.flag_date
             WHERE f.method = 'Ensemble'))"""
@@ -436,7 +405,7 @@ FROM flags f"""
 STAGES["latest"] = "SELECT * FROM health WHERE score_date = (SELECT max(score_date) FROM health)"
 
 MATERIALIZED = {
-    "lines", "spine_units", "series_units", "long_units", "rolling", "peers", "anchored", "method_flags", "flags", "penalized", "health",
+    "lines", "spine_units", "long_units", "rolling", "peers", "anchored", "method_flags", "flags", "penalized", "health",
     "priority", "new_tickets", "tickets", "votes",
 }
 

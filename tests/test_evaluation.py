@@ -1,14 +1,11 @@
-"""Evaluation, injection and impact against plain loops."""
+"""Evaluation and impact against plain loops."""
 
 import random
-from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from marketvane.operators.evaluation import evaluate_methods, precision_by_severity, recall_by_type, seller_confusion
 from marketvane.operators.impact import business_impact
-from marketvane.operators.injection import inject_episodes
 from marketvane.registry import ANOMALY_TYPES, MULTI_METRIC
 from tests.helpers import DAY0, day, episodes_frame, flags_frame, rows, spine_frame
 
@@ -90,26 +87,6 @@ def test_a_match_needs_the_type_and_the_window(spark):
     assert (got["recall"], got["precision"], got["f1"]) == (0, 0, 0)
 
 
-def test_injection_changes_only_the_window(spark):
-    spine = spine_frame(spark, {1: ["0.1"] * 10, 2: ["0.1"] * 10}, "late_shipment_rate")
-    episode = episodes_frame(spark, [(1, 1, "Late_Shipment_Spike", 3, 5), (2, 2, "Price_Anomaly", 0, 9)])
-    episode = episode.withColumn("injected_magnitude", F.lit("4").cast("decimal(10,4)"))
-    got = rows(inject_episodes(spine, episode), "seller_id", "metric_date")
-    rates = [r["late_shipment_rate"] for r in got]
-    assert rates == [Decimal("0.4000") if n in (3, 4, 5) else Decimal("0.1000") for n in range(20)]
-    capped = rows(inject_episodes(spine, episode, rate_floor=0.9), "seller_id", "metric_date")
-    assert capped[3]["late_shipment_rate"] == 1 and capped[0]["late_shipment_rate"] == Decimal("0.1000")
-    assert inject_episodes(spine, episode).schema.simpleString() == spine.schema.simpleString()
-
-
-def test_volume_uses_the_magnitude_and_multi_metric_is_capped(spark):
-    spine = spine_frame(spark, {1: [10] * 4, 2: [10] * 4})
-    episode = episodes_frame(spark, [(1, 1, "Order_Volume_Shock", 0, 1), (2, 2, MULTI_METRIC, 0, 1)])
-    episode = episode.withColumn("injected_magnitude", F.when(F.col("seller_id") == 1, F.lit("0.25")).otherwise(F.lit("3")).cast("decimal(10,4)"))
-    got = [r["order_volume"] for r in rows(inject_episodes(spine, episode), "seller_id", "metric_date")]
-    assert got == [3, 3, 10, 10, 18, 18, 10, 10]
-
-
 def test_impact_equals_the_pairs(spark):
     rng = random.Random(7)
     kinds = ("Defect_Rate_Rise", "Price_Anomaly")

@@ -57,7 +57,6 @@ def skewed(tmp_path_factory):
     [
         "dq_report",
         "daily_metrics",
-        "inject_episodes",
         "cohort_baseline",
         "zscore_flags",
         "cusum_flags",
