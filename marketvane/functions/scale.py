@@ -44,6 +44,11 @@ def dense_ids(df: DataFrame, name: str, major: Column, minor: Column, fine: list
     )
 
 
+def id_range(key: str, size: int = 4096) -> Column:
+    """The range an id lies in: groups of neighbouring ids, so numbering by (range, id) keeps their natural order."""
+    return F.floor(F.col(key) / size)
+
+
 def _magnitude_bucket(value: Column) -> Column:
     """A bucket that grows with the value: 64 per power of two, so a few thousand in all."""
     return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("long")

@@ -87,7 +87,7 @@ def rolling_baseline(spine: DataFrame, metrics=METRICS) -> DataFrame:
     )
 
 
-def detector_profile(spine: DataFrame, metrics=METRICS) -> DataFrame:
+def detector_profile(spine: DataFrame, metrics=METRICS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Everything the three single-metric detectors need, per seller, day and metric.
 
     One exchange by seller and one sort serve all windows. A window partition holds one seller's
@@ -96,13 +96,13 @@ def detector_profile(spine: DataFrame, metrics=METRICS) -> DataFrame:
     deviation of the first readings, and the two cumulative sums.
 
     The cumulative sum c[t] = max(0, c[t-1] + step[t]) equals the running total of the steps minus
-    its running minimum, so no row depends on a loop.
+    its running minimum, so no row depends on a loop. `keep` names columns of the seller to carry along.
     """
     by_day = _by_day()
     running = by_day.rowsBetween(Window.unboundedPreceding, 0)
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     c = F.col
-    series = with_trailing_stats(long_series(spine.repartition("seller_id"), metrics))
+    series = with_trailing_stats(long_series(spine.repartition("seller_id"), metrics, keep))
     counted = series.select(
         "*",
         F.sort_array(F.collect_list("units").over(_trailing())).alias("recent"),
@@ -134,6 +134,7 @@ def detector_profile(spine: DataFrame, metrics=METRICS) -> DataFrame:
     return drift.select(
         "seller_id",
         "metric_date",
+        *keep,
         "metric",
         "units",
         "roll_mean",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import above, at_least, half_up, relative_pct
+from ..functions.scale import salted_join
 from ..registry import (
     COHORT_KEYS,
     CUSUM_ALARM,
@@ -125,19 +126,20 @@ def _number(x: Column, digits: int) -> Column:
 
 
 def zscore_flags(
-    found: DataFrame, stats: DataFrame, sellers: DataFrame, metrics=METRICS, threshold: float = Z_THRESHOLD
+    found: DataFrame, stats: DataFrame, sellers: DataFrame | None = None, metrics=METRICS, threshold: float = Z_THRESHOLD
 ) -> DataFrame:
     """Readings at least `threshold` deviations from both the seller's own and the peers' mean.
 
-    Only the readings already far from the seller's own baseline meet the peer statistics.
+    Only the readings already far from the seller's own baseline meet the peer statistics, spread by seller, because
+    a bad day of a large cohort has many of them. `sellers` is needed only if `found` lacks the cohort keys.
     """
     unit = unit_of(metrics)
-    name = metric_name(metrics)
     keys = [*COHORT_KEYS, "metric_date", "metric"]
+    far = found.where("z_candidate")
+    if sellers is not None:
+        far = far.join(sellers.select("seller_id", *COHORT_KEYS), "seller_id")
     both = (
-        found.where("z_candidate")
-        .join(sellers.select("seller_id", *COHORT_KEYS), "seller_id")
-        .join(long_cohort_stats(stats, metrics), keys)
+        salted_join(far, long_cohort_stats(stats, metrics), keys, ["seller_id"])
         .withColumns({"self_z": self_zscore(), "peer_z": cohort_zscore()})
         .where(at_least(F.abs(F.col("peer_z")), threshold))
     )
@@ -151,16 +153,16 @@ def zscore_flags(
         half_up((F.abs(self_z) + F.abs(peer_z)) / 2, 4),
         "_self_and_cohort_zscore",
         F.concat(
-            name,
-            F.lit(" moved to "),
+            metric_name(metrics),
+            F.lit(" read "),
             _number(F.col("units") / unit, 4),
-            F.lit(" vs "),
+            F.lit("; the seller's last 28 readings average "),
             _number(F.col("roll_mean") / unit, 4),
-            F.lit(" 28-day self-baseline (z="),
+            F.lit(" ("),
             _number(self_z, 2),
-            F.lit(") and "),
+            F.lit(" deviations away), its peers of the day "),
             _number(F.col("peer_mean") / unit, 4),
-            F.lit(" peer-cohort average (z="),
+            F.lit(" ("),
             _number(peer_z, 2),
             F.lit(")."),
         ),
@@ -183,13 +185,13 @@ def iqr_flags(found: DataFrame, metrics=METRICS, multiplier: float = IQR_MULTIPL
         "_iqr_outlier",
         F.concat(
             metric_name(metrics),
-            F.lit(" = "),
+            F.lit(" read "),
             _number(u / unit, 4),
-            F.lit(" is outside the 28-day IQR fence ["),
+            F.lit(", beyond the range "),
             _number(lower / unit, 4),
-            F.lit(", "),
+            F.lit(" to "),
             _number(upper / unit, 4),
-            F.lit("]."),
+            F.lit(" that the quartiles of the last 28 readings allow."),
         ),
     )
 
@@ -207,14 +209,13 @@ def cusum_flags(found: DataFrame, metrics=METRICS, alarm: float = CUSUM_ALARM) -
         half_up(F.col("cusum"), 4),
         "_cusum_drift",
         F.concat(
-            F.lit("Cumulative drift in "),
             metric_name(metrics),
-            F.lit(" crossed the CUSUM alarm threshold ("),
+            F.lit(" keeps moving away from its early mean of "),
+            _number(F.col("anchor_mean") / unit, 4),
+            F.lit(": the summed drift is "),
             _number(level, 2),
-            F.lit(" > "),
+            F.lit(", the limit "),
             _number(F.col("anchor_std") * alarm / unit, 2),
-            F.lit("), anchored to a pre-drift mean of "),
-            _number(F.col("anchor_mean") / unit, 4),
-            F.lit(": sustained gradual deterioration, not a single-day spike."),
+            F.lit("."),
         ),
     )

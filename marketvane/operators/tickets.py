@@ -6,14 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
-from ..functions.scale import dense_ids
+from ..functions.scale import dense_ids, id_range
 from ..registry import CLOSED_STATUSES, is_open
 
 TICKET_SEVERITIES = ("High", "Critical")
 
 
 def build_tickets(priority: DataFrame) -> DataFrame:
-    """One new ticket per (seller, day) with a High or Critical flag.
+    """One new, numbered ticket per (seller, day) with a High or Critical flag."""
+    return number_tickets(bundle_cases(priority))
+
+
+def number_tickets(bundled: DataFrame) -> DataFrame:
+    """Tickets with a case_id in day order. `bundled` is read several times: pass a stored frame."""
+    return dense_ids(bundled, "case_id", F.col("detected_date"), id_range("seller_id"), ["seller_id"])
+
+
+def bundle_cases(priority: DataFrame) -> DataFrame:
+    """New tickets without a number.
 
     The flag of highest priority leads; the others are attached. A seller-day has at most one flag
     per type, so the collected group is small.
@@ -29,7 +39,7 @@ def build_tickets(priority: DataFrame) -> DataFrame:
     lead = F.element_at("_e", 1)
     none = F.lit(None).cast("string")
     moment = F.lit(None).cast("timestamp_ntz")
-    built = bundled.select(
+    return bundled.select(
         "seller_id",
         lead["flag_id"].alias("primary_flag_id"),
         F.transform(F.slice("_e", 2, F.size("_e")), lambda e: e["flag_id"]).alias("related_flag_ids"),
@@ -51,7 +61,6 @@ def build_tickets(priority: DataFrame) -> DataFrame:
             "updated_at": F.col("detected_date").cast("timestamp_ntz"),
         }
     )
-    return dense_ids(built, "case_id", F.col("detected_date"), F.pmod("seller_id", F.lit(256)), ["seller_id"])
 
 
 def after_hours(day: Column, hours: Column) -> Column:

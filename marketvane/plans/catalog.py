@@ -144,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # business questions
     "q1_deteriorating": _on(questions.fastest_deteriorating),
     "q2_critical": _on(questions.currently_critical),
+    "q2_critical_before": _on(lambda w: questions.currently_critical(w, questions.last_critical_day(w))),
     "q3_impact": _on(questions.highest_impact),
     "q4_vs_peers": _on(questions.unusual_vs_peers),
     "q5_detection_speed": _on(questions.detection_speed),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import baselines, detectors, ensemble, evaluation, forest, impact, quality, scoring, spine, summary, tickets
-from ..registry import METHODS
+from ..registry import COHORT_KEYS, METHODS
 from ..schemas import SPINE_TYPES
 from ..sources.star import write_table
 from ..workspace import Workspace
@@ -112,11 +112,12 @@ class Warehouse:
     @cached_property
     def candidates(self) -> DataFrame:
         return self._store(
-            "detector_candidates", lambda: detectors.candidates(baselines.detector_profile(self.spine))
+            "detector_candidates",
+            lambda: detectors.candidates(baselines.detector_profile(self.members, keep=COHORT_KEYS)),
         )
 
     def zscore_flags(self) -> DataFrame:
-        return detectors.zscore_flags(self.candidates, baselines.cohort_stats(self.members), self.sellers)
+        return detectors.zscore_flags(self.candidates, baselines.cohort_stats(self.members))
 
     def iqr_flags(self) -> DataFrame:
         return detectors.iqr_flags(self.candidates)
@@ -180,11 +181,12 @@ class Warehouse:
         return self._store("exposed_cases", lambda: scoring.exposed_cases(self.spine, self.flags), self.methods)
 
     def priority(self) -> DataFrame:
-        return scoring.priority_scores(self.exposed_cases)
+        return self._store("priority_score", lambda: scoring.priority_scores(self.exposed_cases), self.methods)
 
     @cached_property
     def new_tickets(self) -> DataFrame:
-        return self._store("new_tickets", lambda: tickets.build_tickets(self.priority()), self.methods)
+        bundled = self._store("bundled_cases", lambda: tickets.bundle_cases(self.priority()), self.methods)
+        return self._store("new_tickets", lambda: tickets.number_tickets(bundled), self.methods)
 
     def merged_tickets(self) -> DataFrame:
         if self.updates is None:

@@ -14,11 +14,16 @@ c = F.col
 HOUR = 3600.0
 
 
-def latest_health(w: Warehouse) -> DataFrame:
-    last = w.health.agg(F.max("score_date")).scalar()
+def latest_health(w: Warehouse, day: Column | None = None) -> DataFrame:
+    """Health scores of a day, the last one unless given."""
+    last = w.health.agg(F.max("score_date")).scalar() if day is None else day
     return w.health.where(c("score_date") == last)
 
 
+def last_critical_day(w: Warehouse) -> Column:
+    return w.health.where("health_tier = 'Critical'").agg(F.max("score_date")).scalar()
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole seconds between two zoneless moments, whatever the session's time zone."""
 
@@ -33,6 +38,12 @@ def with_lead_flag(w: Warehouse, tickets: DataFrame, *columns: str) -> DataFrame
     return tickets.join(w.flags.select(c("flag_id").alias("primary_flag_id"), *columns), "primary_flag_id")
 
 
+def complete_cases(w: Warehouse, tickets: DataFrame) -> DataFrame:
+    """Tickets whose lead flag and seller are known, so a top list keeps its length through the joins."""
+    lead = w.flags.select(c("flag_id").alias("primary_flag_id"))
+    return tickets.join(lead, "primary_flag_id", "left_semi").join(w.sellers, "seller_id", "left_semi")
+
+
 def unresolved_counts(w: Warehouse) -> DataFrame:
     return w.tickets.where(is_unresolved(c("status"))).groupBy("seller_id").agg(F.count("*").alias("open_tickets"))
 
@@ -63,10 +74,10 @@ def fastest_deteriorating(w: Warehouse, top: int = 25) -> DataFrame:
     )
 
 
-def currently_critical(w: Warehouse) -> DataFrame:
-    """Q2: sellers in the Critical tier on the latest day, with their unresolved tickets."""
+def currently_critical(w: Warehouse, day: Column | None = None) -> DataFrame:
+    """Q2: sellers in the Critical tier on a day, the latest unless given, with their unresolved tickets."""
     return (
-        latest_health(w)
+        latest_health(w, day)
         .where("health_tier = 'Critical'")
         .join(w.sellers, "seller_id")
         .join(unresolved_counts(w), "seller_id", "left")
@@ -89,7 +100,7 @@ def currently_critical(w: Warehouse) -> DataFrame:
 
 def highest_impact(w: Warehouse, top: int = 25) -> DataFrame:
     """Q3: tickets of highest priority with that day's sales and orders."""
-    best = w.tickets.orderBy(F.desc("priority_score"), "case_id").limit(top)
+    best = complete_cases(w, w.tickets).orderBy(F.desc("priority_score"), "case_id").limit(top)
     day = w.spine.select("seller_id", c("metric_date").alias("detected_date"), "gmv", "order_volume")
     return (
         with_lead_flag(w, best, "anomaly_type", "affected_metric")
@@ -247,7 +258,8 @@ def investigator_workload(w: Warehouse) -> DataFrame:
 def investigation_queue(w: Warehouse, top: int = 50) -> DataFrame:
     """Q10: unresolved cases by priority with the time left to their deadline."""
     left = seconds_between(c("as_of"), c("sla_deadline")) / HOUR
-    best = w.tickets.where(is_unresolved(c("status"))).orderBy(F.desc("priority_score"), "case_id").limit(top)
+    waiting = complete_cases(w, w.tickets.where(is_unresolved(c("status"))))
+    best = waiting.orderBy(F.desc("priority_score"), "case_id").limit(top)
     return (
         with_lead_flag(w, best, "anomaly_type", "affected_metric", "explanation")
         .join(w.sellers.select("seller_id", "seller_name"), "seller_id")

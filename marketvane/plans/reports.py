@@ -82,7 +82,8 @@ def flag_trend(w: Warehouse) -> DataFrame:
 
 def top_risk(w: Warehouse, top: int = 5) -> DataFrame:
     """Lowest health scores on the latest day with flag counts."""
-    worst = latest_health(w).orderBy("health_score", "seller_id").limit(top)
+    known = latest_health(w).join(w.sellers, "seller_id", "left_semi")
+    worst = known.orderBy("health_score", "seller_id").limit(top)
     return (
         worst.join(w.sellers, "seller_id")
         .join(_case_counts(w), "seller_id", "left")
@@ -101,7 +102,8 @@ def top_risk(w: Warehouse, top: int = 5) -> DataFrame:
 
 def risky_sellers(w: Warehouse, top: int = 30) -> DataFrame:
     """Lowest health scores with that day's metrics, flag count and highest open priority."""
-    worst = latest_health(w).orderBy("health_score", "seller_id").limit(top)
+    known = latest_health(w).join(w.sellers, "seller_id", "left_semi")
+    worst = known.orderBy("health_score", "seller_id").limit(top)
     day = w.spine.select(
         "seller_id", c("metric_date").alias("score_date"), "defect_rate", "late_shipment_rate", "return_rate", "avg_rating"
     )

@@ -225,6 +225,9 @@ Q["q2_critical"] = f"""
 SELECT seller_id, seller_name, primary_category, seller_segment, health_score, health_tier, defect_component, late_shipment_component,
        return_component, review_component, (SELECT count(*) FROM tickets t WHERE t.seller_id = h.seller_id AND {_UNRESOLVED}) AS open_tickets
 FROM latest h JOIN sellers USING (seller_id) WHERE health_tier = 'Critical'"""
+Q["q2_critical_before"] = Q["q2_critical"].replace(
+    "FROM latest h", "FROM (SELECT * FROM health WHERE score_date = (SELECT max(score_date) FROM health WHERE health_tier = 'Critical')) h"
+)
 Q["q3_impact"] = """
 SELECT case_id, t.seller_id, seller_name, anomaly_type, affected_metric, t.severity, priority_score, detected_date, status,
        m.gmv / 100.0::DOUBLE AS gmv_on_detection_day, m.order_volume AS orders_on_detection_day

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+# Metric, anomaly type, bad direction and stored decimals, in order.
 METRICS = [
     ("late_shipment_rate", "Late_Shipment_Spike", "up", 4),
     ("defect_rate", "Defect_Rate_Rise", "up", 4),
@@ -209,8 +210,8 @@ STAGES["zscore_flags"] = flag_select(
     "u - mean",
     hu("(abs(z) + abs(pz)) / 2", 4),
     "_self_and_cohort_zscore",
-    f"{METRIC_NAME} || ' moved to ' || {fmt('u / unit', 4)} || ' vs ' || {fmt('mean / unit', 4)} || ' 28-day self-baseline (z=' || "
-    f"{fmt('z', 2)} || ') and ' || {fmt('pmean / unit', 4)} || ' peer-cohort average (z=' || {fmt('pz', 2)} || ').'",
+    f"{METRIC_NAME} || ' read ' || {fmt('u / unit', 4)} || '; the seller''s last 28 readings average ' || {fmt('mean / unit', 4)} || ' (' || "
+    f"{fmt('z', 2)} || ' deviations away), its peers of the day ' || {fmt('pmean / unit', 4)} || ' (' || {fmt('pz', 2)} || ').'",
     f"""(SELECT s.*, p.z AS pz, p.mean AS pmean, {UNIT.replace("metric", "s.metric")} AS unit
          FROM self_z s JOIN peer_z p USING (seller_id, metric_date, metric)
          WHERE round(abs(s.z), 9) >= 3 AND round(abs(p.z), 9) >= 3
@@ -223,8 +224,8 @@ IQR_SQL = flag_select(
     "distance",
     hu("least(distance / iqr, 50.0)", 4),
     "_iqr_outlier",
-    f"{METRIC_NAME} || ' = ' || {fmt('u / unit', 4)} || ' is outside the 28-day IQR fence [' || {fmt('low / unit', 4)} || ', ' || "
-    f"{fmt('high / unit', 4)} || '].'",
+    f"{METRIC_NAME} || ' read ' || {fmt('u / unit', 4)} || ', beyond the range ' || {fmt('low / unit', 4)} || ' to ' || "
+    f"{fmt('high / unit', 4)} || ' that the quartiles of the last 28 readings allow.'",
     f"""(SELECT *, CASE WHEN u > high THEN u - high ELSE low - u END AS distance, {UNIT} AS unit
          FROM (SELECT *, q3 - q1 AS iqr, q1 - 2 * (q3 - q1) AS low, q3 + 2 * (q3 - q1) AS high FROM {{rolling}} WHERE n >= 10)
          WHERE iqr > 0 AND metric <> 6 AND (u > high OR ({DIRECTION} = 'both' AND u < low)))""",
@@ -256,9 +257,8 @@ CUSUM_SQL = flag_select(
     "u - mu",
     hu("c", 4),
     "_cusum_drift",
-    f"'Cumulative drift in ' || {METRIC_NAME} || ' crossed the CUSUM alarm threshold (' || {fmt('c * sigma / unit', 2)} || ' > ' || "
-    f"{fmt('8 * sigma / unit', 2)} || '), anchored to a pre-drift mean of ' || {fmt('mu / unit', 4)} || "
-    "': sustained gradual deterioration, not a single-day spike.'",
+    f"{METRIC_NAME} || ' keeps moving away from its early mean of ' || {fmt('mu / unit', 4)} || ': the summed drift is ' || "
+    f"{fmt('c * sigma / unit', 2)} || ', the limit ' || {fmt('8 * sigma / unit', 2)} || '.'",
     f"""(SELECT *, {UNIT} AS unit FROM (
            SELECT *, lag(metric_date) OVER (PARTITION BY seller_id, metric ORDER BY metric_date) AS before
            FROM (SELECT *, round(CASE WHEN {DIRECTION} = 'up' THEN up ELSE greatest(up, down) END / sigma, 9) AS c FROM {{drift}})
@@ -281,9 +281,9 @@ STAGES["ensemble"] = f"""
 SELECT e.seller_id, e.flag_date, e.new_type AS anomaly_type, d.affected_metric, d.baseline_value, d.observed_value, d.deviation_abs,
        d.deviation_pct, 'Ensemble' AS method, score AS anomaly_score, {severity("score")} AS severity,
        'agreement_of_' || array_to_string(methods, '_') AS reason_code,
-       n_methods || ' independent methods (' || array_to_string(methods, ', ') || ') agree this is a ' || lower(replace(e.new_type, '_', ' '))
-         || ' case' || CASE WHEN n_distinct_types >= 3 THEN ' (' || n_distinct_types || ' distinct metrics affected)' ELSE '' END
-         || '; combined anomaly score ' || {fmt("score", 2)} || '.' AS explanation
+       'Raised as ' || lower(replace(e.new_type, '_', ' ')) || ' by ' || array_to_string(methods, ', ')
+         || CASE WHEN n_distinct_types >= 3 THEN ', with ' || n_distinct_types || ' kinds of anomaly that day' ELSE '' END
+         || '; mean score ' || {fmt("score", 2)} || '.' AS explanation
 FROM (SELECT *, {hu("avg_score", 4)} AS score,
              row_number() OVER (PARTITION BY seller_id, flag_date, new_type ORDER BY max_score DESC, anomaly_type) AS rn
       FROM (SELECT *, CASE WHEN n_distinct_types >= 3 THEN '{MULTI}' ELSE anomaly_type END AS new_type
@@ -296,7 +296,7 @@ JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seller_id, flag_d
 WHERE e.rn = 1"""
 
 STAGES["flags"] = f"""
-SELECT row_number() OVER (ORDER BY flag_date, seller_id % 256, seller_id, anomaly_type, method) AS flag_id, {FLAG_COLUMNS}
+SELECT row_number() OVER (ORDER BY flag_date, seller_id, anomaly_type, method) AS flag_id, {FLAG_COLUMNS}
 FROM (SELECT *, row_number() OVER (PARTITION BY seller_id, flag_date, anomaly_type, method ORDER BY {ORDINAL}) AS pick
       FROM (SELECT {FLAG_COLUMNS} FROM method_flags UNION ALL SELECT {FLAG_COLUMNS} FROM ensemble))
 WHERE pick = 1"""
@@ -355,7 +355,7 @@ FROM (SELECT *, CAST({case("severity", [("Low", 25), ("Medium", 50), ("High", 75
             WHERE f.method = 'Ensemble'))"""
 
 STAGES["new_tickets"] = """
-SELECT row_number() OVER (ORDER BY detected_date, seller_id % 256, seller_id) AS case_id, seller_id, ids[1] AS primary_flag_id,
+SELECT row_number() OVER (ORDER BY detected_date, seller_id) AS case_id, seller_id, ids[1] AS primary_flag_id,
        array_to_string(ids[2:], ',') AS related_flag_ids, severity, priority_score, detected_date, sla_hours,
        CAST(detected_date AS TIMESTAMP) + to_hours(CAST(sla_hours AS INTEGER)) AS sla_deadline, 'New' AS status,
        CAST(NULL AS VARCHAR) AS assigned_investigator, CAST(NULL AS VARCHAR) AS root_cause_category, CAST(NULL AS VARCHAR) AS notes,
