@@ -171,3 +171,78 @@ def domain_checks(tables: dict[str, DataFrame]) -> DataFrame:
             groups = frame.groupBy(*UNIQUE[name]).agg(F.count("*").alias("n")).where("n > 1")
             parts.append(_one(f"{name}:unique", groups, F.count("*")))
     return report(*parts)
+
+
+# Single-column keys, the columns that may be null, and the references of each table.
+KEYS = {
+    "dim_seller": "seller_id",
+    "dim_product": "product_id",
+    "dim_customer": "customer_id",
+    "dim_date": "date_key",
+    "fact_orders": "order_line_id",
+    "fact_shipments": "shipment_id",
+    "fact_returns": "return_id",
+    "fact_reviews": "review_id",
+    "fact_anomaly_flags": "flag_id",
+    "investigation_tickets": "case_id",
+    "ground_truth_anomalies": "ground_truth_id",
+}
+OPTIONAL = {
+    "dim_seller": ("effective_end_date",),
+    "fact_shipments": ("actual_ship_date", "actual_delivery_date"),
+    "fact_seller_daily_metrics": ("avg_rating", "avg_price", "order_growth_rate_dod"),
+    "fact_anomaly_flags": ("baseline_value", "observed_value", "deviation_abs", "deviation_pct"),
+    "investigation_tickets": (
+        "primary_flag_id",
+        "related_flag_ids",
+        "assigned_investigator",
+        "root_cause_category",
+        "notes",
+        "resolution",
+        "resolved_at",
+    ),
+    "ground_truth_anomalies": ("notes",),
+}
+REFERENCES = {
+    "dim_product": {"seller_id": "dim_seller"},
+    "fact_orders": {
+        "seller_id": "dim_seller",
+        "product_id": "dim_product",
+        "customer_id": "dim_customer",
+        "order_date": "dim_date",
+    },
+    "fact_shipments": {"order_line_id": "fact_orders", "seller_id": "dim_seller"},
+    "fact_returns": {"order_line_id": "fact_orders", "seller_id": "dim_seller", "return_date": "dim_date"},
+    "fact_reviews": {
+        "product_id": "dim_product",
+        "seller_id": "dim_seller",
+        "customer_id": "dim_customer",
+        "review_date": "dim_date",
+    },
+    "fact_seller_daily_metrics": {"seller_id": "dim_seller", "metric_date": "dim_date"},
+    "fact_anomaly_flags": {"seller_id": "dim_seller", "flag_date": "dim_date"},
+    "investigation_tickets": {"seller_id": "dim_seller", "primary_flag_id": "fact_anomaly_flags"},
+    "ground_truth_anomalies": {"seller_id": "dim_seller"},
+    "seller_health_score": {"seller_id": "dim_seller", "score_date": "dim_date"},
+}
+
+
+def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Declared keys, references and required columns: (check, violations, status).
+
+    `table:key` counts repeated key values, `table:required` the rows with a null in a column that must be filled,
+    `table.column:reference` the rows whose value has no parent (null refers to nothing). Rows are counted per value
+    before they meet the parents, so a hot value is one row. A reference to a table that is not given is left out.
+    """
+    parts = []
+    for name, frame in tables.items():
+        required = [F.col(x).isNull() for x in frame.columns if x not in OPTIONAL.get(name, ())]
+        parts.append(_many(frame, {f"{name}:required": reduce(lambda a, b: a | b, required)}))
+        if name in KEYS:
+            parts.append(_one(f"{name}:key", _copies(frame, KEYS[name]).where("n > 1"), F.count("*")))
+        for column, parent in REFERENCES.get(name, {}).items():
+            if parent in tables:
+                counted = _copies(frame.where(F.col(column).isNotNull()), column)
+                known = _copies(tables[parent], KEYS[parent]).select(F.col(KEYS[parent]).alias(column), "n")
+                parts.append(_orphans(f"{name}.{column}:reference", counted, known, column))
+    return report(*parts)

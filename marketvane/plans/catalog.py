@@ -115,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_summary": _on(lambda w: w.dataset_summary()),
     "dq_report": _on(Warehouse.dq_report),
     "dq_domains": _on(Warehouse.domain_report),
+    "dq_keys": _on(Warehouse.key_report),
     "trimmed_extract": _on(lambda w: _rounded(w.trimmed_extract(), *COHORT)),
     # series and baselines
     "daily_metrics": _on(lambda w: w.spine),
@@ -172,6 +173,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r_assigned_workload": _on(reports.assigned_workload),
     "r_queue": _on(reports.filtered_queue),
     "r_seller360": _on(reports.seller_headlines),
+    "r_seller_history": _on(reports.health_history),
+    "r_seller_metrics": _on(reports.metric_history),
+    "r_seller_flags": _on(reports.flag_history),
+    "r_seller_tickets": _on(reports.ticket_history),
     "r_peer_latest": _on(lambda w: _rounded(reports.peer_latest(w), "cohort_mean", "cohort_zscore")),
     "m_flag_mom": _on(reports.monthly_flags),
     "m_executive": _on(reports.executive_measures),

@@ -87,16 +87,20 @@ class Warehouse:
     def dq_report(self) -> DataFrame:
         return quality.report(quality.raw_checks(self.star, self.as_of), quality.spine_check(self.spine))
 
+    def _tables(self) -> dict[str, DataFrame]:
+        return {
+            **self.star,
+            "fact_seller_daily_metrics": self.spine,
+            "fact_anomaly_flags": self.flags,
+            "investigation_tickets": self.tickets,
+            "seller_health_score": self.health,
+        }
+
     def domain_report(self) -> DataFrame:
-        return quality.domain_checks(
-            {
-                **self.star,
-                "fact_seller_daily_metrics": self.spine,
-                "fact_anomaly_flags": self.flags,
-                "investigation_tickets": self.tickets,
-                "seller_health_score": self.health,
-            }
-        )
+        return quality.domain_checks(self._tables())
+
+    def key_report(self) -> DataFrame:
+        return quality.key_checks(self._tables())
 
     def rolling_baseline(self) -> DataFrame:
         return baselines.rolling_baseline(self.spine)

@@ -238,32 +238,41 @@ def filtered_queue(
     )
 
 
+def health_history(w: Warehouse) -> DataFrame:
+    return w.health.select("seller_id", "score_date", "health_score", "health_tier")
+
+
+def metric_history(w: Warehouse) -> DataFrame:
+    shown = ("defect_rate", "late_shipment_rate", "return_rate", "avg_rating", "order_volume", "gmv")
+    return w.spine.select("seller_id", "metric_date", *shown)
+
+
+def flag_history(w: Warehouse) -> DataFrame:
+    """Ensemble flags of all sellers as the seller page lists them."""
+    shown = ("anomaly_type", "affected_metric", "method", "severity", "anomaly_score", "explanation")
+    return _cases(w).select("seller_id", "flag_date", *shown)
+
+
+def ticket_history(w: Warehouse) -> DataFrame:
+    """Tickets of all sellers as the seller page lists them."""
+    outcome = ("status", "assigned_investigator", "root_cause_category", "resolution", "is_sla_breached")
+    return w.tickets.select("seller_id", "case_id", "detected_date", "severity", "priority_score", *outcome)
+
+
 def seller_360(w: Warehouse, seller_id: int) -> dict[str, DataFrame]:
     """Everything known about one seller; the filter reaches every scan."""
     mine = c("seller_id") == seller_id
-    tickets = w.tickets.where(mine)
+
+    def own(history: DataFrame, *order) -> DataFrame:
+        return history.where(mine).drop("seller_id").orderBy(*order)
+
     return {
         "profile": w.sellers.where(mine),
-        "health": w.health.where(mine).select("score_date", "health_score", "health_tier").orderBy("score_date"),
-        "metrics": w.spine.where(mine)
-        .select("metric_date", "defect_rate", "late_shipment_rate", "return_rate", "avg_rating", "order_volume", "gmv")
-        .orderBy("metric_date"),
-        "flags": _cases(w)
-        .where(mine)
-        .select("flag_date", "anomaly_type", "affected_metric", "method", "severity", "anomaly_score", "explanation")
-        .orderBy(F.desc("flag_date"), "anomaly_type"),
-        "tickets": tickets.select(
-            "case_id",
-            "detected_date",
-            "severity",
-            "priority_score",
-            "status",
-            "assigned_investigator",
-            "root_cause_category",
-            "resolution",
-            "is_sla_breached",
-        ).orderBy(F.desc("detected_date"), "case_id"),
-        "cases": tickets.where(is_unresolved(c("status"))).agg(
+        "health": own(health_history(w), "score_date"),
+        "metrics": own(metric_history(w), "metric_date"),
+        "flags": own(flag_history(w), F.desc("flag_date"), "anomaly_type"),
+        "tickets": own(ticket_history(w), F.desc("detected_date"), "case_id"),
+        "cases": w.tickets.where(mine & is_unresolved(c("status"))).agg(
             F.count("*").alias("open_cases"), F.max("priority_score").alias("top_priority")
         ),
     }

@@ -145,6 +145,78 @@ Q["dq_domains"] = report(
     }
 )
 
+
+def _nulls(source: str, columns: str) -> str:
+    return f"SELECT count(*) FROM {source} WHERE " + " OR ".join(f"{x} IS NULL" for x in columns.split())
+
+
+def _lost(child: str, column: str, parent: str) -> str:
+    """Rows whose value is in no row of the parent; null refers to nothing."""
+    return f"SELECT count(*) FROM {child} c WHERE c.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.k = c.{column})"
+
+
+_SELLER_KEYS = "(SELECT seller_id AS k FROM sellers)"
+_PRODUCT_KEYS = "(SELECT p_partkey AS k FROM part)"
+_CUSTOMER_KEYS = "(SELECT c_custkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
+_DAYS = f"(SELECT date_key AS k FROM ({Q['dim_date']}))"
+_LINES = "(SELECT order_line_id AS k FROM lines)"
+_ORDERED = "(SELECT l.*, o_custkey AS customer_id FROM lines l JOIN orders ON o_orderkey = CAST(split_part(order_line_id, '-', 1) AS BIGINT))"
+_REVIEWED = f"(SELECT *, order_date + 1 + CAST(line_number AS INTEGER) AS review_date FROM {_ORDERED} WHERE is_reviewed)"
+_RETURNED = "(SELECT *, order_date + 3 + 2 * CAST(line_number AS INTEGER) AS return_date FROM lines WHERE is_returned)"
+_SHIPPED = "(SELECT * FROM lines WHERE NOT is_cancelled)"
+_LINE_COLUMNS = "order_line_id seller_id product_id order_date"
+Q["dq_keys"] = report(
+    {
+        "dim_seller:required": _nulls("sellers", "seller_id seller_name signup_date tenure_cohort seller_segment primary_category"),
+        "dim_seller:key": _repeated("sellers", "seller_id"),
+        "dim_product:required": _nulls("part", "p_partkey p_name p_type p_brand p_retailprice"),
+        "dim_product:key": _repeated("part", "p_partkey"),
+        "dim_product.seller_id:reference": _lost("(SELECT p_partkey % 10 AS seller_id FROM part)", "seller_id", _SELLER_KEYS),
+        "dim_customer:required": _nulls(_CUSTOMER_KEYS, "k"),
+        "dim_customer:key": _repeated(_CUSTOMER_KEYS, "k"),
+        "dim_date:required": _nulls(_DAYS, "k"),
+        "dim_date:key": _repeated(_DAYS, "k"),
+        "fact_orders:required": _nulls(_ORDERED, f"{_LINE_COLUMNS} customer_id quantity unit_price gmv is_cancelled"),
+        "fact_orders:key": _repeated("lines", "order_line_id"),
+        "fact_orders.seller_id:reference": _lost("lines", "seller_id", _SELLER_KEYS),
+        "fact_orders.product_id:reference": _lost("lines", "product_id", _PRODUCT_KEYS),
+        "fact_orders.customer_id:reference": _lost(_ORDERED, "customer_id", _CUSTOMER_KEYS),
+        "fact_orders.order_date:reference": _lost("lines", "order_date", _DAYS),
+        "fact_shipments:required": _nulls(_SHIPPED, f"{_LINE_COLUMNS} is_late line_number"),
+        "fact_shipments:key": _repeated(_SHIPPED, "order_line_id"),
+        "fact_shipments.order_line_id:reference": _lost(_SHIPPED, "order_line_id", _LINES),
+        "fact_shipments.seller_id:reference": _lost(_SHIPPED, "seller_id", _SELLER_KEYS),
+        "fact_returns:required": _nulls(_RETURNED, f"{_LINE_COLUMNS} return_date gmv is_defect"),
+        "fact_returns:key": _repeated(_RETURNED, "order_line_id"),
+        "fact_returns.order_line_id:reference": _lost(_RETURNED, "order_line_id", _LINES),
+        "fact_returns.seller_id:reference": _lost(_RETURNED, "seller_id", _SELLER_KEYS),
+        "fact_returns.return_date:reference": _lost(_RETURNED, "return_date", _DAYS),
+        "fact_reviews:required": _nulls(_REVIEWED, f"{_LINE_COLUMNS} customer_id review_date rating"),
+        "fact_reviews:key": _repeated(_REVIEWED, "order_line_id"),
+        "fact_reviews.product_id:reference": _lost(_REVIEWED, "product_id", _PRODUCT_KEYS),
+        "fact_reviews.seller_id:reference": _lost(_REVIEWED, "seller_id", _SELLER_KEYS),
+        "fact_reviews.customer_id:reference": _lost(_REVIEWED, "customer_id", _CUSTOMER_KEYS),
+        "fact_reviews.review_date:reference": _lost(_REVIEWED, "review_date", _DAYS),
+        "fact_seller_daily_metrics:required": _nulls("spine_units", "seller_id metric_date order_volume gmv defect_rate price_volatility"),
+        "fact_seller_daily_metrics.seller_id:reference": _lost("spine_units", "seller_id", _SELLER_KEYS),
+        "fact_seller_daily_metrics.metric_date:reference": _lost("spine_units", "metric_date", _DAYS),
+        "fact_anomaly_flags:required": _nulls("flags", "flag_id seller_id flag_date anomaly_type affected_metric method anomaly_score severity explanation"),
+        "fact_anomaly_flags:key": _repeated("flags", "flag_id"),
+        "fact_anomaly_flags.seller_id:reference": _lost("flags", "seller_id", _SELLER_KEYS),
+        "fact_anomaly_flags.flag_date:reference": _lost("flags", "flag_date", _DAYS),
+        "investigation_tickets:required": _nulls("tickets", "case_id seller_id severity priority_score detected_date sla_deadline status"),
+        "investigation_tickets:key": _repeated("tickets", "case_id"),
+        "investigation_tickets.seller_id:reference": _lost("tickets", "seller_id", _SELLER_KEYS),
+        "investigation_tickets.primary_flag_id:reference": _lost("tickets", "primary_flag_id", "(SELECT flag_id AS k FROM flags)"),
+        "ground_truth_anomalies:required": _nulls("episodes", "ground_truth_id seller_id anomaly_type start_date end_date"),
+        "ground_truth_anomalies:key": _repeated("episodes", "ground_truth_id"),
+        "ground_truth_anomalies.seller_id:reference": _lost("episodes", "seller_id", _SELLER_KEYS),
+        "seller_health_score:required": _nulls("health", "seller_id score_date health_score health_tier"),
+        "seller_health_score.seller_id:reference": _lost("health", "seller_id", _SELLER_KEYS),
+        "seller_health_score.score_date:reference": _lost("health", "score_date", _DAYS),
+    }
+)
+
 Q["trimmed_extract"] = f"SELECT * FROM ({COHORT_VIEW}) WHERE metric_date >= (SELECT max(metric_date) - 60 FROM spine_units)"
 Q["daily_metrics"] = spine_view("spine_units")
 Q["rolling_baseline"] = rolling_view("self_z")
@@ -334,6 +406,16 @@ SELECT s.seller_id, seller_name, seller_segment, tenure_cohort, primary_category
        (SELECT max(priority_score) FROM tickets t WHERE t.seller_id = s.seller_id AND {_UNRESOLVED}) AS top_priority
 FROM sellers s LEFT JOIN (SELECT seller_id, arg_max(health_score, score_date) AS health_score, arg_max(health_tier, score_date) AS health_tier
                           FROM health GROUP BY 1) h ON h.seller_id = s.seller_id"""
+Q["r_seller_history"] = "SELECT seller_id, score_date, health_score, health_tier FROM health"
+Q["r_seller_metrics"] = """
+SELECT seller_id, metric_date, defect_rate / 10000.0::DOUBLE AS defect_rate, late_shipment_rate / 10000.0::DOUBLE AS late_shipment_rate,
+       return_rate / 10000.0::DOUBLE AS return_rate, avg_rating / 1000.0::DOUBLE AS avg_rating, order_volume, gmv / 100.0::DOUBLE AS gmv
+FROM spine_units"""
+Q["r_seller_flags"] = f"""
+SELECT seller_id, flag_date, anomaly_type, affected_metric, method, severity, anomaly_score, explanation FROM {_CASES}"""
+Q["r_seller_tickets"] = """
+SELECT seller_id, case_id, detected_date, severity, priority_score, status, assigned_investigator, root_cause_category, resolution,
+       is_sla_breached FROM tickets"""
 Q["r_peer_latest"] = f"""
 SELECT seller_id, metric_name, observed_value, cohort_mean, cohort_zscore FROM ({COHORT_VIEW})
 WHERE metric_date = (SELECT max(metric_date) FROM spine_units)"""

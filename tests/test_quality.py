@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from marketvane.operators.quality import DataQualityError, domain_checks, gate, raw_checks, report, spine_check
+from marketvane.operators.quality import DataQualityError, domain_checks, gate, key_checks, raw_checks, report, spine_check
 from tests.helpers import day, rows, sellers_frame, spine_frame
 
 
@@ -74,3 +74,27 @@ def test_declared_domains(spark):
         "dim_seller.fulfillment_type:enum": 1,
         "dim_seller:unique": 1,
     }
+
+
+def test_keys_references_and_required_columns(spark):
+    """One planted violation of each kind; a ticket without its flag is one; null refers to nothing."""
+    flags = spark.createDataFrame([(1, 5, 0.5), (2, 5, None), (2, 6, None)], "flag_id long, seller_id long, baseline_value double")
+    tickets = spark.createDataFrame(
+        [(1, 5, 1, None), (2, None, 9, None), (3, 7, 9, "x"), (4, 5, None, "x")],
+        "case_id long, seller_id long, primary_flag_id long, notes string",
+    )
+    sellers = sellers_frame(spark, [5, 6]).select("seller_id")
+    tables = {"dim_seller": sellers, "fact_anomaly_flags": flags, "investigation_tickets": tickets}
+    assert {r["check"]: r["violations"] for r in rows(key_checks(tables))} == {
+        "dim_seller:required": 0,
+        "dim_seller:key": 0,
+        "fact_anomaly_flags:required": 0,
+        "fact_anomaly_flags:key": 1,
+        "fact_anomaly_flags.seller_id:reference": 0,
+        "investigation_tickets:required": 1,
+        "investigation_tickets:key": 0,
+        "investigation_tickets.seller_id:reference": 1,
+        "investigation_tickets.primary_flag_id:reference": 2,
+    }
+    empty = {name: frame.limit(0) for name, frame in tables.items()}
+    assert {r["status"] for r in rows(key_checks(empty))} == {"PASS"}
