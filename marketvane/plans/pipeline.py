@@ -239,13 +239,18 @@ def run(warehouse: Warehouse, enforce_quality: bool = True) -> dict[str, DataFra
         quality.gate(quality.report(quality.spine_check(warehouse.spine)))
     return {
         "dataset_summary": warehouse.dataset_summary(),
+        "dq_report": warehouse.dq_report(),
         "fact_seller_daily_metrics": warehouse.spine,
         "seller_metric_rolling_baseline": warehouse.rolling_baseline(),
         "seller_metric_cohort_baseline": warehouse.cohort_baseline(),
         "fact_anomaly_flags": warehouse.flags,
         "seller_health_score": warehouse.health,
         "investigation_tickets": warehouse.tickets,
+        "sla_summary": warehouse.sla_summary(),
         "evaluation": warehouse.evaluation(),
+        "recall_by_type": warehouse.type_recall(),
+        "precision_by_severity": warehouse.severity_precision(),
+        "seller_confusion": warehouse.confusion(),
         "business_impact": warehouse.business_impact(),
     }
 

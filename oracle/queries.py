@@ -60,7 +60,7 @@ _COUNTS = {
     "total_reviews": "(SELECT 1 FROM lines WHERE is_reviewed)",
 }
 _SUMMARY = " UNION ALL ".join(f"SELECT '{k}' AS metric_name, count(*) AS metric_value FROM {t}" for k, t in _COUNTS.items())
-Q["dataset_summary"] = f"SELECT s.*, TIMESTAMP '2001-07-01 00:00:00' AS computed_at FROM ({_SUMMARY}) s"
+Q["dataset_summary"] = f"SELECT s.*, TIMESTAMP '2020-11-15 00:00:00' AS computed_at FROM ({_SUMMARY}) s"
 Q["r_summary_counts"] = _SUMMARY
 
 _SHIP = "order_date + 1 + CAST(line_number % 2 AS INTEGER)"
@@ -75,7 +75,7 @@ _CHECKS = {
     "invalid_rating": "SELECT count(*) FROM lines WHERE is_reviewed AND rating NOT BETWEEN 1 AND 5",
     "delivery_before_ship": f"SELECT count(*) FROM lines WHERE NOT is_cancelled AND {_DELIVERY} < {_SHIP}",
     "order_date_before_seller_signup": "SELECT count(*) FROM lines JOIN sellers USING (seller_id) WHERE order_date < signup_date",
-    "future_dated_orders": "SELECT count(*) FROM lines WHERE order_date > DATE '2001-07-01'",
+    "future_dated_orders": "SELECT count(*) FROM lines WHERE order_date > DATE '2020-11-15'",
     "null_seller_id_orders": "SELECT count(*) FROM lines WHERE seller_id IS NULL",
     "return_without_delivered_shipment": "SELECT count(*) FROM lines r WHERE is_returned AND NOT EXISTS (SELECT 1 FROM lines s WHERE NOT s.is_cancelled AND s.order_line_id = r.order_line_id)",
     "seller_daily_metrics_rate_out_of_bounds": "SELECT count(*) FROM spine_units WHERE defect_rate NOT BETWEEN 0 AND 10000 OR late_shipment_rate NOT BETWEEN 0 AND 10000 OR return_rate NOT BETWEEN 0 AND 10000 OR cancellation_rate NOT BETWEEN 0 AND 10000",

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from marketvane.__main__ import main
 from marketvane.operators.quality import DataQualityError
 from marketvane.plans.catalog import warehouse
 from marketvane.plans.pipeline import Warehouse, run
@@ -26,8 +27,9 @@ def test_an_order_of_the_future_stops_the_run_before_the_spine(spark, tmp_path):
 
 
 def test_the_registered_load_moment_lies_inside_the_data(spark):
-    found = {r["check"]: r["violations"] for r in warehouse(spark, FOLDER).dq_report().collect()}
-    assert found["future_dated_orders"] > 0
+    w = warehouse(spark, FOLDER)
+    found = {r["check"]: r["violations"] for r in w.dq_report().collect()}
+    assert 0 < found["future_dated_orders"] < w.star["fact_orders"].count()
 
 
 def test_warehouses_may_share_a_workspace(spark, tmp_path):
@@ -37,6 +39,30 @@ def test_warehouses_may_share_a_workspace(spark, tmp_path):
         got = Warehouse(star, shared, methods).flags.drop("created_at")
         assert got.exceptAll(own).count() == own.exceptAll(got).count() == 0
         assert {r[0] for r in got.select("method").distinct().collect()} >= set(methods[1:])
-    moments = [F.lit(t).cast("timestamp_ntz") for t in ("2001-01-01 00:00:00", "2003-01-01 00:00:00")]
+    moments = [F.lit(t).cast("timestamp_ntz") for t in ("2020-10-01 00:00:00", "2021-06-01 00:00:00")]
     stored = {Warehouse(star, shared, ("IQR", "CUSUM"), judged_at=m).tickets.inputFiles()[0].rsplit("/", 1)[0] for m in moments}
     assert len(stored) == 2  # the moment tickets are judged at has a table of its own
+
+
+def test_the_command_writes_every_table_and_takes_updates(spark, tmp_path):
+    for name, frame in warehouse(spark, FOLDER).star.items():
+        frame.write.parquet(str(tmp_path / "in" / name))
+    moment = F.lit("2021-06-01 00:00:00").cast("timestamp_ntz")
+    schema = "case_id long, status string, root_cause string, notes string, resolution string, assigned_investigator string"
+    done = spark.createDataFrame([(1, "Resolved", "Pricing", None, "done", "A")], schema).withColumn("updated_at", moment)
+    done.write.parquet(str(tmp_path / "updates"))
+    (tmp_path / "out").mkdir()
+    old = spark.createDataFrame([("total_orders", -1), ("kept", 7)], "metric_name string, metric_value long")
+    old.withColumn("computed_at", moment).write.parquet(str(tmp_path / "out" / "dataset_summary"))
+    main(
+        [str(tmp_path / "in"), str(tmp_path / "out"), "--format", "parquet", "--methods", "IQR", "CUSUM", "--as-of", "2021-06-01 00:00:00"]
+        + ["--updates", str(tmp_path / "updates"), "--extract", str(tmp_path / "extract"), "--skip-quality-gate"]
+    )
+    written = {p.name for p in (tmp_path / "out").iterdir()}
+    assert written >= {"dq_report", "sla_summary", "recall_by_type", "precision_by_severity", "seller_confusion", "business_impact"}
+    cases = spark.read.parquet(str(tmp_path / "out" / "investigation_tickets"))
+    assert cases.where("case_id = 1").select("status", "resolution").collect() == [("Resolved", "done")]
+    assert cases.where("status = 'New' AND NOT is_sla_breached").count() == 0  # judged long after every deadline
+    counts = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "out" / "dataset_summary")).collect()}
+    assert counts["kept"] == 7 and counts["total_orders"] > 0 and len(counts) == 8
+    assert (tmp_path / "extract" / "seller_metric_cohort_baseline").exists()
