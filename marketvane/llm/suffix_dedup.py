@@ -13,8 +13,11 @@ One suffix array over all texts can't be dealt out, so equal strings are brought
    share an anchor, their texts decide.
 3. These stretches are cut to blocks of at most BLOCK window offsets from the anchor; all windows of a block
    share a core of LENGTH - BLOCK + 1 bytes, which is the key they are dealt by. So a common anchor in
-   many contexts spreads out, and equal windows still meet.
-4. In each task the blocks' texts form one string. Its suffixes that are smaller than their successors are
+   in many contexts spreads out, and equal windows still meet.
+4. A core with more than ARRAY_BYTES of blocks (a passage that many documents have in different surroundings) is
+   told apart by whole windows: each goes by 128 bits of its hash, equal ones collapsed to the earliest before and
+   after the shuffle, so only equal windows share a key.
+5. Of all other cores, in each task the blocks' texts form strings of about ARRAY_BYTES. Its suffixes that are smaller than their successors are
    sorted directly, the others induced from them bucket by bucket, and windows whose neighbour in that order
    shares LENGTH bytes are repeats, but for the earliest of each run.
 
@@ -42,7 +45,7 @@ LENGTH = 100
 GRAM = 28
 #: Window offsets from the anchor in one block.
 BLOCK = 32
-#: Bytes of text that one suffix array holds, but for a single larger group of blocks.
+#: Bytes of text after which a suffix array takes no further core, and the most that a core may bring.
 ARRAY_BYTES = 1 << 20
 
 _LOW = np.uint64((1 << 18) - 1)
@@ -294,6 +297,62 @@ def _array_spans(rows: pa.Table) -> pa.RecordBatch:
     )
 
 
+def _by_size(blocks: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The blocks of the cores that a suffix array can hold, and those of all others, if any."""
+    sizes = blocks.groupBy("core").agg(F.sum(F.octet_length("text")).alias("size"))
+    large = stored(sizes.where(F.col("size") > ARRAY_BYTES).select("core"), "large-cores")
+    if not large.limit(1).count():
+        return blocks, None
+    return blocks.join(large, "core", "left_anti"), blocks.join(large, "core", "left_semi")
+
+
+_WINDOWS = ["high", "low", "id", "tag", "at", "end"]
+
+
+def _windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The windows of some blocks, by hash, of equal ones the earliest (`end` null); and spans of the others."""
+    keys = [(c, "ascending") for c in ("id", "tag", "at")]
+    batch = batch.take(pc.sort_indices(batch.select(["id", "tag", "at"]), sort_keys=keys, null_placement="at_start"))
+    seen: set[bytes] = set()
+    windows: list[tuple] = []
+    spans: list[tuple] = []
+    for k, (text, start) in enumerate(zip(batch.column("text").to_pylist(), batch.column("at").to_pylist(), strict=True)):
+        reach = -1
+        for at in range(len(text) - LENGTH + 1):
+            name = blake2b(text[at : at + LENGTH], digest_size=16).digest()
+            if name not in seen:
+                seen.add(name)
+                windows.append((name, k, start + at))
+            elif at <= reach:
+                reach = at + LENGTH
+                spans[-1] = k, spans[-1][1], start + reach
+            else:
+                reach = at + LENGTH
+                spans.append((k, start + at, start + reach))
+    names = np.frombuffer(b"".join(w[0] for w in windows), np.int64).reshape(-1, 2)
+    who = pa.array([w[1] for w in windows] + [x[0] for x in spans], pa.int64())
+    nothing = pa.nulls(len(spans), pa.int64())
+    columns = [pa.concat_arrays([pa.array(np.ascontiguousarray(names[:, k])), nothing]) for k in (0, 1)]
+    columns += [batch.column("id").take(who), batch.column("tag").take(who)]
+    columns.append(pa.array([w[2] for w in windows] + [x[1] for x in spans], pa.int64()))
+    columns.append(pa.array([None] * len(windows) + [x[2] for x in spans], pa.int64()))
+    return pa.RecordBatch.from_arrays(columns, _WINDOWS)
+
+
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From windows sorted by (high, low, id, tag, at): spans of all but the earliest of equal ones."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        high, low = (batch.column(c).to_numpy() for c in ("high", "low"))
+        same = np.concatenate([[last == (high[0], low[0])], (high[1:] == high[:-1]) & (low[1:] == low[:-1])])
+        last = high[-1], low[-1]
+        again = batch.filter(pa.array(same))
+        at = again.column("at").to_numpy()
+        yield pa.RecordBatch.from_arrays([again.column("id"), again.column("tag"), pa.array(at), pa.array(at + LENGTH)], ["id", "tag", "at", "end"])
+
+
 def _arrayed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole groups of one core, as many as an array may hold."""
     held: list[pa.RecordBatch] = []
@@ -375,12 +434,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield _blocks(batch)
 
     shown = dealt.join(places, "doc", "left").select("doc.id", "doc.tag", "text", "row", "places")
+    cut_out = stored(shown.mapInArrow(blocks, f"core bigint, id {kind}, tag bigint, at bigint, text binary"), "blocks")
+    small, large = _by_size(cut_out)
     arrayed = (
-        shown.mapInArrow(blocks, f"core bigint, id {kind}, tag bigint, at bigint, text binary")
-        .repartition("core")
+        small.repartition("core")
         .sortWithinPartitions("core", "id", "tag", "at")
         .mapInArrow(_arrayed, f"id {kind}, tag bigint, at bigint, end bigint")
     )
+    if large is not None:
+        # Both branches read the same windows; stored, they are hashed once.
+        windows = stored(
+            large.mapInArrow(
+                lambda batches: (_windows(b) for b in batches),
+                f"high bigint, low bigint, id {kind}, tag bigint, at bigint, end bigint",
+            ),
+            "windows",
+        )
+        later = (
+            windows.where("end is null")
+            .select(*_WINDOWS[:-1])
+            .repartition("high", "low")
+            .sortWithinPartitions(*_WINDOWS[:-1])
+            .mapInArrow(_collapsed, f"id {kind}, tag bigint, at bigint, end bigint")
+        )
+        arrayed = arrayed.unionByName(later).unionByName(windows.where("end is not null").select("id", "tag", "at", "end"))
     spans = (
         settled.where("end is not null")
         .unionByName(arrayed)
