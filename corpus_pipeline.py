@@ -18,12 +18,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of copies and near copies, the document with the least id. Rows equal in id and text are one
     document; a document without words is no copy of any other."""
-    classes = ngram_join.near_duplicates(docs)
-    stays = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    kept = docs.join(stays, docs["doc_id"].eqNullSafe(stays["stays"]), "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    again = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    # Where an id repeats, its texts tell documents apart; as before, a null id is no least one beside others.
+    several = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag"))
+    keyed = docs.withColumn("_document", several if again else F.col("doc_id"))
+    classes = ngram_join.near_duplicates(keyed, "_document")
+    stays = classes.where(F.col("_document").eqNullSafe(F.col("class_id"))).select(F.col("_document").alias("stays")).distinct()
+    kept = keyed.join(stays, keyed["_document"].eqNullSafe(stays["stays"]), "left_semi").drop("_document")
+    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
