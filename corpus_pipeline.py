@@ -62,7 +62,8 @@ STAGES = [
     ("BPE", encode),
 ]
 
-#: Suffix arrays, MinHash and BPE merges are beyond SQL; tests hold the stages against brute force.
+#: Suffix arrays, MinHash and BPE merges are beyond SQL; tests hold them against brute force, the
+#: mix against its targets.
 ORACLE_SQL = None
 
 
