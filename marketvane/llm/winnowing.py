@@ -97,12 +97,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_slices(frame, winnowed, f"id {kind}, hashes array<bigint>, positions array<bigint>", "text").withColumnRenamed("id", id_col)
 
 
-_COLUMNS = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+_COLUMNS = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions", "edited_positions"]
 
 
 def _compared(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Each document with the one after it, from rows sorted by range; a range's guest comes last in it."""
-    held = None  # range, id, text, hashes of the document that waits for the next one
+    held = None  # range, id, text, hashes and positions of the document that waits for the next one
     for whole in batches:
         for batch in slices(whole, "text"):
             rows = []
@@ -112,23 +112,24 @@ def _compared(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterat
                 if guest and (held is None or held[0] != part):
                     continue  # a further row of the guest's id
                 text = text or ""
-                hashes, _ = winnow(code_points(text))
+                hashes, positions = winnow(code_points(text))
                 if held is not None and held[0] == part:
                     other = edited(held[2], text)
-                    changed, _ = winnow(code_points(other))
+                    changed, places = winnow(code_points(other))
                     rows.append((
                         held[1], len(held[2]), sha256(other.encode()).hexdigest(), as_text(held[3]), as_text(changed),
-                        likeness(held[3], changed), likeness(held[3], hashes),
+                        likeness(held[3], changed), likeness(held[3], hashes), held[4], places,
                     ))
-                held = None if guest else (part, id_, text, hashes)
+                held = None if guest else (part, id_, text, hashes, positions)
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(_COLUMNS)
-            kinds = [id_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            kinds = [id_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), *[pa.list_(pa.int64())] * 2]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _COLUMNS)
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: the fingerprints of its text and of its text with the last quarter taken from the next
-    document (after the last: the first), and how like its own are that one and the next document's."""
+    document (after the last: the first), how like its own are that one and the next document's, and the positions of
+    both fingerprints' hashes in code points."""
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = frame.schema["id"].dataType
     ids = frame.select("id")
@@ -161,7 +162,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = dealt.select("id", "text", F.inline(homes)).repartition("part").sortWithinPartitions("part", "guest", "id", "text")
     schema = (
         f"id {kind.simpleString()}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+        "near_edited double, near_next double, positions array<bigint>, edited_positions array<bigint>"
     )
     id_type = to_arrow_type(kind)
     return rows.mapInArrow(lambda batches: _compared(batches, id_type), schema).withColumnRenamed("id", id_col)
