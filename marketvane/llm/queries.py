@@ -92,6 +92,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy rejects, alone and with others."""
+    return quality_rules.ablation(quality_rules.ledger(documents(spark, sf_dir)), "v1")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes and tokens."""
     counts = token_counts.count_tokens(documents(spark, sf_dir), vocabulary(BYTE_VOCABULARY))
@@ -108,6 +113,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op9_rule_ablation": op9_rule_ablation,
     "op10_token_counts": op10_token_counts,
 }
 
