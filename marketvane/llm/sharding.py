@@ -9,6 +9,9 @@ Rows of one id have one address and no bit parts them, so they share a shard; wh
 is too large are equal after the id's bits are spent, its rows go on with the bits of their number among the equal
 ones. A single document above the limit is a shard of its own.
 
+`write_shards` writes the documents so that each shard is one file. The limit counts the bytes of texts, not those of
+other columns or of the file.
+
 Defined cases: a null text has 0 bytes, a null id the address of the empty string; an empty table has no shard.
 Repeated rows each count. Other columns are not read.
 """
@@ -47,14 +50,29 @@ def _round(open_: DataFrame, depth: int, bits: int, limit: int) -> tuple[DataFra
     judged = open_.withColumn("cell", cell).join(directory, "cell", "left")
     judged = stored(judged.drop("cell"), "shards")
     return (
-        judged.where("found is not null").select("id", "n_bytes", "bits", "found.*"),
+        judged.where("found is not null").select("row", "id", "n_bytes", "bits", "found.*"),
         judged.where("found is null").drop("found"),
     )
 
 
 def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> DataFrame:
     """One row a document: id, n_bytes, and its shard: the prefix, its depth, bytes and documents."""
+    return _assigned(docs, F.lit(None).cast("bigint"), id_col, text_col, limit).drop("row")
+
+
+def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> None:
+    """Writes the documents, with all columns, to `folder`: one Parquet file a shard, under `shard=s` and the shard's prefix."""
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), given), "numbered")
+    assigned = _assigned(numbered.select(F.col("row").alias("_row"), "given.*"), F.col("_row"), id_col, text_col, limit)
+    # The letter keeps prefixes from being read back as numbers.
+    laid = numbered.join(assigned.select("row", F.concat(F.lit("s"), "shard").alias("_shard")), "row")
+    laid.repartition("_shard").select("given.*", F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(folder)
+
+
+def _assigned(docs: DataFrame, row: Column, id_col: str, text_col: str, limit: int) -> DataFrame:
     open_ = docs.select(
+        row.alias("row"),
         F.col(id_col).alias("id"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint").alias("n_bytes"),
         address(F.col(id_col)).alias("bits"),
@@ -70,4 +88,4 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if depth == ID_BITS:  # rows of one address: number them, and go on with the bits of that number's hash
             number = F.row_number().over(Window.partitionBy("bits").orderBy("n_bytes"))
             open_ = stored(open_.withColumn("bits", F.concat("bits", address(number))), "shards")
-    return done.select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+    return done.select("row", F.col("id").alias(id_col), "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
