@@ -69,12 +69,12 @@ def map_slices(
     return frame.mapInArrow(run, schema)
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """`frame` written as a table to the shared folder and read again: cuts its lineage."""
     spark = frame.sparkSession
     use_checkpoints(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(folder)
+    frame.write.options(**options).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

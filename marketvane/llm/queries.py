@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_model, mixing, ngram_join, quality_rules, sharding, suffix_dedup, token_counts, toxicity, winnowing
+from . import (
+    bpe, decontamination, fill_in_middle, language_model, mixing, ngram_join, quality_rules, sharding, spelling, suffix_dedup,
+    token_counts, toxicity, winnowing,
+)
 from .common import documents
 
 
@@ -103,6 +106,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cuts and form, digests of its output and of the text rebuilt from that output."""
+    return fill_in_middle.restore(fill_in_middle.transform(documents(spark, sf_dir)), texts=False)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside occurrences of benchmark windows, and the items they belong to."""
+    postings = decontamination.index(documents(spark, sf_dir))
+    found = decontamination.search(postings, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    n_hit = decontamination.covered(F.col("spans"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op12_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items of which some window's words stand within REACH words of it."""
+    postings = decontamination.index(documents(spark, sf_dir))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.search(postings, items, reach=decontamination.REACH)
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.array_join("items", ",").alias("near_items"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its near words, form and root."""
+    return spelling.variants(spelling.word_counts(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -115,6 +147,10 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op9_rule_ablation": op9_rule_ablation,
     "op10_token_counts": op10_token_counts,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_decontamination": op12_decontamination,
+    "op12_proximity": op12_proximity,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = {
@@ -165,5 +201,51 @@ with texts as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 as base_failed,
   failed = 0 as kept, cast(failed as bigint) as failed_rules
 from ledger
+""",    "op11_fill_in_middle": r"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+    sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+), drawn as (
+  select *, len(units) as n, cast('0x' || substr(h, 1, 8) as bigint) % (len(units) + 1) as a,
+    cast('0x' || substr(h, 9, 8) as bigint) % (len(units) + 1) as b, cast('0x' || substr(h, 25, 8) as bigint) as h4
+  from texts
+), parts as (
+  select *, array_to_string(units[1:least(a, b)], '') as prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') as middle,
+    array_to_string(units[greatest(a, b) + 1:], '') as suffix,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') then 'plain'
+      when h4 % 100 < 50 then 'spm' else 'psm' end as form
+  from drawn
+)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(text) as restored_sha256
+from parts
+""",    "op12_decontamination": r"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), items as (
+  select coalesce(cast(item_id as varchar), '') as item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item, least(len(w), 10) as l, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as gram
+  from (select item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from items where len(w) > 0)
+), places as (
+  select r, i, l, array_to_string(w[i:i + l - 1], ' ') as gram
+  from (select r, w, l, unnest(range(1, len(w) - l + 2)) as i from docs, (select distinct l from windows) where len(w) >= l)
+), hits as (
+  select r, i, p.l, item from places p join windows v on p.l = v.l and p.gram = v.gram
+), words as (
+  select r, count(distinct k) as n from (select r, unnest(range(i, i + l)) as k from (select distinct r, i, l from hits)) group by r
+), found as (
+  select r, count(*) as n, string_agg(item, ',' order by item) as joined from (select distinct r, item from hits) group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(words.n, 0) as n_hit, coalesce(found.n, 0) as n_items,
+  sha256(coalesce(joined, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+from docs left join words using (r) left join found using (r)
 """,
 }
