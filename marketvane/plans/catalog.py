@@ -18,7 +18,7 @@ from ..workspace import Workspace
 from . import questions, reports
 from .pipeline import Warehouse
 
-# The detectors whose results SQL can restate; the forest joins them in the `forest_*` queries.
+# The detectors of most queries; the forest joins them in the `forest_*` queries.
 SQL_METHODS = METHODS[:3]
 
 # The load's moment of the registered queries. It lies inside the star's days, so the check for later orders finds some.
@@ -184,7 +184,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # a second series
     "activity_rolling": _activity_rolling,
     "activity_flags": _activity_flags,
-    # with the isolation forest, which SQL cannot restate
+    # with the isolation forest
     "iforest_flags": _with_forest(lambda w: _flag_view(w.forest_flags())),
     "forest_anomaly_flags": _with_forest(lambda w: _flag_view(w.flags)),
     "forest_health_score": _with_forest(lambda w: w.health),

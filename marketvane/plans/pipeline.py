@@ -19,7 +19,7 @@ from ..workspace import Workspace
 class Warehouse:
     """The result tables of one star.
 
-    Tables several later stages read (spine, detector candidates, forest scores, flags, tickets) are
+    Tables several later stages read (spine, detector candidates, forest model and scores, flags, tickets) are
     stored when first used; everything else stays a lazy frame, so a query computes what it needs.
 
     `methods` names the detectors that vote. `updates` turns new tickets into status updates.
@@ -133,9 +133,13 @@ class Warehouse:
     def forest_rows(self) -> DataFrame:
         return forest.features(self.members)
 
+    @cached_property
+    def forest_model(self) -> DataFrame:
+        return self._store("forest_model", lambda: forest.fit(self.forest_rows))
+
     @cached_property
     def forest_scores(self) -> DataFrame:
-        return self._store("forest_scores", lambda: forest.score(self.forest_rows))
+        return self._store("forest_scores", lambda: forest.score(self.forest_rows, self.forest_model))
 
     def forest_flags(self) -> DataFrame:
         return forest.forest_flags(self.forest_rows, self.forest_scores)

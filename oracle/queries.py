@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .forest import FOREST
 from .stages import (
     ANCHOR_SQL,
     CUSUM_SQL,
@@ -455,4 +456,15 @@ UNION ALL SELECT seller_id, metric_date, 6, CAST(volume AS BIGINT) FROM event_da
 Q["activity_rolling"] = rolling_view("event_z")
 Q["activity_flags"] = f"{flag_view('event_iqr')} UNION ALL {flag_view('event_cusum')}"
 
-ORACLES = {name: compose(sql, EVENT_STAGES if name.startswith("activity_") else None) for name, sql in Q.items()}
+# The queries in which the isolation forest votes too.
+Q["iforest_flags"] = flag_view("forest_flags")
+for _name in ("anomaly_flags", "health_score", "eval_methods"):
+    Q[f"forest_{_name}"] = Q[_name]
+Q["forest_tickets"] = Q["sla_breaches"]
+
+
+def _stages_of(name: str) -> dict[str, str] | None:
+    return EVENT_STAGES if name.startswith("activity_") else FOREST if name.startswith(("forest_", "iforest_")) else None
+
+
+ORACLES = {name: compose(sql, _stages_of(name)) for name, sql in Q.items()}

@@ -290,7 +290,7 @@ FROM (SELECT *, {hu("avg_score", 4)} AS score,
             FROM votes v WHERE n_methods >= 2 AND EXISTS (
               SELECT 1 FROM method_flags f WHERE f.seller_id = v.seller_id AND f.anomaly_type = v.anomaly_type
                 AND f.flag_date <> v.flag_date AND abs(f.flag_date - v.flag_date) <= 3))) e
-JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seller_id, flag_date ORDER BY anomaly_score DESC, {ORDINAL},
+JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seller_id, flag_date ORDER BY anomaly_score DESC, coalesce({ORDINAL}, -1),
              {case("method", [(m, i) for i, m in enumerate(METHODS)])}) AS pick FROM method_flags) WHERE pick = 1) d
   ON d.seller_id = e.seller_id AND d.flag_date = e.flag_date
 WHERE e.rn = 1"""
@@ -406,7 +406,7 @@ STAGES["latest"] = "SELECT * FROM health WHERE score_date = (SELECT max(score_da
 
 MATERIALIZED = {
     "lines", "spine_units", "long_units", "rolling", "peers", "anchored", "method_flags", "flags", "penalized", "health",
-    "priority", "new_tickets", "tickets", "votes",
+    "priority", "new_tickets", "tickets", "votes", "forest_rows", "forest_sizes", "forest_sample", "forest_nodes", "forest_scores", "forest_flags",
 }
 
 
