@@ -33,8 +33,3 @@ def upsert_summary(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     """Fresh counts replace those of the same name; other names stay."""
     return existing.join(fresh.select("metric_name"), "metric_name", "left_anti").unionByName(fresh)
 
-
-def last_days(spine: DataFrame, days: int) -> DataFrame:
-    """Rows from `days` days before the last date on."""
-    last = spine.agg(F.max("metric_date")).scalar()
-    return spine.where(F.col("metric_date") >= F.date_sub(last, days))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 from hashlib import blake2b
 
@@ -12,9 +12,18 @@ from pyspark.sql import functions as F
 from ..operators import baselines, detectors, ensemble, evaluation, forest, impact, quality, scoring, spine, summary, tickets
 from ..registry import COHORT_KEYS, METHODS
 from ..schemas import SPINE_TYPES
-from ..sources.star import write_table
+from ..sources.tables import Table
 from ..workspace import Workspace
 
+# Result tables with a date, by whose months they are stored and replaced.
+DATED = {
+    "fact_seller_daily_metrics": "metric_date",
+    "seller_metric_rolling_baseline": "metric_date",
+    "seller_metric_cohort_baseline": "metric_date",
+    "fact_anomaly_flags": "flag_date",
+    "seller_health_score": "score_date",
+}
+
 
 class Warehouse:
     """The result tables of one star.
@@ -27,7 +36,7 @@ class Warehouse:
     at `judged_at`, the last day of the series unless given.
 
     A stored table's name holds a digest of all that shapes it, so warehouses that differ in their input or
-    parameters can share a workspace.
+    parameters can share a workspace. Tables with a date are stored by month, and reads of some days list only theirs.
     """
 
     def __init__(
@@ -50,9 +59,15 @@ class Warehouse:
     def _input(self) -> tuple:
         return tuple((name, frame.semanticHash()) for name, frame in sorted(self.star.items()))
 
-    def _store(self, name: str, build: Callable[[], DataFrame], *shaped_by: object, sort_by: str | None = None) -> DataFrame:
-        digest = blake2b(repr((self._input, *shaped_by)).encode(), digest_size=8).hexdigest()
-        return self.workspace.table(f"{name}-{digest}", build, sort_by)
+    def _named(self, name: str, shaped_by: tuple[object, ...]) -> str:
+        return f"{name}-{blake2b(repr((self._input, *shaped_by)).encode(), digest_size=8).hexdigest()}"
+
+    def _store(self, name: str, build: Callable[[], DataFrame], *shaped_by: object) -> DataFrame:
+        return self.workspace.table(self._named(name, shaped_by), build)
+
+    def _dated(self, name: str, build: Callable[[], DataFrame], *shaped_by: object) -> Table:
+        """A stored table parted by the months of its date."""
+        return self.workspace.dated(self._named(name, shaped_by), build, DATED[name])
 
     @property
     def sellers(self) -> DataFrame:
@@ -62,17 +77,19 @@ class Warehouse:
     def episodes(self) -> DataFrame:
         return self.star["ground_truth_anomalies"]
 
-    @cached_property
-    def members(self) -> DataFrame:
-        """The spine with each seller's cohort, stored."""
+    @property
+    def member_table(self) -> Table:
+        """The spine with each seller's cohort, stored by month."""
         s = self.star
         facts = (s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"])
-        return self._store(
-            "fact_seller_daily_metrics",
-            lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers), self.sellers),
-            sort_by="metric_date",
+        return self._dated(
+            "fact_seller_daily_metrics", lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers), self.sellers)
         )
 
+    @cached_property
+    def members(self) -> DataFrame:
+        return self.member_table.read()
+
     @property
     def spine(self) -> DataFrame:
         return self.members.select(*SPINE_TYPES)
@@ -82,7 +99,7 @@ class Warehouse:
         """The moment tickets are judged at. The spine ends on the last order day, and is far smaller."""
         if self._judged_at is not None:
             return self._judged_at
-        return self.spine.agg(F.max("metric_date").cast("timestamp_ntz").alias("t")).scalar()
+        return self.member_table.last_day().cast("timestamp_ntz")
 
     def dq_report(self) -> DataFrame:
         return quality.report(quality.raw_checks(self.star, self.as_of), quality.spine_check(self.spine))
@@ -108,9 +125,9 @@ class Warehouse:
     def cohort_baseline(self, days: int | None = None) -> DataFrame:
         """Peer baseline of all days, or of the last `days` before the spine's last date.
 
-        Peers are compared within a day, so the days are chosen in the scan of the spine.
+        Peers are compared within a day, so the days are chosen in the scan of the spine: only their months are read.
         """
-        members = self.members if days is None else summary.last_days(self.members, days)
+        members = self.members if days is None else self.member_table.last_days(days)
         return baselines.cohort_baseline(members)
 
     @cached_property
@@ -168,21 +185,29 @@ class Warehouse:
             "unique_flags", lambda: ensemble.unique_flags(self.method_flags, self.ensemble_flags()), self.methods
         )
 
+    @property
+    def flag_table(self) -> Table:
+        return self._dated("fact_anomaly_flags", lambda: ensemble.number_flags(self.unique_flags), self.methods)
+
     @cached_property
     def flags(self) -> DataFrame:
-        return self._store(
-            "fact_anomaly_flags", lambda: ensemble.number_flags(self.unique_flags), self.methods, sort_by="flag_date"
-        )
+        return self.flag_table.read()
 
     @cached_property
     def measured(self) -> DataFrame:
         return self._store("penalized_series", lambda: scoring.with_penalty(self.spine, self.flags), self.methods)
 
+    @property
+    def health_table(self) -> Table:
+        return self._dated("seller_health_score", lambda: scoring.health_scores(self.measured), self.methods)
+
     @cached_property
     def health(self) -> DataFrame:
-        return self._store(
-            "seller_health_score", lambda: scoring.health_scores(self.measured), self.methods, sort_by="score_date"
-        )
+        return self.health_table.read()
+
+    def health_on(self, day: Column | None = None) -> DataFrame:
+        """Health scores of a day, the last one unless given; only its month is read."""
+        return self.health_table.on(self.health_table.last_day() if day is None else day)
 
     @cached_property
     def exposed_cases(self) -> DataFrame:
@@ -270,8 +295,16 @@ COPIED = (
 )
 
 
+def keep(warehouse: Warehouse, folder: str, name: str, frame: DataFrame, months: Sequence[str] | None = None) -> Table:
+    """Replace a result table, or the given months of it if it has a date. Readers see it before or after, whole."""
+    dated_by = DATED.get(name)
+    table = Table(warehouse.workspace.spark, f"{folder}/{name}", dated_by)
+    table.replace(frame, months if dated_by and table.exists() else None, sort_by=dated_by)
+    return table
+
+
 def export(warehouse: Warehouse, folder: str) -> None:
-    """Write the extract a reporting site needs."""
+    """Write the extract a reporting site needs, as versioned tables."""
     whole = (
         warehouse.sellers,
         warehouse.spine,
@@ -281,5 +314,5 @@ def export(warehouse: Warehouse, folder: str) -> None:
         warehouse.dataset_summary(),
     )
     for name, frame in zip(COPIED, whole):
-        write_table(frame, f"{folder}/{name}")
-    write_table(warehouse.trimmed_extract(), f"{folder}/seller_metric_cohort_baseline")
+        keep(warehouse, folder, name, frame)
+    keep(warehouse, folder, "seller_metric_cohort_baseline", warehouse.trimmed_extract())

@@ -16,8 +16,7 @@ HOUR = 3600.0
 
 def latest_health(w: Warehouse, day: Column | None = None) -> DataFrame:
     """Health scores of a day, the last one unless given."""
-    last = w.health.agg(F.max("score_date")).scalar() if day is None else day
-    return w.health.where(c("score_date") == last)
+    return w.health_on(day)
 
 
 def last_critical_day(w: Warehouse) -> Column:

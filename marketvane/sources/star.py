@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..schemas import STAR_SCHEMAS
 
@@ -25,20 +26,11 @@ def read_parquet_star(spark: SparkSession, folder: str, tables=tuple(STAR_SCHEMA
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    """Header CSV, nulls as empty fields."""
-    frame.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    """Header CSV, nulls as empty fields, the values of a list as one text with commas."""
+    lists = {f.name: F.array_join(F.col(f"`{f.name}`").cast("array<string>"), ",") for f in frame.schema if isinstance(f.dataType, ArrayType)}
+    frame.withColumns(lists).write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
 
 
-def write_table(
-    frame: DataFrame, path: str, partition_by: tuple[str, ...] = (), spread_by: tuple[str, ...] = (), files: int = 16
-) -> None:
-    """Replace a result table.
-
-    With `partition_by`, rows of one value are gathered into at most `files` files by a hash of
-    `spread_by`, so neither many small files nor one hot task result.
-    """
-    if not partition_by:
-        frame.write.mode("overwrite").parquet(path)
-        return
-    slot = [F.pmod(F.xxhash64(*spread_by), F.lit(files))] if spread_by else []
-    frame.repartition(*partition_by, *slot).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def write_parts(frame: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Parquet parted by columns; adaptive execution splits large parts and puts small ones together by measured size."""
+    frame.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.tables import Table
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for a local master without it."""
@@ -33,13 +35,20 @@ class Workspace:
         self.spark = spark
         self.root = root or f"{checkpoint_root(spark)}/marketvane-{uuid.uuid4().hex}"
         self._tables: dict[str, DataFrame] = {}
+        self._dated: dict[str, Table] = {}
 
-    def table(self, name: str, build: Callable[[], DataFrame], sort_by: str | None = None) -> DataFrame:
-        """The stored table. Files sorted by `sort_by` let a scan for a few days skip the rest."""
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
             path = f"{self.root}/{name}"
             frame = build()
-            ordered = frame.sortWithinPartitions(sort_by) if sort_by else frame
-            ordered.write.mode("overwrite").parquet(path)
+            frame.write.mode("overwrite").parquet(path)
             self._tables[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._tables[name]
+
+    def dated(self, name: str, build: Callable[[], DataFrame], day: str) -> Table:
+        """The stored table parted by the months of `day`, so a scan of some days lists only theirs."""
+        if name not in self._dated:
+            table = Table(self.spark, f"{self.root}/{name}", day)
+            table.replace(build(), sort_by=day)
+            self._dated[name] = table.snapshot()
+        return self._dated[name]

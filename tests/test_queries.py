@@ -10,6 +10,7 @@ from marketvane.operators.quality import DataQualityError
 from marketvane.plans.catalog import QUERIES, warehouse
 from marketvane.operators.summary import upsert_summary
 from marketvane.plans.pipeline import COPIED, Warehouse, export, run
+from marketvane.sources.tables import Table
 from marketvane.plans.reports import QUEUE_SORTS, filtered_queue, seller_360
 from marketvane.workspace import Workspace
 from tests.parity import TABLES, connect, differences, type_differences
@@ -122,11 +123,18 @@ def test_run_stops_at_the_gate_and_returns_all_tables(spark, tmp_path):
     export(checked, str(tmp_path / "copy"))
     assert set(os.listdir(tmp_path / "copy")) == {*COPIED, "seller_metric_cohort_baseline"}
     last = checked.spine.agg({"metric_date": "max"}).first()[0]
-    trimmed = spark.read.parquet(str(tmp_path / "copy" / "seller_metric_cohort_baseline"))
+    trimmed = Table(spark, str(tmp_path / "copy" / "seller_metric_cohort_baseline"), "metric_date").read()
     assert (last - trimmed.agg({"metric_date": "min"}).first()[0]).days == 60
     assert sorted(os.listdir(tmp_path / "run"))
 
 
+@pytest.mark.parametrize("name", ["trimmed_extract", "q4_vs_peers", "r_peer_heatmap", "r_risky"])
+def test_windowed_queries_list_the_months_they_need(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    scans = [s for s in plan.split("FileScan")[1:] if "metric_date" in s.split("]")[0] or "score_date" in s.split("]")[0]]
+    assert any("PartitionFilters: [" in s and "part_month" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+
+
 def test_stored_tables_are_written_once(spark, tmp_path):
     built = []
 

@@ -9,7 +9,7 @@ import pytest
 from marketvane.operators.calendar import calendar
 from marketvane.operators.spine import daily_metrics
 from marketvane.schemas import STAR_SCHEMAS
-from marketvane.sources.star import read_csv_star, read_parquet_star, write_csv, write_table
+from marketvane.sources.star import read_csv_star, read_parquet_star, write_csv, write_parts
 from tests.helpers import day, rows
 
 
@@ -124,6 +124,6 @@ def test_tables_round_trip(spark, tmp_path):
     frame = spark.createDataFrame([(1, day(0), None, "VIP"), (2, day(40), "N", None)], STAR_SCHEMAS["dim_customer"])
     write_csv(frame, f"{tmp_path}/dim_customer.csv")
     assert rows(read_csv_star(spark, str(tmp_path), ("dim_customer",))["dim_customer"], "customer_id") == rows(frame, "customer_id")
-    write_table(frame, f"{tmp_path}/dim_customer", ("customer_segment",), ("customer_id",))
+    write_parts(frame, f"{tmp_path}/dim_customer", ("customer_segment",))
     back = read_parquet_star(spark, str(tmp_path), ("dim_customer",))["dim_customer"].select(*frame.columns)
     assert rows(back, "customer_id") == rows(frame, "customer_id")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from marketvane.__main__ import main
 from marketvane.operators.quality import DataQualityError
 from marketvane.plans.catalog import warehouse
-from marketvane.plans.pipeline import Warehouse, run
+from marketvane.plans.pipeline import DATED, Warehouse, run
+from marketvane.sources.tables import Table
 from marketvane.workspace import Workspace
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,16 +54,32 @@ def test_the_command_writes_every_table_and_takes_updates(spark, tmp_path):
     done.write.parquet(str(tmp_path / "updates"))
     (tmp_path / "out").mkdir()
     old = spark.createDataFrame([("total_orders", -1), ("kept", 7)], "metric_name string, metric_value long")
-    old.withColumn("computed_at", moment).write.parquet(str(tmp_path / "out" / "dataset_summary"))
-    main(
-        [str(tmp_path / "in"), str(tmp_path / "out"), "--format", "parquet", "--methods", "IQR", "CUSUM", "--as-of", "2021-06-01 00:00:00"]
-        + ["--updates", str(tmp_path / "updates"), "--extract", str(tmp_path / "extract"), "--skip-quality-gate"]
-    )
+    Table(spark, str(tmp_path / "out" / "dataset_summary")).replace(old.withColumn("computed_at", moment))
+    call = [str(tmp_path / "in"), str(tmp_path / "out"), "--format", "parquet", "--methods", "IQR", "CUSUM", "--as-of", "2021-06-01 00:00:00"]
+    call += ["--updates", str(tmp_path / "updates"), "--skip-quality-gate"]
+    main([*call, "--extract", str(tmp_path / "extract"), "--csv", str(tmp_path / "csv")])
+
+    def table(name):
+        return Table(spark, str(tmp_path / "out" / name), DATED.get(name)).read()
+
     written = {p.name for p in (tmp_path / "out").iterdir()}
     assert written >= {"dq_report", "sla_summary", "recall_by_type", "precision_by_severity", "seller_confusion", "business_impact"}
-    cases = spark.read.parquet(str(tmp_path / "out" / "investigation_tickets"))
+    cases = table("investigation_tickets")
     assert cases.where("case_id = 1").select("status", "resolution").collect() == [("Resolved", "done")]
     assert cases.where("status = 'New' AND NOT is_sla_breached").count() == 0  # judged long after every deadline
-    counts = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "out" / "dataset_summary")).collect()}
+    counts = {r[0]: r[1] for r in table("dataset_summary").collect()}
     assert counts["kept"] == 7 and counts["total_orders"] > 0 and len(counts) == 8
     assert (tmp_path / "extract" / "seller_metric_cohort_baseline").exists()
+    health = spark.read.option("header", True).csv(str(tmp_path / "csv" / "seller_health_score"))
+    assert health.count() == table("seller_health_score").count() and set(health.columns) == set(table("seller_health_score").columns)
+
+    # the same run for one month rewrites that month alone
+    def files(name):
+        return {str(p) for p in (tmp_path / "out" / name / "data").rglob("*.parquet")}
+
+    before = {name: files(name) for name in DATED}
+    rows = {name: table(name).count() for name in DATED}
+    main([*call, "--months", "2020-08"])
+    for name in DATED:
+        assert {p.split("part_month=")[1][:7] for p in files(name) ^ before[name]} == {"2020-08"}
+        assert table(name).count() == rows[name]
