@@ -6,19 +6,24 @@ sums, means and quartiles of stored values are exact whatever the order of the r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import quartile
+from ..functions.numeric import above, quartile
 from ..functions.scale import salted_join
 from ..registry import (
     BASELINE_ROWS,
     COHORT_KEYS,
+    CUSUM_ALARM,
     CUSUM_MIN_OBS,
     CUSUM_SLACK,
     METRICS,
     MIN_BASELINE,
     MIN_PEERS,
+    OPTIONAL,
     Metric,
     metric_attribute,
 )
@@ -36,46 +41,102 @@ def metric_name(metrics=METRICS) -> Column:
     return metric_attribute(F.col("metric"), [m.name for m in metrics])
 
 
-def long_series(spine: DataFrame, metrics=METRICS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(seller_id, metric_date, metric ordinal, units); missing readings are dropped.
+def _by_day(keys: tuple[str, ...]):
+    return Window.partitionBy(*keys).orderBy("metric_date")
+
+
+def _zscore(x: Column, mean: Column, std: Column, n: Column, least: int) -> Column:
+    return F.when((std > 0) & (n >= least), (x - mean) / std)
+
+
+def self_zscore() -> Column:
+    return _zscore(F.col("units"), F.col("roll_mean"), F.col("roll_std"), F.col("roll_n"), MIN_BASELINE)
+
 
-    One scan for all metrics, and the partitioning by seller survives the explode.
+class _Readings:
+    """Readings with one row for each observation of `keys`, and their metrics side by side as unit columns.
+
+    Every metric that each day has stands in one wide frame, sorted once by seller and day. The optional ones follow as
+    one long frame, because their windows count observations and not days. `cells` are (ordinal, metric, column); the
+    long frame has its ordinal in the column `metric`, and a single unit column.
     """
-    cells = [F.struct(F.lit(i).alias("metric"), in_units(m).alias("units")) for i, m in enumerate(metrics)]
-    return spine.select("seller_id", "metric_date", *keep, F.inline(F.array(*cells))).where("units IS NOT NULL")
 
+    def __init__(self, frame: DataFrame, keys: tuple[str, ...], cells: list[tuple[Column, tuple[Metric, ...], str]], keep: tuple[str, ...]):
+        self.frame, self.keys, self.cells, self.keep = frame, keys, cells, keep
 
-def _by_day():
-    return Window.partitionBy("seller_id", "metric").orderBy("metric_date")
+    @property
+    def names(self) -> list[str]:
+        return [name for _, _, name in self.cells]
 
+    def having(self, frame: DataFrame) -> _Readings:
+        return _Readings(frame, self.keys, self.cells, self.keep)
 
-def _trailing():
-    return _by_day().rowsBetween(-BASELINE_ROWS, -1)
+    def long(self, fields: dict[str, Callable[[str], Column]]) -> DataFrame:
+        """One row a reading: its metric's ordinal, its units and the given columns of it."""
+        made = [
+            F.struct(ordinal.cast("int").alias("metric"), F.col(x).cast("double").alias("units"), *[f(x).alias(k) for k, f in fields.items()])
+            for ordinal, _, x in self.cells
+        ]
+        return self.frame.select("seller_id", "metric_date", *self.keep, F.inline(F.array(*made)))
 
 
-def _zscore(x: Column, mean: Column, std: Column, n: Column, least: int) -> Column:
-    return F.when((std > 0) & (n >= least), (x - mean) / std)
+def _readings(spine: DataFrame, metrics=METRICS, keep: tuple[str, ...] = ()) -> list[_Readings]:
+    """All metrics of a spine, dealt by seller once."""
+    # computing rules here, not bytes: as many tasks as the session shuffles to
+    dealt = spine.repartition(int(spine.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seller_id")
+    always = [(i, m) for i, m in enumerate(metrics) if m.name not in OPTIONAL]
+    sometimes = [(i, m) for i, m in enumerate(metrics) if m.name in OPTIONAL]
+    out = []
+    if always:
+        units = [in_units(m).cast("bigint").alias(f"u{i}") for i, m in always]
+        cells = [(F.lit(i), (m,), f"u{i}") for i, m in always]
+        out.append(_Readings(dealt.select("seller_id", "metric_date", *keep, *units), ("seller_id",), cells, keep))
+    if sometimes:
+        given = [F.struct(F.lit(i).alias("metric"), in_units(m).cast("bigint").alias("u")) for i, m in sometimes]
+        long = dealt.select("seller_id", "metric_date", *keep, F.inline(F.array(*given))).where("u IS NOT NULL")
+        out.append(_Readings(long, ("seller_id", "metric"), [(F.col("metric"), tuple(metrics), "u")], keep))
+    return out
 
 
-def self_zscore() -> Column:
-    return _zscore(F.col("units"), F.col("roll_mean"), F.col("roll_std"), F.col("roll_n"), MIN_BASELINE)
+def _trailing(keys: tuple[str, ...]):
+    return _by_day(keys).rowsBetween(-BASELINE_ROWS, -1)
 
 
-def with_trailing_stats(series: DataFrame) -> DataFrame:
-    """Mean, deviation and count of the 28 observations before each one."""
-    return series.select(
-        "*",
-        F.avg("units").over(_trailing()).alias("roll_mean"),
-        F.stddev_samp("units").over(_trailing()).alias("roll_std"),
-        F.count("units").over(_trailing()).alias("roll_n"),
-    )
+def _with_trailing_stats(series: _Readings, *more: Column) -> _Readings:
+    """Adds mean, deviation (`_mean`, `_std` of each column) and count of the 28 observations before each one.
+
+    Rates are small whole numbers, so their deviation comes from plain sums, which are exact.
+    """
+    recent = _trailing(series.keys)
+    made = [F.count("*").over(recent).alias("roll_n"), *more]
+    for _, metrics, x in series.cells:
+        if _is_rate(metrics):
+            made.append(F.sum(F.col(x).cast("double")).over(recent).alias(f"{x}_sum"))
+            made.append(F.sum(F.col(x).cast("double") * F.col(x)).over(recent).alias(f"{x}_squares"))
+        else:
+            made.append(F.avg(x).over(recent).alias(f"{x}_mean"))
+            made.append(F.stddev_samp(x).over(recent).alias(f"{x}_std"))
+    n = F.col("roll_n")
+    stats = []
+    for _, metrics, x in series.cells:
+        if _is_rate(metrics):
+            total, squares = F.col(f"{x}_sum"), F.col(f"{x}_squares")
+            stats.append((total / F.nullif(n, F.lit(0))).alias(f"{x}_mean"))
+            stats.append(F.when(n > 1, F.sqrt((n * squares - total * total) / (n * (n - 1)))).alias(f"{x}_std"))
+    return series.having(series.frame.select("*", *made).select("*", *stats))
+
+
+def _is_rate(metrics: tuple[Metric, ...]) -> bool:
+    """Whether all readings are shares at four decimals."""
+    return all(m.decimals == 4 for m in metrics)
 
 
 def rolling_baseline(spine: DataFrame, metrics=METRICS) -> DataFrame:
     """Self baseline table: one row per seller, day and metric."""
     unit = unit_of(metrics)
-    series = long_series(spine.repartition("seller_id"), metrics)
-    return with_trailing_stats(series).select(
+    fields = {"roll_mean": lambda x: F.col(f"{x}_mean"), "roll_std": lambda x: F.col(f"{x}_std"), "roll_n": lambda x: F.col("roll_n")}
+    parts = [_with_trailing_stats(series).long(fields) for series in _readings(spine, metrics)]
+    return reduce(DataFrame.unionByName, parts).select(
         "seller_id",
         "metric_date",
         metric_name(metrics).alias("metric_name"),
@@ -87,66 +148,83 @@ def rolling_baseline(spine: DataFrame, metrics=METRICS) -> DataFrame:
     )
 
 
-def detector_profile(spine: DataFrame, metrics=METRICS, keep: tuple[str, ...] = ()) -> DataFrame:
+def _bad_drift(ordinal: Column, metrics: tuple[Metric, ...], up: Column, down: Column) -> Column:
+    """The cumulative sum of the metric's bad direction; of both, the larger."""
+    if len(metrics) == 1:
+        return {"up": up, "down": down, "both": F.greatest(up, down)}[metrics[0].direction]
+    may = {way: ordinal.isin([i for i, m in enumerate(metrics) if m.direction in (way, "both")]) for way in ("up", "down")}
+    return F.greatest(F.when(may["up"], up), F.when(may["down"], down))
+
+
+def detector_profile(spine: DataFrame, metrics=METRICS, keep: tuple[str, ...] = (), alarm: float = CUSUM_ALARM) -> DataFrame:
     """Everything the three single-metric detectors need, per seller, day and metric.
 
-    One exchange by seller and one sort serve all windows. A window partition holds one seller's
-    readings of one metric, at most one per calendar day, however many orders the seller has.
-    Columns besides the series: trailing mean, deviation, count and quartiles, the anchor mean and
-    deviation of the first readings, and the two cumulative sums.
+    One exchange by seller, and one sort of the seller's days for all metrics that each day has. The readings are laid
+    out one a row only after the windows. A window partition holds one seller's readings, at most one per calendar day,
+    however many orders the seller has. Columns besides the series: trailing mean, deviation, count and quartiles, the
+    anchor mean and deviation of the first readings, the drift in the bad direction in anchor deviations, and the last
+    day before with a drift alarm.
 
-    The cumulative sum c[t] = max(0, c[t-1] + step[t]) equals the running total of the steps minus
-    its running minimum, so no row depends on a loop. `keep` names columns of the seller to carry along.
+    The cumulative sum c[t] = max(0, c[t-1] + step[t]) equals the running total of the steps minus its running minimum,
+    so no row depends on a loop. `keep` names columns of the seller to carry along.
     """
-    by_day = _by_day()
-    running = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = [_profiled(series, alarm) for series in _readings(spine, metrics, keep)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _profiled(series: _Readings, alarm: float) -> DataFrame:
     c = F.col
-    series = with_trailing_stats(long_series(spine.repartition("seller_id"), metrics, keep))
-    counted = series.select(
-        "*",
-        F.sort_array(F.collect_list("units").over(_trailing())).alias("recent"),
-        F.row_number().over(by_day).alias("position"),
-        F.count("*").over(whole).alias("n_obs"),
-        F.sum("units").over(running).alias("total"),
-        F.first("units").over(whole).alias("first_units"),
-    )
-    enough = c("roll_n") >= MIN_BASELINE
+    by_day = _by_day(series.keys)
+    upto = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    before = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    more = [F.row_number().over(by_day).alias("position"), F.count("*").over(whole).alias("n_obs")]
+    for x in series.names:
+        more.append(F.collect_list(x).over(_trailing(series.keys)).alias(f"{x}_recent"))
+        more.append(F.sum(x).over(upto).alias(f"{x}_total"))
+        more.append(F.first(x).over(upto).alias(f"{x}_first"))
+    frame = _with_trailing_stats(series, *more).frame
+
     anchor_rows = F.least(F.lit(28), F.greatest(F.floor(c("n_obs") / 3), F.lit(5)))
-    anchor = F.when(c("position") <= anchor_rows, c("units"))
-    anchored = counted.select(
-        *[x for x in counted.columns if x != "recent"],
-        F.when(enough, quartile(c("recent"), 1)).alias("q1"),
-        F.when(enough, quartile(c("recent"), 3)).alias("q3"),
-        F.avg(anchor).over(whole).alias("anchor_mean"),
-        F.stddev_pop(anchor).over(whole).alias("anchor_std"),
-    )
+    anchors = []
+    for x in series.names:
+        early = F.when(c("position") <= anchor_rows, c(x))
+        anchors += [F.avg(early).over(whole).alias(f"{x}_anchor"), F.stddev_pop(early).over(whole).alias(f"{x}_spread")]
+    frame = frame.select("*", *anchors)
+
     steps = c("position") - 1
-    moved = c("total") - c("first_units")
-    slack = c("anchor_std") * CUSUM_SLACK
-    drift = anchored.withColumns(
-        {
-            "up_total": moved - steps * (c("anchor_mean") + slack),
-            "down_total": steps * (c("anchor_mean") - slack) - moved,
-        }
-    )
-    usable = (c("n_obs") >= CUSUM_MIN_OBS) & (c("anchor_std") > 0)
-    return drift.select(
-        "seller_id",
-        "metric_date",
-        *keep,
-        "metric",
-        "units",
-        "roll_mean",
-        "roll_std",
-        "roll_n",
-        "q1",
-        "q3",
-        "anchor_mean",
-        "anchor_std",
-        F.when(usable, c("up_total") - F.min("up_total").over(running)).alias("cusum_up"),
-        F.when(usable, c("down_total") - F.min("down_total").over(running)).alias("cusum_down"),
-    )
+    totals = []
+    for x in series.names:
+        moved, slack = c(f"{x}_total") - c(f"{x}_first"), c(f"{x}_spread") * CUSUM_SLACK
+        totals.append((moved - steps * (c(f"{x}_anchor") + slack)).alias(f"{x}_up"))
+        totals.append((steps * (c(f"{x}_anchor") - slack) - moved).alias(f"{x}_down"))
+    frame = frame.select("*", *totals)
+    lows = [F.min(f"{x}_{way}").over(upto).alias(f"{x}_{way}_low") for x in series.names for way in ("up", "down")]
+    frame = frame.select("*", *lows)
+    drifts = []
+    for ordinal, metrics, x in series.cells:
+        usable = (c("n_obs") >= CUSUM_MIN_OBS) & (c(f"{x}_spread") > 0)
+        up, down = (c(f"{x}_{way}") - c(f"{x}_{way}_low") for way in ("up", "down"))
+        drifts.append(F.when(usable, F.try_divide(_bad_drift(ordinal, metrics, up, down), c(f"{x}_spread"))).alias(f"{x}_cusum"))
+    frame = frame.select("*", *drifts)
+    alarms = [F.max(F.when(above(c(f"{x}_cusum"), alarm), c("metric_date"))).over(before).alias(f"{x}_alarm") for x in series.names]
+    frame = frame.select("*", *alarms)
+
+    enough = c("roll_n") >= MIN_BASELINE
+    frame = frame.select("*", *[F.when(enough, F.sort_array(f"{x}_recent")).alias(f"{x}_ordered") for x in series.names])
+    frame = frame.select("*", *[quartile(c(f"{x}_ordered"), k).alias(f"{x}_q{k}") for x in series.names for k in (1, 3)])
+    fields = {
+        "roll_mean": lambda x: c(f"{x}_mean"),
+        "roll_std": lambda x: c(f"{x}_std"),
+        "roll_n": lambda x: c("roll_n"),
+        "q1": lambda x: c(f"{x}_q1"),
+        "q3": lambda x: c(f"{x}_q3"),
+        "anchor_mean": lambda x: c(f"{x}_anchor"),
+        "anchor_std": lambda x: c(f"{x}_spread"),
+        "cusum": lambda x: c(f"{x}_cusum"),
+        "last_alarm": lambda x: c(f"{x}_alarm"),
+    }
+    return series.having(frame).long(fields)
 
 
 def with_cohort(spine: DataFrame, sellers: DataFrame) -> DataFrame:

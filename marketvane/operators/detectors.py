@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import above, at_least, half_up, relative_pct
@@ -51,13 +51,6 @@ def _is_iqr_outlier(metrics, multiplier) -> Column:
     return (spread > 0) & outside & ~F.col("metric").isin(excluded)
 
 
-def _cusum(metrics) -> Column:
-    """The cumulative sum of the metric's bad direction, in anchor deviations."""
-    up = F.when(_may(metrics, "up"), F.col("cusum_up"))
-    down = F.when(_may(metrics, "down"), F.col("cusum_down"))
-    return F.try_divide(F.greatest(up, down), F.col("anchor_std"))
-
-
 def candidates(
     profile: DataFrame,
     metrics=METRICS,
@@ -67,27 +60,19 @@ def candidates(
 ) -> DataFrame:
     """The readings at least one detector may flag: a few percent of the profile, found in one pass.
 
-    A drift alarm counts on the first day of a run only: no alarm on the three days before. The
-    last window reuses the order of the profile.
+    A drift alarm counts on the first day of a run only: no alarm on the three days before. The profile must have been
+    made for the same alarm.
     """
-    before = (
-        Window.partitionBy("seller_id", "metric").orderBy("metric_date").rowsBetween(Window.unboundedPreceding, -1)
-    )
     alarmed = F.coalesce(above(F.col("cusum"), alarm), F.lit(False))
-    previous = F.max(F.when(alarmed, F.col("metric_date"))).over(before)
-    waited = F.coalesce(F.datediff("metric_date", "_previous") > CUSUM_REARM_DAYS, F.lit(True))
-    marked = (
-        profile.withColumn("cusum", _cusum(metrics))
-        .withColumn("_previous", previous)
-        .withColumns(
-            {
-                "z_candidate": F.coalesce(_is_z_candidate(metrics, z_threshold), F.lit(False)),
-                "iqr_outlier": F.coalesce(_is_iqr_outlier(metrics, iqr_multiplier), F.lit(False)),
-                "cusum_alarm": alarmed & waited,
-            }
-        )
+    waited = F.coalesce(F.datediff("metric_date", "last_alarm") > CUSUM_REARM_DAYS, F.lit(True))
+    marked = profile.withColumns(
+        {
+            "z_candidate": F.coalesce(_is_z_candidate(metrics, z_threshold), F.lit(False)),
+            "iqr_outlier": F.coalesce(_is_iqr_outlier(metrics, iqr_multiplier), F.lit(False)),
+            "cusum_alarm": alarmed & waited,
+        }
     )
-    return marked.where("z_candidate OR iqr_outlier OR cusum_alarm").drop("cusum_up", "cusum_down", "_previous")
+    return marked.where("z_candidate OR iqr_outlier OR cusum_alarm").drop("last_alarm")
 
 
 def _flags(

@@ -45,6 +45,9 @@ ANOMALY_TYPES = (
     "Multi_Metric_Deterioration",
 )
 
+# Metrics that a day may lack.
+OPTIONAL = ("avg_rating", "avg_price")
+
 METHODS = ("ZScore", "IQR", "CUSUM", "IsolationForest")
 ENSEMBLE = "Ensemble"
 
