@@ -21,10 +21,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     again = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
     # Where an id repeats, its texts tell documents apart; as before, a null id is no least one beside others.
     several = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag"))
-    keyed = docs.withColumn("_document", several if again else F.col("doc_id"))
-    classes = ngram_join.near_duplicates(keyed, "_document")
-    stays = classes.where(F.col("_document").eqNullSafe(F.col("class_id"))).select(F.col("_document").alias("stays")).distinct()
-    kept = keyed.join(stays, keyed["_document"].eqNullSafe(stays["stays"]), "left_semi").drop("_document")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
+    keyed = docs.select(whole, "text", (several if again else F.col("doc_id")).alias("document"))
+    classes = ngram_join.near_duplicates(keyed, "document")
+    stays = classes.where(F.col("document").eqNullSafe(F.col("class_id"))).select(F.col("document").alias("stays")).distinct()
+    kept = keyed.join(stays, keyed["document"].eqNullSafe(stays["stays"]), "left_semi").select("given.*")
     return kept.dropDuplicates(["doc_id", "text"]) if again else kept
 
 
