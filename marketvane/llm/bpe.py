@@ -8,14 +8,22 @@ the merges give, so the result is exact, in time linear in the word's length.
 
 Decoding looks up each id's text in one byte string by an offset table.
 
-Defined cases: a null text encodes as an empty one, to no ids. Rows are encoded one by one, so repeated rows and
-ids do no harm; other columns are not read. The vocabulary is a file of the `tokenizers` library (BPE, byte level,
+How a text is cut into words depends on Unicode classes, and versions of Unicode class new characters differently. Texts
+whose characters stand as they are since Unicode 3.2 are cut here. Any other text is normalized and cut by the
+`tokenizers` library itself, and only its words are encoded here, so the ids follow the library's version.
+
+Defined cases: a null text encodes as an empty one, to no ids, and an empty table to an empty one. Rows are encoded one
+by one, so repeated rows and ids do no harm and no tie can arise; other columns are not read, so their names don't
+matter. A text of any length is encoded whole, in one task. The vocabulary is a file of the `tokenizers` library (BPE, byte level,
 words cut by its pattern, with an end-of-word suffix or none), given by its path.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import re
+import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -26,11 +34,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import map_slices
 
-#: Words whose ids a worker remembers.
+#: Words whose ids, and token pairs whose fit, a worker remembers.
 REMEMBERED = 200_000
+REMEMBERED_PAIRS = 2_000_000
 #: The last symbol of a word carries the suffix; it is told apart by this offset.
 FINAL = 0x10000
 NEVER = 1 << 60
@@ -49,8 +59,24 @@ def byte_symbols() -> list[str]:
     return out
 
 
+@lru_cache(maxsize=1)
+def unsettled() -> re.Pattern[str]:
+    """Any character that Unicode 3.2 lacked or classed otherwise than the version at hand."""
+    old, ranges = unicodedata.ucd_3_2_0, []
+    for point in map(chr, range(0x80, sys.maxunicode + 1)):
+        kind = old.category(point)
+        if kind in ("Cn", "Cs") or kind != unicodedata.category(point):
+            if ranges and ord(ranges[-1][1]) == ord(point) - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    return re.compile("[" + "".join(f"\\U{ord(a):08x}-\\U{ord(b):08x}" for a, b in ranges) + "]")
+
+
 class Bpe:
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -62,6 +88,7 @@ class Bpe:
         for rank, (left, right) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
             self.rank[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
         self.symbols = byte_symbols()
+        self.byte = {symbol: byte for byte, symbol in enumerate(self.symbols)}
         self._spines: dict[int, tuple[list, list] | None] = {}
         self._fits: dict[int, bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
@@ -117,9 +144,13 @@ class Bpe:
     def fits(self, first: int, second: int) -> bool:
         """Whether the merges leave these two tokens side by side."""
         key = first << 32 | second
-        if key not in self._fits:
-            self._fits[key] = self._decide(first, second)
-        return self._fits[key]
+        found = self._fits.get(key)
+        if found is None:
+            found = self._decide(first, second)
+            if len(self._fits) >= REMEMBERED_PAIRS:
+                self._fits.clear()
+            self._fits[key] = found
+        return found
 
     def _decide(self, first: int, second: int) -> bool:
         a, b = self._spine(first), self._spine(second)
@@ -178,6 +209,9 @@ class Bpe:
         return tuple(token for token, _, _ in taken)
 
     def words(self, text: str) -> list[str]:
+        if not text.isascii() and unsettled().search(text):
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes(map(self.byte.__getitem__, piece)).decode() for piece, _ in pieces]
         for step in self.normal:
             if step == "NFC":
                 if not text.isascii():

@@ -12,7 +12,9 @@ Documents are packed by hash bucket and id: bucket totals give each bucket's pla
 documents are ordered by a window, so no source is ever in one task.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last one; ids may repeat or
-be null, each row is a document. A source without words has target 0. Other columns are not read.
+be null, each row is a document. A source without words has target 0. Rows equal in id and size may take each other's words, rows equal altogether are
+separate. An empty table gives an empty mix. A text of any length is packed by its number of words. Other columns are
+not read, so their names don't matter.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ With 32 bands of 4 values a pair at exactly 0.8 shares no band with probability
 
 Defined cases: a null text, an empty one and one of spaces have no shingles: such documents are linked to
 nothing and are a class each. A text of one to four words is one shingle of all its words. Rows with equal
-ids are separate documents. Other columns are neither read nor returned.
+ids are separate documents; of equal texts or linked classes the least id speaks for all, so ties need no rule. An
+empty table has no classes. A text of any length is sketched whole, by one task. Other columns are neither read nor
+returned, so their names don't matter.
 """
 
 from __future__ import annotations

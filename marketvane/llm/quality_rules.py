@@ -5,8 +5,9 @@ failure bit a rule. Policies are versioned bit masks over the ledger, so applyin
 asking what a policy would do without one of its rules, reads the ledger and never a text.
 
 Defined cases: a null text has no words and no lines, an empty text neither; both fail `few_words`.
-Rows are judged one by one, so repeated rows and repeated or null ids each get their own line; other
-columns of the input are neither read nor returned.
+Rows are judged one by one, so repeated rows and repeated or null ids each get their own line and no tie can arise. An
+empty table has no lines. A text of any length is measured whole, by one task. Other columns of the input are neither
+read nor returned by `ledger`, and pass through `passing` untouched, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ ones. A single document above the limit is a shard of its own.
 `write_shards` writes the documents so that each shard is one file. The limit counts the bytes of texts, not those of
 other columns or of the file.
 
-Defined cases: a null text has 0 bytes, a null id the address of the empty string; an empty table has no shard.
-Repeated rows each count. Other columns are not read.
+Defined cases: a null or empty text has 0 bytes, a null id the address of the empty string; an empty table has no shard.
+Repeated rows each count. Rows of one id and one size are alike to the numbering, so either may take either number.
+Of a text only its length is read. Other columns are read by the writer alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,14 +61,22 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return _assigned(docs, F.lit(None).cast("bigint"), id_col, text_col, limit).drop("row")
 
 
-def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> None:
-    """Writes the documents, with all columns, to `folder`: one Parquet file a shard, under `shard=s` and the shard's prefix."""
+def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> str:
+    """Writes the documents, with all columns, to `folder`: one Parquet file a shard, under `shard=s` and the shard's prefix.
+
+    Returns the name of the folders' column: `shard`, with underscores where the documents have a column of that name.
+    """
+    name, taken = "shard", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
     given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
     numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), given), "numbered")
-    assigned = _assigned(numbered.select(F.col("row").alias("_row"), "given.*"), F.col("_row"), id_col, text_col, limit)
+    read = numbered.select("row", F.col(f"given.`{id_col}`").alias("id"), F.col(f"given.`{text_col}`").alias("text"))
+    assigned = _assigned(read, F.col("row"), "id", "text", limit)
     # The letter keeps prefixes from being read back as numbers.
-    laid = numbered.join(assigned.select("row", F.concat(F.lit("s"), "shard").alias("_shard")), "row")
-    laid.repartition("_shard").select("given.*", F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(folder)
+    laid = numbered.join(assigned.select("row", F.concat(F.lit("s"), "shard").alias("to")), "row").repartition("to")
+    laid.select("given.*", F.col("to").alias(name)).write.partitionBy(name).parquet(folder)
+    return name
 
 
 def _assigned(docs: DataFrame, row: Column, id_col: str, text_col: str, limit: int) -> DataFrame:

@@ -23,8 +23,8 @@ One suffix array over all texts can't be dealt out, so equal strings are brought
 
 Defined cases: a null text is an empty one; texts under LENGTH bytes lose nothing. Rows of one id with
 different texts are separate documents, in the order of a hash of their texts; rows equal in id and text are
-one document, whose result each of them gets. A null id comes first. Other columns pass through untouched in
-`row`.
+one document, whose result each of them gets. A null id comes first. An empty table gives an empty result, and a text
+of any length is cut into stretches. Other columns pass through untouched in `row`, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@ overlap is widened, up to a chunk that starts at the last sure place; if a chunk
 
 Special strings count as one token each, as the library has it.
 
-Defined cases: a null text has no bytes and no tokens. Rows are counted one by one, so repeated rows and ids do no
-harm; other columns are not read.
+Defined cases: a null or empty text has no bytes and no tokens, an empty table no rows. Rows are counted one by one, so
+repeated rows and ids do no harm and no tie can arise; other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations

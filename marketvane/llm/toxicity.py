@@ -9,8 +9,13 @@ apart: 1, 2 or 3 (GRADES). Only words whose counts in the sample tell the classe
 
 Defined cases: a null text is an empty one, without words: it gets the expected grade of no evidence. A label whose
 document is missing, or that is null, teaches nothing; without any toxic label all documents get severity 0. Words
-are runs of ASCII letters, lower-cased, and of bytes above ASCII. Rows are scored one by one. Other columns are not
-read.
+are runs of ASCII letters, lower-cased, and of bytes above ASCII. Rows are scored one by one, repeated or not; several
+labels of one id each teach. An empty table gets no scores. A text of any length is read whole, by one task. Other
+columns are not read, so their names don't matter.
+
+The given labels say toxic or not. Grades of the toxic are derived: the number of telling words they hold, cut at
+GRADES. The regression then learns to weigh those words so that these grades come out; where graded labels exist they
+should take this place.
 """
 
 from __future__ import annotations
@@ -124,7 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .orderBy(F.xxhash64("label_id"), "label_id", "toxic")
         .limit(SAMPLE)
     )
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("label_id")).select("label_id", F.col(text_col).alias("text"), "toxic")
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = given.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [words(t or b"").tobytes() for t in as_binary(batch.column("text")).to_pylist()]

@@ -10,7 +10,8 @@ serves all, and a task holds two texts at a time.
 
 Defined cases: a null text is an empty one; an empty text has no hash, a shorter one than GRAM a single hash of
 all of it. Two fingerprints without a hash are alike (1.0), one with and one without are not (0.0). Null ids come
-before all others, rows of one id in the order of their texts. Other columns are not read.
+before all others, rows of one id in the order of their texts; rows equal in both are separate documents. An empty table gives an empty
+result. A text of any length is hashed in pieces. Other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations
