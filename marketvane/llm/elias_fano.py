@@ -23,6 +23,18 @@ def _bits_before() -> np.ndarray:
 _SELECT = _bits_before()
 
 
+def _place_of(bits: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """For each word of bits, the place of its `rest`-th set bit."""
+    shift = np.zeros(len(bits), np.uint64)
+    for width in (32, 16, 8):  # drop halves before the wanted bit
+        part = (bits >> shift) & np.uint64((1 << width) - 1)
+        many = np.bitwise_count(part).astype(np.int64)
+        skip = rest >= many
+        rest = np.where(skip, rest - many, rest)
+        shift = np.where(skip, shift + np.uint64(width), shift)
+    return shift + _SELECT[((bits >> shift) & np.uint64(255)).astype(np.int64), np.minimum(rest, 7)].astype(np.uint64)
+
+
 @dataclass(frozen=True)
 class EliasFano:
     """A non-decreasing sequence: the low bits of each value packed, the high bits in unary."""
@@ -56,16 +68,7 @@ class EliasFano:
         """The values at the indexes."""
         word = np.searchsorted(self.ones, index, "right") - 1
         rest = (index - self.ones[word]).astype(np.int64)
-        bits = self.high[word]
-        shift = np.zeros(len(index), np.uint64)
-        for _ in range(7):  # drop whole bytes before the wanted bit
-            byte = np.bitwise_count((bits >> shift) & np.uint64(255)).astype(np.int64)
-            skip = rest >= byte
-            rest = np.where(skip, rest - byte, rest)
-            shift = np.where(skip, shift + np.uint64(8), shift)
-            if not skip.any():
-                break
-        at = shift + _SELECT[((bits >> shift) & np.uint64(255)).astype(np.int64), np.minimum(rest, 7)].astype(np.uint64)
+        at = _place_of(self.high[word], rest)
         high = word.astype(np.uint64) * np.uint64(64) + at - index.astype(np.uint64)
         if not self.width:
             return high
@@ -75,9 +78,26 @@ class EliasFano:
         more = (self.low[first + 1] << _ONE) << (_WORD - inner)
         return (high << np.uint64(self.width)) | ((part | more) & np.uint64((1 << self.width) - 1))
 
+    def _begin(self, part: np.ndarray) -> np.ndarray:
+        """The first index whose high part is not below the given one: where the unary code's zero before it ends."""
+        zeros = np.arange(len(self.high), dtype=np.int64) * 64 - self.ones  # unset bits before each word
+        wanted = part.astype(np.int64) - 1  # number of the zero that ends the part before
+        word = np.searchsorted(zeros, wanted, "right") - 1
+        inside = (part > 0) & (wanted < zeros[-1] + 64 - int(np.bitwise_count(self.high[-1])))
+        word = np.where(inside, word, 0)
+        rest = np.where(inside, wanted - zeros[word], 0)
+        place = word.astype(np.uint64) * np.uint64(64) + _place_of(~self.high[word], rest)
+        begin = place.astype(np.int64) - wanted
+        return np.where(part == 0, 0, np.where(inside, begin, self.size))
+
     def successor(self, value: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """In index ranges [start, end): the first index whose value is not below, and whether it is equal."""
-        lo, hi = start.copy(), end.copy()
+        """In index ranges [start, end): the first index whose value is not below, and whether it is equal.
+
+        The value's high part names a short run of indexes; only that run is searched.
+        """
+        part = value >> np.uint64(self.width)
+        lo = np.clip(self._begin(part), start, end)
+        hi = np.clip(self._begin(part + _ONE), start, end)
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):

@@ -10,42 +10,57 @@ one is its context, the right one the lower n-gram that it backs off to. Under t
 
 a text's log probability is a sum over its n-grams: log p of each word, log weight of each context, and for an n-gram in
 the trie log of p over weight(left) p(right). So each entry has one value, and a document's score is the sum of the
-values of its n-grams, which are joined to the trie by hash:
-
-1. Documents are dealt to slices of about PART_BYTES of text. A slice sends fingerprints (FINE_BITS + LOW_BITS below
-   their block's) of its distinct pairs and triples to blocks by leading bits of their hash; a block answers which
-   ones reach LEAST_COUNT among training documents, as a bitmap.
-2. The slice sends the parts and counts of those, and of all words, to blocks again. There they are counted exactly,
-   by 64-bit hash; weights and probabilities come of joins of entries.
-3. Each block of the trie is stored in the shared folder: per level the hashes as a monotone sequence in Elias-Fano
-   form, with quantised values beside them. It meets the slices' hashes and documents of the same block, and returns
-   sums by document.
-
-Texts are dealt anew for each of the three, and what a step has left on disk goes before the next one. No step holds more than a slice or a block; both are of fixed size, but for a longer single text.
+values of its n-grams.
+
+1. Documents are read once, into a stored table of slices of about PART_BYTES of text: the tokens as numbers into the
+   slice's own list of word hashes. All later steps read slices, whose rows are as many as the corpus has PART_BYTES,
+   however often a document is repeated.
+2. A slice sends fingerprints of its distinct pairs and triples to blocks by leading bits of their hash; a block answers
+   which ones reach LEAST_COUNT among training documents, as a bitmap.
+3. The slices send the parts and counts of those, and of all words, one level at a time. They are counted exactly, by
+   64-bit hash; weights and probabilities come of joins of entries.
+4. The trie is stored in the shared folder in blocks. A block holds contexts in order, for each a monotone pointer to
+   its first child, and the children in order within their context, all in Elias-Fano form, with quantised values beside
+   them. A block is named by leading bits of the context and some of the child, so a frequent context's children lie in
+   many blocks, each with a pointer range of its own.
+5. Slices ask for their n-grams: a block is memory-mapped, the context found by successor search among the contexts, and
+   the child by successor search in the context's range alone. The slice adds up the values by document.
+
+What a step has left on disk goes before the next one. No step holds more than a slice or a block; both are of fixed
+size, but for a longer single text. The messages of steps 2, 3 and 5 have a row for each slice and block that it has an
+n-gram for.
 
 A word unseen in training has the add-one probability of none. Defined cases: a null text is an empty one: one token, the
 end. The document's id is taken as text to choose the held-out ones; a null id counts as the empty string. Without
-training documents every probability is 1. Rows are scored one by one, repeated or not. Other columns are not read.
+training documents every probability is 1. Rows are scored one by one, repeated or not, and repeated rows in training
+count again. An empty table has no scores. A text of any length is a slice of its own. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import uuid
+from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from . import elias_fano
 from .common import as_binary, stored
-from .elias_fano import EliasFano, Quantised, packed, unpacked
+from .elias_fano import EliasFano, Quantised
 from .rolling import BASE, mix, span_hashes, word_bounds
 
 LEAST_COUNT = 2
 DISCOUNT = 0.75
-#: Bytes of text of a slice, and per block.
-PART_BYTES = 8 << 20
+#: Bytes of text of a slice, and tokens of the texts that one block serves.
+PART_BYTES = 16 << 20
+BLOCK_TOKENS = 3 << 20
 #: Bits of a fingerprint: of its bucket below its block, and below its bucket.
 FINE_BITS = 8
 LOW_BITS = 24
@@ -72,20 +87,6 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(BASE) + mix(right))
 
 
-def _levels(texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(key, left, right, doc) of all words (START among them), pairs and triples of some texts, each in order."""
-    doc = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    words = np.concatenate([x for t in texts for x in ((START,), t)]) if texts else np.zeros(0, np.uint64)
-    inner = doc[:-1] == doc[1:]
-    pairs = joined(words[:-1], words[1:])
-    both = inner[:-1] & inner[1:]
-    return [
-        (words, words, words, doc),
-        (pairs[inner], words[:-1][inner], words[1:][inner], doc[1:][inner]),
-        (joined(pairs[:-1], pairs[1:])[both], pairs[:-1][both], pairs[1:][both], doc[2:][both]),
-    ]
-
-
 def _firsts(values: np.ndarray) -> np.ndarray:
     """Where each run of equal values begins."""
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
@@ -101,61 +102,165 @@ def _wide(data: bytes, size: int) -> np.ndarray:
     return np.frombuffer(data, f"u{len(data) // size}" if size else "u1").astype(np.int64)
 
 
-def _in_order(rows: pa.Table) -> pa.Table:
-    """A slice's documents in an order of their own: rows of one tag are alike."""
-    return rows.sort_by("tag")
-
-
-def _texts(rows: pa.Table) -> list[np.ndarray]:
-    return [tokens(t or b"") for t in as_binary(rows.column("text").combine_chunks()).to_pylist()]
 
 
 class Blocks:
-    """How hashes are dealt: a block by the first `bits`, and within it buckets by as many as make `fine` in all."""
+    """How hashes are dealt: a block by `bits` leading bits, of an n-gram with a context by some bits of either part."""
 
-    def __init__(self, text_bytes: int):
-        self.slices = max(1, math.ceil(text_bytes / PART_BYTES))
-        self.bits = max(1, math.ceil(math.log2(max(1, text_bytes / (2 * PART_BYTES)))))
+    def __init__(self, tokens: int):
+        self.bits = max(1, math.ceil(math.log2(max(1, tokens / BLOCK_TOKENS))))
         self.fine = self.bits + FINE_BITS
         self.dropped = np.uint64(64 - self.fine - LOW_BITS)
+        #: Bits of a block's number that the child gives.
+        self.child_bits = self.bits // 2
 
-    def cuts(self, keys: np.ndarray) -> np.ndarray:
-        """Bounds of the blocks in sorted keys."""
-        first = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
-        return np.append(np.searchsorted(keys, first), len(keys))
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def own(self, keys: np.ndarray) -> np.ndarray:
-        """Keys without the bits of their block."""
-        return keys & np.uint64((1 << (64 - self.bits)) - 1)
+    def of_parts(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        context = left >> np.uint64(64 - self.bits + self.child_bits)
+        if not self.child_bits:
+            return context.astype(np.int64)
+        return ((context << np.uint64(self.child_bits)) | (right >> np.uint64(64 - self.child_bits))).astype(np.int64)
 
     def column(self, key: str) -> F.Column:
         return F.shiftrightunsigned(key, 64 - self.bits).cast("int")
 
+    def column_of_parts(self, left: str, right: str) -> F.Column:
+        context = F.shiftrightunsigned(left, 64 - self.bits + self.child_bits)
+        if not self.child_bits:
+            return context.cast("int")
+        child = F.shiftrightunsigned(right, 64 - self.child_bits)
+        return F.shiftleft(context, self.child_bits).bitwiseOR(child).cast("int")
+
+
+def _slice_row(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    """One slice of (id, held out, text): its tokens as numbers into its list of words."""
+    texts = [np.append(START, tokens(text or b"")) for _, _, text in rows]
+    words, numbers = np.unique(np.concatenate(texts), return_inverse=True)
+
+    def one(values, kind: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([uuid.uuid4().int >> 65], pa.int64()), one([r[0] for r in rows], id_type), one([r[1] for r in rows], pa.bool_()),
+            one(np.array([len(t) for t in texts], np.int32), pa.int32()), one(words.view(np.int64), pa.int64()),
+            one(numbers.astype(np.int32), pa.int32()),
+        ],
+        ["slice", "ids", "held", "sizes", "words", "tokens"],
+    )
 
-def _shown(rows: pa.Table, deal: Blocks) -> pa.Table:
-    """The fingerprints of a slice's pairs and triples by block, each with its training occurrences, 2 for more."""
-    slice_ = rows.column("slice")[0].as_py()
-    out: list[tuple] = []
-    trained = ~rows.column("held_out").to_numpy()
-    for level, (key, _, _, doc) in enumerate(_levels(_texts(rows))[1:], 2):
-        marked = np.sort(((key >> deal.dropped) << np.uint64(1)) | trained[doc])
-        prints = marked >> np.uint64(1)
-        first = _firsts(prints)
-        n = np.minimum(np.add.reduceat(marked & np.uint64(1), first), LEAST_COUNT) if len(first) else first
-        prints = prints[first]
-        bucket = (prints >> np.uint64(LOW_BITS)).astype(np.int64)
-        many = np.bincount(bucket, minlength=1 << deal.fine)
-        cuts = deal.cuts(prints << deal.dropped)
-        low = prints.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : LOW_BITS // 8]
-        width = 1 << FINE_BITS
-        for block in np.flatnonzero(np.diff(cuts)).tolist():
-            part = slice(cuts[block], cuts[block + 1])
-            out.append((slice_, block, level, _narrow(many[block * width : (block + 1) * width]), low[part].tobytes(), _narrow(n[part])))
-    columns = list(zip(*out, strict=True)) or [()] * len(_SHOWN)
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SHOWN, strict=True)], schema=_SHOWN)
-
-
-_SHOWN = pa.schema([("slice", pa.int32()), ("block", pa.int32()), ("level", pa.int32()), ("many", pa.binary()), ("low", pa.binary()), ("n", pa.binary())])
+
+def slices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The stored slices of the documents."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size, kind = [], 0, None
+        for batch in batches:
+            kind = batch.column("id").type
+            for id_, held, text in zip(batch.column("id").to_pylist(), batch.column("held").to_pylist(), as_binary(batch.column("text")), strict=True):
+                rows.append((id_, held, text.as_py()))
+                size += len(rows[-1][2] or b"")
+                if size >= PART_BYTES:
+                    yield _slice_row(rows, kind)
+                    rows, size = [], 0
+        if rows:
+            yield _slice_row(rows, kind)
+
+    frame = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
+    kind = frame.schema["id"].dataType.simpleString()
+    schema = f"slice bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, words array<bigint>, tokens array<int>"
+    return stored(frame.mapInArrow(sliced, schema), "slices", compression="zstd")
+
+
+class Slice:
+    """A row of `slices`, opened."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int = 0):
+        def values(name: str) -> np.ndarray:
+            return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
+
+        self.number = batch.column("slice")[row].as_py()
+        self.held, sizes = values("held").astype(bool), values("sizes")
+        self.words = values("words").view(np.uint64)[values("tokens")]
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+
+    def level(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(key, left, right, doc) of all words (START among them), pairs or triples, in order."""
+        words, doc = self.words, self.doc
+        if level == 1:
+            return words, words, words, doc
+        pairs, inner = joined(words[:-1], words[1:]), doc[:-1] == doc[1:]
+        if level == 2:
+            return pairs[inner], words[:-1][inner], words[1:][inner], doc[1:][inner]
+        both = inner[:-1] & inner[1:]
+        return joined(pairs[:-1], pairs[1:])[both], pairs[:-1][both], pairs[1:][both], doc[2:][both]
+
+    def chosen(self, level: int, deal: Blocks, found: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The level's distinct n-grams that may be in the trie, dealt to blocks: (left, right, block) by block and
+        left, and for every occurrence of one its (number, doc)."""
+        key, left, right, doc = self.level(level)
+        if level > 1:
+            often = self._often(key, deal, found)
+            key, left, right, doc = key[often], left[often], right[often], doc[often]
+        order = np.argsort(key, kind="stable")
+        first = _firsts(key[order])
+        own = order[first]
+        block = deal.of(key[own]) if level == 1 else deal.of_parts(left[own], right[own])
+        # by block, then left: the block's bits before what is left of the context's
+        place = np.argsort((block.astype(np.uint64) << np.uint64(64 - deal.bits)) | ((left[own] << np.uint64(deal.bits - deal.child_bits)) >> np.uint64(deal.bits)), kind="stable")
+        number = np.empty(len(own), np.int64)
+        number[place] = np.arange(len(own))
+        each = np.empty(len(key), np.int64)
+        each[order] = np.repeat(number, np.diff(np.append(first, len(key))))
+        own = own[place]
+        return left[own], right[own], block[place], np.stack([each, doc])
+
+    def _prints(self, key: np.ndarray, deal: Blocks) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(key >> deal.dropped, return_inverse=True)
+
+    def _often(self, key: np.ndarray, deal: Blocks, found: dict[int, bytes]) -> np.ndarray:
+        """Which of the n-grams have a fingerprint that the blocks found often enough."""
+        prints, which = self._prints(key, deal)
+        many = np.bincount(deal.of(prints << deal.dropped), minlength=1 << deal.bits)
+        bits = [np.unpackbits(np.frombuffer(found[b], np.uint8), count=many[b]) for b in np.flatnonzero(many).tolist()]
+        return np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)[which]
+
+
+def _cuts(block: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each block of a sorted column with its rows."""
+    first = np.append(_firsts(block), len(block))
+    for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield int(block[low]), slice(low, high)
+
+
+def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _shown(batches: Iterator[pa.RecordBatch], deal: Blocks) -> Iterator[pa.RecordBatch]:
+    """The fingerprints of each slice's pairs and triples by block, each with its training occurrences, 2 for more."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            own, out = Slice(batch, row), []
+            for level in (2, 3):
+                key, _, _, doc = own.level(level)
+                marked = np.sort(((key >> deal.dropped) << np.uint64(1)) | ~own.held[doc])
+                prints = marked >> np.uint64(1)
+                first = _firsts(prints)
+                n = np.minimum(np.add.reduceat(marked & np.uint64(1), first), LEAST_COUNT) if len(first) else first
+                prints = prints[first]
+                bucket = (prints >> np.uint64(LOW_BITS)).astype(np.int64) & ((1 << FINE_BITS) - 1)
+                low = prints.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : LOW_BITS // 8]
+                for block, part in _cuts(deal.of(prints << deal.dropped)):
+                    many = np.bincount(bucket[part], minlength=1 << FINE_BITS)
+                    out.append((own.number, block, level, _narrow(many), low[part].tobytes(), _narrow(n[part])))
+            yield from _table(out, _SHOWN.names, _SHOWN.types).to_batches() if out else ()
+
+
+_SHOWN = pa.schema([("slice", pa.int64()), ("block", pa.int32()), ("level", pa.int32()), ("many", pa.binary()), ("low", pa.binary()), ("n", pa.binary())])
 
 
 def _frequent(rows: pa.Table) -> pa.Table:
@@ -175,142 +280,177 @@ def _frequent(rows: pa.Table) -> pa.Table:
     return pa.table([*(rows.column(c) for c in names[:3]), pa.array(bits, pa.binary())], names)
 
 
-def _entries(rows: pa.Table, found: pa.Table, deal: Blocks, counting: bool) -> pa.Table:
-    """What a slice sends to the blocks of its words and frequent n-grams: their parts and training counts, or their
-    hashes with the documents, by place in the slice, and how often each has them."""
-    slice_ = rows.column("slice")[0].as_py()
-    rows = _in_order(rows)
-    answer = {(b, v): x for b, v, x in zip(*(found.column(c).to_pylist() for c in ("block", "level", "bits")), strict=True)}
-    out: list[tuple] = []
-    trained = ~rows.column("held_out").to_numpy()
-    for level, (key, left, right, doc) in enumerate(_levels(_texts(rows)), 1):
-        order = np.argsort(key, kind="stable")  # documents of a key stay in order
-        key = key[order]
-        if level > 1:
-            prints = key >> deal.dropped
-            first = _firsts(prints)
-            cuts = deal.cuts(prints[first] << deal.dropped)
-            often = [np.unpackbits(np.frombuffer(answer[b, level], np.uint8), count=cuts[b + 1] - cuts[b]) for b in np.flatnonzero(np.diff(cuts)).tolist()]
-            often = np.concatenate([np.zeros(0, np.uint8), *often]).astype(bool)
-            chosen = np.repeat(often, np.diff(np.append(first, len(prints))))
-            order, key = order[chosen], key[chosen]
-        who = doc[order]
-        first = _firsts(key)
-        if counting:
-            n = np.add.reduceat(trained[who].astype(np.int64), first) if len(first) else first
-            first, n = first[n > 0], n[n > 0]
-            cuts, key = deal.cuts(key[first]), left[order[first]]
-            columns = [right[order[first]] if level > 1 else first[:0], n]
-        else:
-            post = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (who[1:] != who[:-1])])[: len(key)])
-            times, at = np.diff(np.append(post, len(key))), np.append(np.searchsorted(post, first), len(post))
-            key, who = key[first], who[post]
-            cuts = deal.cuts(key)
-        for block in np.flatnonzero(np.diff(cuts)).tolist():
-            k = slice(cuts[block], cuts[block + 1])
-            if counting:
-                rest = columns[0][k].tobytes(), _narrow(columns[1][k])
-            else:
-                p = slice(at[cuts[block]], at[cuts[block + 1]])
-                rest = _narrow(np.diff(at[cuts[block] : cuts[block + 1] + 1])), _narrow(who[p]), _narrow(times[p])
-            out.append((slice_, block, level, key[k].tobytes(), *rest))
-    names = ["slice", "block", "level", "left", "right", "n"] if counting else ["slice", "block", "level", "key", "posts", "docs", "times"]
-    kinds = [pa.int32()] * 3 + [pa.binary()] * (len(names) - 3)
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * len(names), kinds, strict=True)], names)
-
-
-def _of_level(rows: pa.Table, level: int) -> list[dict]:
-    return rows.filter(pc.equal(rows.column("level"), level)).to_pylist()
-
-
-def _counted(rows: pa.Table) -> pa.Table:
+def _found(rows: pa.Table) -> dict[int, bytes]:
+    return dict(zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist(), strict=True))
+
+
+def _only(rows: pa.Table) -> Slice | None:
+    return Slice(rows.combine_chunks().to_batches()[0]) if rows.num_rows else None
+
+
+def _contexts(left: np.ndarray) -> tuple[bytes, bytes]:
+    """Runs of equal contexts: the contexts, and how many children each has."""
+    first = _firsts(left)
+    return left[first].tobytes(), _narrow(np.diff(np.append(first, len(left))))
+
+
+def _lefts(lefts: bytes, many: bytes) -> np.ndarray:
+    contexts = np.frombuffer(lefts, np.uint64)
+    return np.repeat(contexts, _wide(many, len(contexts)))
+
+
+def _sent(own: Slice, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
+    """The parts and training counts of a slice's n-grams that training documents hold, by block."""
+    left, right, block, (each, doc) = own.chosen(level, deal, found)
+    n = np.bincount(each, ~own.held[doc], len(left)).astype(np.int64)
+    kept = n > 0
+    left, right, block, n = left[kept], right[kept], block[kept], n[kept]
+    rows = [(b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"", _narrow(n[k])) for b, k in _cuts(block)]
+    return _table(rows, ["block", "lefts", "many", "rights", "n"], [pa.int32(), *[pa.binary()] * 4])
+
+
+def _counted(rows: pa.Table, level: int) -> pa.Table:
     """The entries of one block that are in the trie, with their training counts."""
-    names, out = ["level", "key", "left", "right", "n"], []
-    for level in (1, 2, 3):
-        parts = []
-        for row in _of_level(rows, level):
-            left = np.frombuffer(row["left"], np.uint64)
-            parts.append((left, np.frombuffer(row["right"], np.uint64) if level > 1 else left, _wide(row["n"], len(left))))
-        if not parts:
-            continue
-        left, right, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        key = joined(left, right) if level > 1 else left
-        order = np.argsort(key)
-        first = _firsts(key[order])
-        total = np.add.reduceat(n[order], first) if len(first) else first
-        first = order[first]
-        kept = total >= (LEAST_COUNT if level > 1 else 1)
-        at = first[kept]
-        out.append(pa.table([pa.array(np.full(len(at), level, np.int32)), *(pa.array(x[at].view(np.int64)) for x in (key, left, right)), pa.array(total[kept])], names))
-    kinds = [pa.int32()] + [pa.int64()] * 4
-    return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in kinds], names)
+    left, right, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for row in rows.to_pylist():
+        left.append(_lefts(row["lefts"], row["many"]))
+        right.append(np.frombuffer(row["rights"], np.uint64) if level > 1 else left[-1])
+        n.append(_wide(row["n"], len(left[-1])))
+    left, right, n = (np.concatenate(x) for x in (left, right, n))
+    key = joined(left, right) if level > 1 else left
+    order = np.argsort(key)
+    first = _firsts(key[order])
+    total = np.add.reduceat(n[order], first) if len(first) else n[:0]
+    kept = total >= (LEAST_COUNT if level > 1 else 1)
+    at = order[first][kept]
+    columns = [key, left, right][: 1 if level == 1 else 3]
+    return pa.table([*(pa.array(x[at].view(np.int64)) for x in columns), pa.array(total[kept])], [*["key", "left", "right"][: len(columns)], "n"])
 
 
 def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
-    """One block of the trie: for each level the hashes in order, and their values; for words also the counts."""
-    level, key, value, n = (rows.column(c).to_numpy() for c in ("level", "key", "value", "n"))
-    parts = {}
+    """One block of the trie.
+
+    Words: hashes in order, values and counts. Pairs and triples: contexts in order, pointers to their first child, and
+    the children in order within each context, each told by its context's number and the leading bits of its right part
+    below the block's. Values stand in the children's order.
+    """
+    level, left, right, value, n = (rows.column(c).to_numpy() for c in ("level", "left", "right", "value", "n"))
+    left, right, parts = left.view(np.uint64), right.view(np.uint64), {}
     for k in (1, 2, 3):
         of = np.flatnonzero(level == k)
-        of = of[np.argsort(key[of].view(np.uint64))]
-        parts[f"keys{k}"] = EliasFano.of(deal.own(key[of].view(np.uint64)))
-        parts[f"values{k}"] = Quantised.of(value[of], 16)
         if k == 1:
-            parts["counts"] = n[of]
-    return pa.table([pa.array([rows.column("block")[0].as_py()], pa.int32()), pa.array([packed(parts)], pa.binary())], ["block", "trie"])
-
-
-def _summed(rows: pa.Table, model: pa.Table, deal: Blocks) -> pa.Table:
-    """Of each slice's entries in one block: by document the words, the known ones, the words' log counts and the values."""
-    sums: dict[int, list[np.ndarray]] = {}
-    parts = unpacked(model.column("trie")[0].as_py()) if model.num_rows else None
-    for level in (1, 2, 3):
-        size = parts[f"keys{level}"].size if parts else 0
-        # A place after the last stands for all that is not in the trie.
-        keys = np.append(parts[f"keys{level}"].get(np.arange(size)), 0) if size else np.zeros(1, np.uint64)
-        values = np.append(parts[f"values{level}"].get(np.arange(size)), 0.0) if size else np.zeros(1)
-        counts = np.append(parts["counts"] if size and level == 1 else [], 0)
-        for row in _of_level(rows, level):
-            key = np.frombuffer(row["key"], np.uint64)
-            posts = _wide(row["posts"], len(key))
-            docs, times = (_wide(row[c], int(posts.sum())) for c in ("docs", "times"))
-            at = np.searchsorted(keys[:size], deal.own(key))
-            at = np.where(keys[at] == deal.own(key), at, size)
-            given = [values[at]]
-            if level == 1:
-                word = key != START
-                n = np.where(word, counts[np.minimum(at, len(counts) - 1)], 0)
-                given = [word, word & (at < size), np.log10(n + 1), *given]
-            found = [np.bincount(docs, np.repeat(x, posts) * times) for x in given]
-            found = [np.zeros(0)] * (4 - len(found)) + found
-            sums[row["slice"]] = [_added(a, b) for a, b in zip(sums[row["slice"]], found, strict=True)] if row["slice"] in sums else found
-    kinds = [pa.int32()] + [pa.binary()] * 4
-    columns = [list(sums), *([_narrow(x[k].astype(np.int64)) if k < 2 else x[k].tobytes() for x in sums.values()] for k in range(4))]
-    columns += [[len(x[0]) for x in sums.values()], [len(x[3]) for x in sums.values()]]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, [*kinds, pa.int32(), pa.int32()], strict=True)], _SUMS)
-
-
-_SUMS = ["slice", "words", "known", "logs", "values", "n_words", "n_values"]
-
-
-def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    if len(a) < len(b):
-        a, b = b, a
-    a = a.copy()
-    a[: len(b)] += b
-    return a
-
-
-def _scored(rows: pa.Table, sums: pa.Table) -> pa.Table:
+            of = of[np.argsort(left[of])]
+            parts |= {"words": EliasFano.of(left[of]), "values1": Quantised.of(value[of], 16), "counts": n[of]}
+            continue
+        of = of[np.lexsort((right[of], left[of]))]
+        first = _firsts(left[of])
+        contexts = left[of][first]
+        pointers = np.append(first, len(of))
+        number = np.repeat(np.arange(len(contexts)), np.diff(pointers))
+        parts |= {
+            f"contexts{k}": EliasFano.of(contexts), f"pointers{k}": EliasFano.of(pointers),
+            f"children{k}": EliasFano.of(_label(number, right[of], len(contexts), deal)), f"values{k}": Quantised.of(value[of], 16),
+        }
+    return pa.table([pa.array([rows.column("block")[0].as_py()], pa.int32()), pa.array([elias_fano.packed(parts)], pa.binary())], ["block", "trie"])
+
+
+def _label(context: np.ndarray, right: np.ndarray, contexts: int, deal: Blocks) -> np.ndarray:
+    """A child by its context's number, so that the labels rise over all contexts, and its right part's leading bits."""
+    width = np.uint64(63 - contexts.bit_length())
+    return (context.astype(np.uint64) << width) | ((right << np.uint64(deal.child_bits)) >> (np.uint64(64) - width))
+
+
+class Trie:
+    """A block of the trie in a memory-mapped file."""
+
+    def __init__(self, path: str, deal: Blocks):
+        self.parts, self.deal = elias_fano.read(path), deal
+
+    def word(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(value, count, known) of words."""
+        words = self.parts["words"]
+        at, known = words.successor(keys, np.zeros(len(keys), np.int64), np.full(len(keys), words.size))
+        value, count = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+        value[known], count[known] = self.parts["values1"].get(at[known]), self.parts["counts"][at[known]]
+        return value, count, known
+
+    def child(self, level: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, known) of n-grams: the context among the contexts, then the child in the context's range."""
+        contexts, pointers, children, values = (self.parts[f"{x}{level}"] for x in ("contexts", "pointers", "children", "values"))
+        first = _firsts(left)
+        at, known = contexts.successor(left[first], np.zeros(len(first), np.int64), np.full(len(first), contexts.size))
+        begin, end = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        begin[known], end[known] = pointers.get(at[known]).astype(np.int64), pointers.get(at[known] + 1).astype(np.int64)
+        runs = np.diff(np.append(first, len(left)))
+        asked = np.flatnonzero(np.repeat(known, runs))
+        label = _label(np.repeat(at, runs)[asked], right[asked], contexts.size, self.deal)
+        place, hit = children.successor(label, np.repeat(begin, runs)[asked], np.repeat(end, runs)[asked])
+        value, found = np.zeros(len(left)), np.zeros(len(left), bool)
+        found[asked] = hit
+        value[asked[hit]] = values.get(place[hit])
+        return value, found
+
+
+def _asked(own: Slice, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
+    left, right, block, _ = own.chosen(level, deal, found)
+    rows = [(own.number, b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"") for b, k in _cuts(block)]
+    return _table(rows, ["slice", "block", "lefts", "many", "rights"], [pa.int64(), pa.int32(), *[pa.binary()] * 3])
+
+
+def _answered(rows: pa.Table, model: pa.Table, level: int, deal: Blocks) -> pa.Table:
+    """For each slice's n-grams of one block their values in the trie, 0 where it has none; for words also their counts."""
+    names, kinds, out = ["slice", "block", "values", "counts"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()], []
+    trie = None
+    if model.num_rows and rows.num_rows:
+        handle, path = tempfile.mkstemp(prefix="trie-")
+        try:
+            with os.fdopen(handle, "wb") as file:
+                file.write(model.column("trie")[0].as_py())
+            trie = Trie(path, deal)
+        finally:
+            os.unlink(path)  # the map keeps it until the block is done
+    for row in rows.to_pylist():
+        left = _lefts(row["lefts"], row["many"])
+        value, count = np.zeros(len(left)), np.zeros(len(left), np.int64)
+        if trie is not None and level == 1:
+            value, count, _ = trie.word(left)
+        elif trie is not None:
+            value, _ = trie.child(level, left, np.frombuffer(row["rights"], np.uint64))
+        out.append((row["slice"], row["block"], value.tobytes(), _narrow(count) if level == 1 else b""))
+    return _table(out, names, kinds)
+
+
+def _added(rows: pa.Table, answers: pa.Table, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
+    """By document of a slice the sums of one level: values, and of words also their number, the known ones, log counts."""
+    own = _only(rows)
+    names, kinds = ["slice", "level", "words", "known", "logs", "value"], [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    if own is None:
+        return _table([], names, kinds)
+    left, _, _, (each, doc) = own.chosen(level, deal, found)
+    answers = answers.sort_by("block")
+    value = np.concatenate([np.zeros(0), *(np.frombuffer(v) for v in answers.column("values").to_pylist())])
+    docs = len(own.held)
+    sums = [b"", b"", b"", np.bincount(doc, value[each], docs).tobytes()]
+    if level == 1:
+        sizes = [len(v) // 8 for v in answers.column("values").to_pylist()]
+        counts = np.concatenate([np.zeros(0, np.int64), *(_wide(c, n) for c, n in zip(answers.column("counts").to_pylist(), sizes, strict=True))])
+        word = left[each] != START
+        n = np.where(word, counts[each], 0)
+        sums[:3] = [np.bincount(doc, x, docs).tobytes() for x in (word, word & (n > 0), np.log10(n + 1))]
+    return _table([(own.number, level, *sums)], names, kinds)
+
+
+def _scored(rows: pa.Table, sums: pa.Table, kind: pa.DataType) -> pa.Table:
     """One row a document of a slice."""
-    rows = _in_order(rows)
-    totals = [np.zeros(rows.num_rows) for _ in range(4)]
-    for row in sums.to_pylist():
-        parts = [_wide(row["words"], row["n_words"]), _wide(row["known"], row["n_words"]), np.frombuffer(row["logs"]), np.frombuffer(row["values"])]
-        for total, part in zip(totals, parts, strict=True):
-            total[: len(part)] += part
+    batch = rows.combine_chunks().to_batches()[0]
+    ids, held = batch.column("ids")[0].values, batch.column("held")[0].values
+    totals = [np.zeros(len(ids)) for _ in range(4)]
+    for row in sums.sort_by("level").to_pylist():
+        for k, name in enumerate(("words", "known", "logs", "value")):
+            if row[name]:
+                totals[k] += np.frombuffer(row[name])
     counts = [pa.array(np.rint(x).astype(np.int64)) for x in totals[:2]]
-    return pa.table([rows.column("id"), rows.column("held_out"), *counts, *map(pa.array, totals[2:])], ["id", "held_out", "n_tokens", "n_known", "logs", "value"])
+    return pa.table([ids.cast(kind), held, *counts, *map(pa.array, totals[2:])], ["id", "held_out", "n_tokens", "n_known", "logs", "value"])
 
 
 def _settled(frame: DataFrame, name: str) -> DataFrame:
@@ -332,12 +472,9 @@ def _dropped(frame: DataFrame) -> None:
         path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def _valued(counted: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
-    """(level, key, value, n) of all entries; the stored pairs; training tokens and words."""
-    start = int(START.view(np.int64))
-    of = {k: counted.where(F.col("level") == k).drop("level") for k in (1, 2, 3)}
-    total = of[1].where(F.col("key") != start).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
-    every = F.lit(float(total["n"] + total["words"] + 1))
+def _valued(words: DataFrame, pairs: DataFrame, triples: DataFrame, total: int, distinct: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The levels' entries as (left, right, value, n)."""
+    every = F.lit(float(total + distinct + 1))
 
     def weighed(own: DataFrame, above: DataFrame) -> DataFrame:
         """With `weight`: what the entries after a context leave to their lower n-grams."""
@@ -350,56 +487,90 @@ def _valued(counted: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
         right = below.select(F.col("key").alias("right"), F.col("p").alias("lower"))
         met = own.join(left, "left").join(right, "right")
         met = met.withColumn("p", (F.col("n") - DISCOUNT) / F.col("n_left") + F.col("left_weight") * F.col("lower"))
-        return met.select("key", "n", "left", "right", "p", F.log10(F.col("p") / (F.col("left_weight") * F.col("lower"))).alias("gain"))
+        return met.withColumn("gain", F.log10(F.col("p") / (F.col("left_weight") * F.col("lower")))).drop("n_left", "left_weight", "lower")
 
-    words = weighed(of[1].withColumn("p", (F.col("n") + 1) / every), of[2])
-    pairs = _settled(weighed(interpolated(of[2], words), of[3]).select("key", "n", "p", "weight", "gain"), "pairs")
-    triples = interpolated(of[3], pairs)
-    value = [F.log10("weight"), F.col("gain") + F.log10("weight"), F.col("gain")]
-    levels = [x.select(F.lit(k).alias("level"), "key", v.alias("value"), "n") for k, (x, v) in enumerate(zip((words, pairs, triples), value, strict=True), 1)]
-    return levels[0].unionByName(levels[1]).unionByName(levels[2]), pairs, total["n"], total["words"]
+    first = _settled(weighed(words.withColumn("p", (F.col("n") + 1) / every), pairs), "words")
+    second = _settled(weighed(interpolated(pairs, first), triples), "pairs")
+    _dropped(pairs)
+    third = _settled(interpolated(triples.drop("key"), second).select("left", "right", F.col("gain").alias("value"), "n"), "triples")
+    _dropped(triples)
+    return (
+        first.select(F.col("key").alias("left"), F.col("key").alias("right"), F.log10("weight").alias("value"), "n"),
+        second.select("left", "right", (F.col("gain") + F.log10("weight")).alias("value"), "n"),
+        third,
+    )
 
 
 def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learns from the documents that are not held out and scores all. One row a document: id, held_out, n_tokens,
     n_known, train_tokens, base_score (add-one word frequencies) and score (the model's log10 probability of the text)."""
-    frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    deal = Blocks(frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    kind = frame.schema["id"].dataType
-    id_name = kind.simpleString()
-    tag = F.xxhash64("id", "text")
-    number = F.pmod(tag, F.lit(deal.slices)).cast("int").alias("slice")
-    named = frame.select(number, tag.alias("tag"), "id", held_out(F.col("id")).alias("held_out"), "text")
-    texts = named.select("slice", "tag", "held_out", "text")
-    shown = texts.groupBy("slice").applyInArrow(lambda rows: _shown(rows, deal), "slice int, block int, level int, many binary, low binary, n binary")
-    found = _settled(shown.groupBy("block", "level").applyInArrow(_frequent, "slice int, block int, level int, bits binary"), "frequent")
-
-    def sent(counting: bool, schema: str) -> DataFrame:
-        met = texts.groupBy("slice").cogroup(found.groupBy("slice"))
-        return met.applyInArrow(lambda rows, bits: _entries(rows, bits, deal, counting), f"slice int, block int, level int, {schema}")
-
-    parts = sent(True, "left binary, right binary, n binary").select("block", "level", "left", "right", "n")
-    counted = _settled(parts.groupBy("block").applyInArrow(_counted, "level int, key bigint, left bigint, right bigint, n bigint"), "counted")
-    values, pairs, n, n_words = _valued(counted)
-    placed = values.withColumn("block", deal.column("key"))
-    model = _settled(placed.groupBy("block").applyInArrow(lambda rows: _block(rows, deal), "block int, trie binary"), "trie")
-    _dropped(counted)
-    _dropped(pairs)
-    asked = sent(False, "key binary, posts binary, docs binary, times binary")
-    sums = asked.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
-        lambda rows, trie: _summed(rows, trie, deal),
-        "slice int, words binary, known binary, logs binary, values binary, n_words int, n_values int",
-    )
-    scored = named.select("slice", "tag", "id", "held_out").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
-        _scored, f"id {id_name}, held_out boolean, n_tokens bigint, n_known bigint, logs double, value double"
-    )
-    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(n + n_words + 1))
+    all_ = slices(docs, id_col, text_col)
+    sizes = all_.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
+    deal = Blocks(sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    of_words = all_.drop("ids")
+    kind = docs.schema[id_col].dataType
+    shown = of_words.mapInArrow(partial(_shown, deal=deal), "slice bigint, block int, level int, many binary, low binary, n binary")
+    found = _settled(shown.groupBy("block", "level").applyInArrow(_frequent, "slice bigint, block int, level int, bits binary"), "frequent")
+
+    def with_found(level: int, function, schema: str) -> DataFrame:
+        """`function` of every slice, what was found of its level, the level and the deal."""
+        if level == 1:
+
+            def run(batches):
+                for batch in batches:
+                    for row in range(batch.num_rows):
+                        yield from function(Slice(batch, row), {}, level, deal).to_batches()
+
+            return of_words.mapInArrow(run, schema)
+        met = of_words.groupBy("slice").cogroup(found.where(F.col("level") == level).groupBy("slice"))
+        return met.applyInArrow(lambda rows, bits: function(_only(rows), _found(bits), level, deal), schema)
+
+    def counted(level: int) -> DataFrame:
+        sent = with_found(level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
+        names = "key bigint, n bigint" if level == 1 else "key bigint, left bigint, right bigint, n bigint"
+        return _settled(sent.groupBy("block").applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
+
+    words = counted(1)
+    start = int(START.view(np.int64))
+    total = words.where(F.col("key") != start).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
+    levels = _valued(words, counted(2), counted(3), total["n"], total["words"])
+    placed = [
+        x.select(F.lit(k).alias("level"), "left", "right", "value", "n", (deal.column("left") if k == 1 else deal.column_of_parts("left", "right")).alias("block"))
+        for k, x in enumerate(levels, 1)
+    ]
+    entries = placed[0].unionByName(placed[1]).unionByName(placed[2])
+    model = _settled(entries.groupBy("block").applyInArrow(lambda rows: _block(rows, deal), "block int, trie binary"), "trie")
+    for table in (words, *levels):
+        _dropped(table)
+
+    def summed(level: int) -> DataFrame:
+        asked = with_found(level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
+        answers = asked.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
+            lambda rows, trie: _answered(rows, trie, level, deal), "slice bigint, block int, values binary, counts binary"
+        )
+        bits = found.where(F.col("level") == level).groupBy("slice").agg(F.collect_list(F.struct("block", "bits")).alias("found"))
+        known = of_words.join(bits, "slice", "left")
+
+        def added(rows: pa.Table, given: pa.Table) -> pa.Table:
+            pairs = rows.column("found")[0].as_py() if rows.num_rows else None
+            return _added(rows.drop_columns("found"), given, {x["block"]: x["bits"] for x in pairs or ()}, level, deal)
+
+        out = "slice bigint, level int, words binary, known binary, logs binary, value binary"
+        return _settled(known.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(added, out), f"sums-{level}")
+
+    sums = summed(1).unionByName(summed(2)).unionByName(summed(3))
+    id_type = to_arrow_type(kind)
+    scored = all_.select("slice", "ids", "held").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
+        lambda rows, parts: _scored(rows, parts, id_type),
+        f"id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, logs double, value double",
+    )
+    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total["n"] + total["words"] + 1))
     return scored.select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(n).cast("bigint").alias("train_tokens"),
+        F.lit(total["n"]).cast("bigint").alias("train_tokens"),
         F.round(base, 9).alias("base_score"),
         F.round(base + F.col("value"), 9).alias("score"),
     )
