@@ -59,7 +59,7 @@ from .rolling import BASE, mix, span_hashes, word_bounds
 LEAST_COUNT = 2
 DISCOUNT = 0.75
 #: Bytes of text of a slice, and tokens of the texts that one block serves.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 BLOCK_TOKENS = 3 << 20
 #: Bits of a fingerprint: of its bucket below its block, and below its bucket.
 FINE_BITS = 8
@@ -145,8 +145,8 @@ def _slice_row(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([uuid.uuid4().int >> 65], pa.int64()), one([r[0] for r in rows], id_type), one([r[1] for r in rows], pa.bool_()),
-            one(np.array([len(t) for t in texts], np.int32), pa.int32()), one(words.view(np.int64), pa.int64()),
-            one(numbers.astype(np.int32), pa.int32()),
+            one(np.array([len(t) for t in texts], np.int32), pa.int32()), pa.array([words.tobytes()], pa.binary()),
+            pa.array([numbers.astype(np.int32).tobytes()], pa.binary()),
         ],
         ["slice", "ids", "held", "sizes", "words", "tokens"],
     )
@@ -170,7 +170,7 @@ def slices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     frame = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).alias("text"))
     kind = frame.schema["id"].dataType.simpleString()
-    schema = f"slice bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, words array<bigint>, tokens array<int>"
+    schema = f"slice bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, words binary, tokens binary"
     return stored(frame.mapInArrow(sliced, schema), "slices", compression="zstd")
 
 
@@ -183,8 +183,14 @@ class Slice:
 
         self.number = batch.column("slice")[row].as_py()
         self.held, sizes = values("held").astype(bool), values("sizes")
-        self.words = values("words").view(np.uint64)[values("tokens")]
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        #: Distinct words in order, and the text as their numbers.
+        self.distinct = np.frombuffer(batch.column("words")[row].as_buffer(), np.uint64)
+        self.tokens = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int32)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    @property
+    def words(self) -> np.ndarray:
+        return self.distinct[self.tokens]
 
     def level(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(key, left, right, doc) of all words (START among them), pairs or triples, in order."""
@@ -200,32 +206,33 @@ class Slice:
     def chosen(self, level: int, deal: Blocks, found: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The level's distinct n-grams that may be in the trie, dealt to blocks: (left, right, block) by block and
         left, and for every occurrence of one its (number, doc)."""
+        if level == 1:
+            return self.distinct, self.distinct, deal.of(self.distinct), np.stack([self.tokens, self.doc])
         key, left, right, doc = self.level(level)
-        if level > 1:
-            often = self._often(key, deal, found)
-            key, left, right, doc = key[often], left[often], right[often], doc[often]
-        order = np.argsort(key, kind="stable")
-        first = _firsts(key[order])
+        order = np.argsort(key)
+        key = key[order]
+        often = self._often(key, deal, found)
+        order, key = order[often], key[often]
+        first = _firsts(key)
         own = order[first]
-        block = deal.of(key[own]) if level == 1 else deal.of_parts(left[own], right[own])
-        # by block, then left: the block's bits before what is left of the context's
-        place = np.argsort((block.astype(np.uint64) << np.uint64(64 - deal.bits)) | ((left[own] << np.uint64(deal.bits - deal.child_bits)) >> np.uint64(deal.bits)), kind="stable")
-        number = np.empty(len(own), np.int64)
-        number[place] = np.arange(len(own))
-        each = np.empty(len(key), np.int64)
-        each[order] = np.repeat(number, np.diff(np.append(first, len(key))))
-        own = own[place]
-        return left[own], right[own], block[place], np.stack([each, doc])
-
-    def _prints(self, key: np.ndarray, deal: Blocks) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(key >> deal.dropped, return_inverse=True)
-
-    def _often(self, key: np.ndarray, deal: Blocks, found: dict[int, bytes]) -> np.ndarray:
-        """Which of the n-grams have a fingerprint that the blocks found often enough."""
-        prints, which = self._prints(key, deal)
-        many = np.bincount(deal.of(prints << deal.dropped), minlength=1 << deal.bits)
+        left, right, doc = left[own], right[own], doc[order]
+        block = deal.of_parts(left, right)
+        # By block, then left: the block's bits before what is left of the context's. Stable, so a slice has one order.
+        rest = (left << np.uint64(deal.bits - deal.child_bits)) >> np.uint64(deal.bits)
+        place = np.argsort((block.astype(np.uint64) << np.uint64(64 - deal.bits)) | rest, kind="stable")
+        number = np.empty(len(own), np.int32)
+        number[place] = np.arange(len(own), dtype=np.int32)
+        each = np.repeat(number, np.diff(np.append(first, len(key))))
+        return left[place], right[place], block[place], np.stack([each, doc])
+
+    @staticmethod
+    def _often(key: np.ndarray, deal: Blocks, found: dict[int, bytes]) -> np.ndarray:
+        """Which of the sorted n-grams have a fingerprint that the blocks found often enough."""
+        prints = key >> deal.dropped
+        first = _firsts(prints)
+        many = np.bincount(deal.of(key[first]), minlength=1 << deal.bits)
         bits = [np.unpackbits(np.frombuffer(found[b], np.uint8), count=many[b]) for b in np.flatnonzero(many).tolist()]
-        return np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)[which]
+        return np.repeat(np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool), np.diff(np.append(first, len(prints))))
 
 
 def _cuts(block: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -479,13 +486,13 @@ def _valued(words: DataFrame, pairs: DataFrame, triples: DataFrame, total: int,
     def weighed(own: DataFrame, above: DataFrame) -> DataFrame:
         """With `weight`: what the entries after a context leave to their lower n-grams."""
         mass = above.groupBy(F.col("left").alias("key")).agg((F.sum("n") - DISCOUNT * F.count("*")).alias("mass"))
-        return own.join(mass, "key", "left").withColumn("weight", 1 - F.coalesce("mass", F.lit(0.0)) / F.col("n")).drop("mass")
+        return own.join(mass.hint("shuffle_hash"), "key", "left").withColumn("weight", 1 - F.coalesce("mass", F.lit(0.0)) / F.col("n")).drop("mass")
 
     def interpolated(own: DataFrame, below: DataFrame) -> DataFrame:
         """With `p`, and `gain`: its log over what the lower n-gram would have given."""
         left = below.select(F.col("key").alias("left"), F.col("n").alias("n_left"), F.col("weight").alias("left_weight"))
         right = below.select(F.col("key").alias("right"), F.col("p").alias("lower"))
-        met = own.join(left, "left").join(right, "right")
+        met = own.join(left.hint("shuffle_hash"), "left").join(right.hint("shuffle_hash"), "right")
         met = met.withColumn("p", (F.col("n") - DISCOUNT) / F.col("n_left") + F.col("left_weight") * F.col("lower"))
         return met.withColumn("gain", F.log10(F.col("p") / (F.col("left_weight") * F.col("lower")))).drop("n_left", "left_weight", "lower")
 
