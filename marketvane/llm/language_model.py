@@ -137,7 +137,11 @@ class Blocks:
 def _slice_row(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     """One slice of (id, held out, text): its tokens as numbers into its list of words."""
     texts = [np.append(START, tokens(text or b"")) for _, _, text in rows]
-    words, numbers = np.unique(np.concatenate(texts), return_inverse=True)
+    words, numbers, times = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")  # frequent words get low numbers, which take less room
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    words, numbers = words[order], place[numbers]
 
     def one(values, kind: pa.DataType) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
@@ -183,7 +187,7 @@ class Slice:
 
         self.number = batch.column("slice")[row].as_py()
         self.held, sizes = values("held").astype(bool), values("sizes")
-        #: Distinct words in order, and the text as their numbers.
+        #: Distinct words, and the text as their numbers.
         self.distinct = np.frombuffer(batch.column("words")[row].as_buffer(), np.uint64)
         self.tokens = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int32)
         self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
@@ -207,7 +211,11 @@ class Slice:
         """The level's distinct n-grams that may be in the trie, dealt to blocks: (left, right, block) by block and
         left, and for every occurrence of one its (number, doc)."""
         if level == 1:
-            return self.distinct, self.distinct, deal.of(self.distinct), np.stack([self.tokens, self.doc])
+            order = np.argsort(self.distinct)
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
+            words = self.distinct[order]
+            return words, words, deal.of(words), np.stack([number[self.tokens], self.doc])
         key, left, right, doc = self.level(level)
         order = np.argsort(key)
         key = key[order]
@@ -330,8 +338,8 @@ def _counted(rows: pa.Table, level: int) -> pa.Table:
     total = np.add.reduceat(n[order], first) if len(first) else n[:0]
     kept = total >= (LEAST_COUNT if level > 1 else 1)
     at = order[first][kept]
-    columns = [key, left, right][: 1 if level == 1 else 3]
-    return pa.table([*(pa.array(x[at].view(np.int64)) for x in columns), pa.array(total[kept])], [*["key", "left", "right"][: len(columns)], "n"])
+    columns = {1: {"key": key}, 2: {"key": key, "left": left, "right": right}, 3: {"left": left, "right": right}}[level]
+    return pa.table({name: pa.array(x[at].view(np.int64)) for name, x in columns.items()} | {"n": pa.array(total[kept])})
 
 
 def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
@@ -497,9 +505,11 @@ def _valued(words: DataFrame, pairs: DataFrame, triples: DataFrame, total: int,
         return met.withColumn("gain", F.log10(F.col("p") / (F.col("left_weight") * F.col("lower")))).drop("n_left", "left_weight", "lower")
 
     first = _settled(weighed(words.withColumn("p", (F.col("n") + 1) / every), pairs), "words")
-    second = _settled(weighed(interpolated(pairs, first), triples), "pairs")
+    gained = _settled(interpolated(pairs, first), "gains")
     _dropped(pairs)
-    third = _settled(interpolated(triples.drop("key"), second).select("left", "right", F.col("gain").alias("value"), "n"), "triples")
+    second = _settled(weighed(gained, triples), "pairs")
+    _dropped(gained)
+    third = _settled(interpolated(triples, second).select("left", "right", F.col("gain").alias("value"), "n"), "triples")
     _dropped(triples)
     return (
         first.select(F.col("key").alias("left"), F.col("key").alias("right"), F.log10("weight").alias("value"), "n"),
@@ -534,7 +544,7 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def counted(level: int) -> DataFrame:
         sent = with_found(level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
-        names = "key bigint, n bigint" if level == 1 else "key bigint, left bigint, right bigint, n bigint"
+        names = {1: "key bigint, n bigint", 2: "key bigint, left bigint, right bigint, n bigint", 3: "left bigint, right bigint, n bigint"}[level]
         return _settled(sent.groupBy("block").applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
 
     words = counted(1)
