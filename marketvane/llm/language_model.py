@@ -42,7 +42,7 @@ import math
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -191,6 +191,10 @@ class Slice:
         self.distinct = np.frombuffer(batch.column("words")[row].as_buffer(), np.uint64)
         self.tokens = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int32)
         self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        #: By level and block the bitmaps of the fingerprints found often enough.
+        self.found: dict[tuple[int, int], bytes] = {}
+        if "found" in batch.schema.names:
+            self.found = {(x["level"], x["block"]): x["bits"] for x in batch.column("found")[row].as_py() or ()}
 
     @property
     def words(self) -> np.ndarray:
@@ -207,7 +211,7 @@ class Slice:
         both = inner[:-1] & inner[1:]
         return joined(pairs[:-1], pairs[1:])[both], pairs[:-1][both], pairs[1:][both], doc[2:][both]
 
-    def chosen(self, level: int, deal: Blocks, found: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def chosen(self, level: int, deal: Blocks) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The level's distinct n-grams that may be in the trie, dealt to blocks: (left, right, block) by block and
         left, and for every occurrence of one its (number, doc)."""
         if level == 1:
@@ -219,7 +223,7 @@ class Slice:
         key, left, right, doc = self.level(level)
         order = np.argsort(key)
         key = key[order]
-        often = self._often(key, deal, found)
+        often = self._often(key, level, deal)
         order, key = order[often], key[often]
         first = _firsts(key)
         own = order[first]
@@ -233,13 +237,12 @@ class Slice:
         each = np.repeat(number, np.diff(np.append(first, len(key))))
         return left[place], right[place], block[place], np.stack([each, doc])
 
-    @staticmethod
-    def _often(key: np.ndarray, deal: Blocks, found: dict[int, bytes]) -> np.ndarray:
+    def _often(self, key: np.ndarray, level: int, deal: Blocks) -> np.ndarray:
         """Which of the sorted n-grams have a fingerprint that the blocks found often enough."""
         prints = key >> deal.dropped
         first = _firsts(prints)
         many = np.bincount(deal.of(key[first]), minlength=1 << deal.bits)
-        bits = [np.unpackbits(np.frombuffer(found[b], np.uint8), count=many[b]) for b in np.flatnonzero(many).tolist()]
+        bits = [np.unpackbits(np.frombuffer(self.found[level, b], np.uint8), count=many[b]) for b in np.flatnonzero(many).tolist()]
         return np.repeat(np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool), np.diff(np.append(first, len(prints))))
 
 
@@ -295,14 +298,6 @@ def _frequent(rows: pa.Table) -> pa.Table:
     return pa.table([*(rows.column(c) for c in names[:3]), pa.array(bits, pa.binary())], names)
 
 
-def _found(rows: pa.Table) -> dict[int, bytes]:
-    return dict(zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist(), strict=True))
-
-
-def _only(rows: pa.Table) -> Slice | None:
-    return Slice(rows.combine_chunks().to_batches()[0]) if rows.num_rows else None
-
-
 def _contexts(left: np.ndarray) -> tuple[bytes, bytes]:
     """Runs of equal contexts: the contexts, and how many children each has."""
     first = _firsts(left)
@@ -314,9 +309,9 @@ def _lefts(lefts: bytes, many: bytes) -> np.ndarray:
     return np.repeat(contexts, _wide(many, len(contexts)))
 
 
-def _sent(own: Slice, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
+def _sent(own: Slice, level: int, deal: Blocks) -> pa.Table:
     """The parts and training counts of a slice's n-grams that training documents hold, by block."""
-    left, right, block, (each, doc) = own.chosen(level, deal, found)
+    left, right, block, (each, doc) = own.chosen(level, deal)
     n = np.bincount(each, ~own.held[doc], len(left)).astype(np.int64)
     kept = n > 0
     left, right, block, n = left[kept], right[kept], block[kept], n[kept]
@@ -406,8 +401,8 @@ class Trie:
         return value, found
 
 
-def _asked(own: Slice, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
-    left, right, block, _ = own.chosen(level, deal, found)
+def _asked(own: Slice, level: int, deal: Blocks) -> pa.Table:
+    left, right, block, _ = own.chosen(level, deal)
     rows = [(own.number, b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"") for b, k in _cuts(block)]
     return _table(rows, ["slice", "block", "lefts", "many", "rights"], [pa.int64(), pa.int32(), *[pa.binary()] * 3])
 
@@ -435,13 +430,11 @@ def _answered(rows: pa.Table, model: pa.Table, level: int, deal: Blocks) -> pa.T
     return _table(out, names, kinds)
 
 
-def _added(rows: pa.Table, answers: pa.Table, found: dict[int, bytes], level: int, deal: Blocks) -> pa.Table:
+def _added(rows: pa.Table, answers: pa.Table, level: int, deal: Blocks) -> pa.Table:
     """By document of a slice the sums of one level: values, and of words also their number, the known ones, log counts."""
-    own = _only(rows)
     names, kinds = ["slice", "level", "words", "known", "logs", "value"], [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    if own is None:
-        return _table([], names, kinds)
-    left, _, _, (each, doc) = own.chosen(level, deal, found)
+    own = Slice(rows.combine_chunks().to_batches()[0])
+    left, _, _, (each, doc) = own.chosen(level, deal)
     answers = answers.sort_by("block")
     value = np.concatenate([np.zeros(0), *(np.frombuffer(v) for v in answers.column("values").to_pylist())])
     docs = len(own.held)
@@ -524,26 +517,25 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_ = slices(docs, id_col, text_col)
     sizes = all_.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n"))
     deal = Blocks(sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    of_words = all_.drop("ids")
     kind = docs.schema[id_col].dataType
-    shown = of_words.mapInArrow(partial(_shown, deal=deal), "slice bigint, block int, level int, many binary, low binary, n binary")
+    shown = all_.drop("ids").mapInArrow(partial(_shown, deal=deal), "slice bigint, block int, level int, many binary, low binary, n binary")
     found = _settled(shown.groupBy("block", "level").applyInArrow(_frequent, "slice bigint, block int, level int, bits binary"), "frequent")
+    bits = found.groupBy("slice").agg(F.collect_list(F.struct("level", "block", "bits")).alias("found"))
+    known = _settled(all_.join(bits.hint("shuffle_hash"), "slice", "left"), "known")
+    for table in (all_, found):
+        _dropped(table)
+    of_words = known.drop("ids")
 
-    def with_found(level: int, function, schema: str) -> DataFrame:
-        """`function` of every slice, what was found of its level, the level and the deal."""
-        if level == 1:
-
-            def run(batches):
-                for batch in batches:
-                    for row in range(batch.num_rows):
-                        yield from function(Slice(batch, row), {}, level, deal).to_batches()
+    def each_slice(level: int, function: Callable[[Slice, int, Blocks], pa.Table], schema: str) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    yield from function(Slice(batch, row), level, deal).to_batches()
 
-            return of_words.mapInArrow(run, schema)
-        met = of_words.groupBy("slice").cogroup(found.where(F.col("level") == level).groupBy("slice"))
-        return met.applyInArrow(lambda rows, bits: function(_only(rows), _found(bits), level, deal), schema)
+        return of_words.mapInArrow(run, schema)
 
     def counted(level: int) -> DataFrame:
-        sent = with_found(level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
+        sent = each_slice(level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
         names = {1: "key bigint, n bigint", 2: "key bigint, left bigint, right bigint, n bigint", 3: "left bigint, right bigint, n bigint"}[level]
         return _settled(sent.groupBy("block").applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
 
@@ -561,23 +553,17 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _dropped(table)
 
     def summed(level: int) -> DataFrame:
-        asked = with_found(level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
+        asked = each_slice(level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
         answers = asked.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
             lambda rows, trie: _answered(rows, trie, level, deal), "slice bigint, block int, values binary, counts binary"
         )
-        bits = found.where(F.col("level") == level).groupBy("slice").agg(F.collect_list(F.struct("block", "bits")).alias("found"))
-        known = of_words.join(bits, "slice", "left")
-
-        def added(rows: pa.Table, given: pa.Table) -> pa.Table:
-            pairs = rows.column("found")[0].as_py() if rows.num_rows else None
-            return _added(rows.drop_columns("found"), given, {x["block"]: x["bits"] for x in pairs or ()}, level, deal)
-
+        met = of_words.groupBy("slice").cogroup(answers.groupBy("slice"))
         out = "slice bigint, level int, words binary, known binary, logs binary, value binary"
-        return _settled(known.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(added, out), f"sums-{level}")
+        return _settled(met.applyInArrow(lambda rows, given: _added(rows, given, level, deal), out), f"sums-{level}")
 
     sums = summed(1).unionByName(summed(2)).unionByName(summed(3))
     id_type = to_arrow_type(kind)
-    scored = all_.select("slice", "ids", "held").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
+    scored = known.select("slice", "ids", "held").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
         lambda rows, parts: _scored(rows, parts, id_type),
         f"id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, logs double, value double",
     )
