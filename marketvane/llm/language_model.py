@@ -23,7 +23,7 @@ values of its n-grams.
    its first child, and the children in order within their context, all in Elias-Fano form, with quantised values beside
    them. A block is named by leading bits of the context and some of the child, so a frequent context's children lie in
    many blocks, each with a pointer range of its own.
-5. Slices ask for their n-grams: a block is memory-mapped, the context found by successor search among the contexts, and
+5. Slices ask for their n-grams, in TURNS: a block is memory-mapped, the context found by successor search among the contexts, and
    the child by successor search in the context's range alone. The slice adds up the values by document.
 
 What a step has left on disk goes before the next one. No step holds more than a slice or a block; both are of fixed
@@ -43,7 +43,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +61,8 @@ DISCOUNT = 0.75
 #: Bytes of text of a slice, and tokens of the texts that one block serves.
 PART_BYTES = 8 << 20
 BLOCK_TOKENS = 3 << 20
+#: Slices ask the trie in so many turns, of which one at a time has its messages on disk.
+TURNS = 3
 #: Bits of a fingerprint: of its bucket below its block, and below its bucket.
 FINE_BITS = 8
 LOW_BITS = 24
@@ -526,7 +528,7 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _dropped(table)
     of_words = known.drop("ids")
 
-    def each_slice(level: int, function: Callable[[Slice, int, Blocks], pa.Table], schema: str) -> DataFrame:
+    def each_slice(of_words: DataFrame, level: int, function: Callable[[Slice, int, Blocks], pa.Table], schema: str) -> DataFrame:
         def run(batches):
             for batch in batches:
                 for row in range(batch.num_rows):
@@ -535,7 +537,7 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return of_words.mapInArrow(run, schema)
 
     def counted(level: int) -> DataFrame:
-        sent = each_slice(level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
+        sent = each_slice(of_words, level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
         names = {1: "key bigint, n bigint", 2: "key bigint, left bigint, right bigint, n bigint", 3: "left bigint, right bigint, n bigint"}[level]
         return _settled(sent.groupBy("block").applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
 
@@ -552,16 +554,17 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for table in (words, *levels):
         _dropped(table)
 
-    def summed(level: int) -> DataFrame:
-        asked = each_slice(level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
+    def summed(level: int, turn: int) -> DataFrame:
+        mine = of_words.where(F.pmod("slice", F.lit(TURNS)) == turn)
+        asked = each_slice(mine, level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
         answers = asked.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
             lambda rows, trie: _answered(rows, trie, level, deal), "slice bigint, block int, values binary, counts binary"
         )
-        met = of_words.groupBy("slice").cogroup(answers.groupBy("slice"))
+        met = mine.groupBy("slice").cogroup(answers.groupBy("slice"))
         out = "slice bigint, level int, words binary, known binary, logs binary, value binary"
         return _settled(met.applyInArrow(lambda rows, given: _added(rows, given, level, deal), out), f"sums-{level}")
 
-    sums = summed(1).unionByName(summed(2)).unionByName(summed(3))
+    sums = reduce(DataFrame.unionByName, [summed(level, turn) for level in (1, 2, 3) for turn in range(TURNS)])
     id_type = to_arrow_type(kind)
     scored = known.select("slice", "ids", "held").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
         lambda rows, parts: _scored(rows, parts, id_type),
