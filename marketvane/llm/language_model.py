@@ -59,7 +59,7 @@ from .rolling import BASE, mix, span_hashes, word_bounds
 LEAST_COUNT = 2
 DISCOUNT = 0.75
 #: Bytes of text of a slice, and tokens of the texts that one block serves.
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 BLOCK_TOKENS = 3 << 20
 #: Slices ask the trie in so many turns, of which one at a time has its messages on disk.
 TURNS = 3
