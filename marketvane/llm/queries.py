@@ -153,23 +153,8 @@ QUERIES = {
     "op13_spelling": op13_spelling,
 }
 
-ORACLES = {
-    "op4_sharding": """
-with docs as (
-  select doc_id, cast(coalesce(strlen(text), 0) as bigint) as n_bytes,
-    lpad(bin(cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15)) as ubigint)), 60, '0') as bits
-  from documents
-), sums as (
-  select d as depth, substr(bits, 1, d) as shard, cast(sum(n_bytes) as bigint) as shard_bytes, count(*) as shard_docs
-  from docs, (select unnest(range(0, 41)) as d) group by all
-), fits as (
-  select * from sums where shard_bytes <= 1048576 or shard_docs = 1
-)
-select doc_id, n_bytes, f.shard, cast(f.depth as bigint) as depth, f.shard_bytes, f.shard_docs
-from docs join fits f on substr(bits, 1, f.depth) = f.shard
-qualify row_number() over (partition by doc_id order by f.depth) = 1
-""",
-    "op9_quality_rules": r"""
+#: The ledger in SQL.
+LEDGER_SQL = r"""
 with texts as (
   select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
   from documents
@@ -198,9 +183,35 @@ with texts as (
     as failed
   from measured
 )
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 as base_failed,
+"""
+
+ORACLES = {
+    "op4_sharding": """
+with docs as (
+  select doc_id, cast(coalesce(strlen(text), 0) as bigint) as n_bytes,
+    lpad(bin(cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15)) as ubigint)), 60, '0') as bits
+  from documents
+), sums as (
+  select d as depth, substr(bits, 1, d) as shard, cast(sum(n_bytes) as bigint) as shard_bytes, count(*) as shard_docs
+  from docs, (select unnest(range(0, 41)) as d) group by all
+), fits as (
+  select * from sums where shard_bytes <= 1048576 or shard_docs = 1
+)
+select doc_id, n_bytes, f.shard, cast(f.depth as bigint) as depth, f.shard_bytes, f.shard_docs
+from docs join fits f on substr(bits, 1, f.depth) = f.shard
+qualify row_number() over (partition by doc_id order by f.depth) = 1
+""",
+    "op9_quality_rules": LEDGER_SQL + """select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 as base_failed,
   failed = 0 as kept, cast(failed as bigint) as failed_rules
 from ledger
+""",
+    "op9_rule_ablation": LEDGER_SQL + """
+select rule, cast(sum(case when failed & mask <> 0 then 1 else 0 end) as bigint) as n_failed,
+  cast(sum(case when failed = mask then 1 else 0 end) as bigint) as n_only,
+  cast(sum(case when failed & ~mask = 0 then 1 else 0 end) as bigint) as n_kept_without
+from ledger, (values ('few_words', 1), ('repeated_windows', 2), ('many_symbols', 4), ('repeated_lines', 8), ('short_words', 16),
+  ('long_words', 32)) r(rule, mask)
+group by rule
 """,    "op11_fill_in_middle": r"""
 with texts as (
   select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
