@@ -55,3 +55,8 @@ def quartile(values: Column, which: int) -> Column:
     low = F.element_at(values, whole + 1)
     high = F.element_at(values, F.least(whole + 2, last + 1))
     return low + (high - low) * part
+
+
+def pick(values, index: Column) -> Column:
+    """The value at a place, from 0."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))

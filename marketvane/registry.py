@@ -89,11 +89,7 @@ MIN_VOTES = 2
 MULTI_TYPE_COUNT = 3
 PERSISTENCE_DAYS = 3
 LOOKBACK_DAYS = 30
-# ----------------------------------------------------------------------------
-
-METRIC_NAMES = tuple(m.name for m in METRICS)
-COHORT_KEYS = ("tenure_cohort", "primary_category", "seller_segment")
-
+# Columns of a flag, in order.
 FLAG_COLUMNS = (
     "seller_id",
     "flag_date",
@@ -109,6 +105,10 @@ FLAG_COLUMNS = (
     "reason_code",
     "explanation",
 )
+# ----------------------------------------------------------------------------
+
+METRIC_NAMES = tuple(m.name for m in METRICS)
+COHORT_KEYS = ("tenure_cohort", "primary_category", "seller_segment")
 
 
 def metric_attribute(ordinal: Column, values) -> Column:

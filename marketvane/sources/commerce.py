@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import pick
 from ..operators.calendar import calendar
 from ..operators.spine import order_bounds
 from ..workspace import Workspace
@@ -22,10 +23,6 @@ def _day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line with its order's date, under engine days and decimal money."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
@@ -123,8 +120,8 @@ def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.when(key % 2 == 0, "New").otherwise("Veteran").alias("tenure_cohort"),
             F.when(c("s_acctbal") >= 5000, "Power").otherwise("Micro").alias("seller_segment"),
             F.concat(F.lit("Category_"), c("n_regionkey") % 2).alias("primary_category"),
-            _pick(("Individual", "LLC", "Corporation"), key % 3).alias("business_type"),
-            _pick(("Marketplace-Fulfilled", "Self-Ship"), key % 2).alias("fulfillment_type"),
+            pick(("Individual", "LLC", "Corporation"), key % 3).alias("business_type"),
+            pick(("Marketplace-Fulfilled", "Self-Ship"), key % 2).alias("fulfillment_type"),
             c("n_name").alias("country"),
             c("r_name").alias("region"),
             F.lit(True).alias("is_active"),
@@ -154,7 +151,7 @@ def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             c("c_custkey").alias("customer_id"),
             F.date_add(_day("2019-01-01"), (c("c_custkey") % 365).cast("int")).alias("signup_date"),
             c("r_name").alias("region"),
-            _pick(("New", "Occasional", "Frequent", "VIP"), c("c_custkey") % 4).alias("customer_segment"),
+            pick(("New", "Occasional", "Frequent", "VIP"), c("c_custkey") % 4).alias("customer_segment"),
         )
     )
     return {"dim_seller": sellers, "dim_product": products, "dim_customer": customers}

@@ -6,9 +6,10 @@ here from keys alone, by rule, and change no reading: an episode is only a windo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import pick
 from ..operators.quality import ROOT_CAUSES
 from ..registry import ANOMALY_TYPES, METRICS, MULTI_METRIC
 
@@ -16,10 +17,6 @@ from ..registry import ANOMALY_TYPES, METRICS, MULTI_METRIC
 EPISODE_SELLERS, EPISODE_REACH, EPISODE_STARTS, EPISODE_DAYS, EPISODE_DAYS_SPREAD = 3, 500, 400, 60, 40
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
 def labelled_episodes(sellers: DataFrame, bounds: DataFrame) -> DataFrame:
     """One episode for every third seller, before the last day of `bounds`."""
     key, number = F.col("seller_id"), F.floor(F.col("seller_id") / EPISODE_SELLERS)
@@ -35,12 +32,12 @@ def labelled_episodes(sellers: DataFrame, bounds: DataFrame) -> DataFrame:
     return chosen.select(
         "ground_truth_id",
         "seller_id",
-        _pick(ANOMALY_TYPES, F.col("_kind")).alias("anomaly_type"),
-        _pick([first_metric[t] for t in ANOMALY_TYPES], F.col("_kind")).alias("affected_metric"),
+        pick(ANOMALY_TYPES, F.col("_kind")).alias("anomaly_type"),
+        pick([first_metric[t] for t in ANOMALY_TYPES], F.col("_kind")).alias("affected_metric"),
         "start_date",
         F.date_add("start_date", (EPISODE_DAYS + key % EPISODE_DAYS_SPREAD).cast("int")).alias("end_date"),
         F.lit(1).cast("decimal(10,4)").alias("injected_magnitude"),
-        F.concat(F.lit("Labelled episode: "), _pick(ANOMALY_TYPES, F.col("_kind"))).alias("notes"),
+        F.concat(F.lit("Labelled episode: "), pick(ANOMALY_TYPES, F.col("_kind"))).alias("notes"),
     )
 
 
@@ -71,7 +68,7 @@ def status_updates(tickets: DataFrame) -> DataFrame:
     decided = tickets.where(digit <= 8).select(
         "case_id",
         outcome.alias("status"),
-        F.when(closed, _pick(ROOT_CAUSES, case % 7)).alias("root_cause"),
+        F.when(closed, pick(ROOT_CAUSES, case % 7)).alias("root_cause"),
         none.alias("notes"),
         F.when(closed, F.concat(F.lit("Closed as "), outcome)).alias("resolution"),
         investigator.alias("assigned_investigator"),
