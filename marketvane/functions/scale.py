@@ -54,6 +54,56 @@ def _magnitude_bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * 64)).cast("long")
 
 
+def quantiles(df: DataFrame, columns: tuple[str, ...], share: float) -> DataFrame:
+    """One row with a struct (at, top) for every column: its exact `share` quantile and its maximum, both as doubles.
+
+    The quantile lies between two neighbouring values as `percentile` has it; nulls don't count, and a column without
+    values has nulls. Values are counted first, so a hot value is one row; running counts are taken inside magnitude
+    buckets and shifted by the counts of the lower buckets, so no task holds all values of a column.
+    """
+    cells = [F.struct(F.lit(i).alias("_c"), F.col(x).cast("double").alias("_v")) for i, x in enumerate(columns)]
+    counts = (
+        df.select(F.inline(F.array(*cells)))
+        .where("_v IS NOT NULL")
+        .groupBy("_c", "_v")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_b", _magnitude_bucket(F.col("_v")))
+    )
+    by_bucket = Window.partitionBy("_c").orderBy("_b")
+    buckets = (
+        counts.groupBy("_c", "_b")
+        .agg(F.sum("_n").alias("_bn"))
+        .select(
+            "_c",
+            "_b",
+            F.coalesce(F.sum("_bn").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.sum("_bn").over(Window.partitionBy("_c")).alias("_total"),
+        )
+    )
+    upto = Window.partitionBy("_c", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_before") + F.sum("_n").over(upto)
+    place = (F.col("_total") - 1) * F.lit(share)
+    placed = counts.join(buckets, ["_c", "_b"]).select("_c", "_v", (end - F.col("_n")).alias("_from"), end.alias("_end"), place.alias("_place"))
+
+    def value_at(rank: Column, i: int) -> Column:
+        holds = (F.col("_c") == i) & (F.col("_from") <= rank) & (rank < F.col("_end"))
+        return F.max(F.when(holds, F.col("_v")))
+
+    found = []
+    for i in range(len(columns)):
+        found.append(value_at(F.floor("_place"), i).alias(f"low{i}"))
+        found.append(value_at(F.ceil("_place"), i).alias(f"high{i}"))
+        found.append(F.max(F.when(F.col("_c") == i, F.col("_v"))).alias(f"top{i}"))
+        found.append(F.max(F.when(F.col("_c") == i, F.col("_place"))).alias(f"place{i}"))
+    row = placed.agg(*found)
+    out = []
+    for i, x in enumerate(columns):
+        low, high, at = F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"place{i}")
+        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        out.append(F.struct(F.when(low == high, low).otherwise(between).alias("at"), F.col(f"top{i}").alias("top")).alias(x))
+    return row.select(*out)
+
+
 def rank_table(df: DataFrame, value: str) -> DataFrame:
     """(value, percent rank 0-100) with ties sharing their average rank: 100 * average rank / n.
 

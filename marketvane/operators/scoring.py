@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_up
-from ..functions.scale import rank_table, with_rank
+from ..functions.scale import quantiles, rank_table, with_rank
 from ..registry import (
     DEFAULT_RATING,
     ENSEMBLE,
@@ -37,15 +37,9 @@ def bad_is_low(value: Column, floor: float = 1.0, best: float = 5.0) -> Column:
 
 
 def ceilings(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One row with a struct: the 95th percentile of every column, or its maximum where that is zero.
-
-    The columns hold rates stored at four decimals or small whole numbers, so the exact percentile
-    counts few distinct values however many rows there are.
-    """
-    found = frame.agg(
-        *[F.percentile(c, F.lit(0.95)).alias(f"{c}_p95") for c in columns], *[F.max(c).alias(f"{c}_max") for c in columns]
-    )
-    tops = [F.when(F.col(f"{c}_p95") > 0, F.col(f"{c}_p95")).otherwise(F.col(f"{c}_max")).alias(c) for c in columns]
+    """One row with a struct: the 95th percentile of every column, or its maximum where that is zero."""
+    found = quantiles(frame, columns, 0.95)
+    tops = [F.when(F.col(f"{c}.at") > 0, F.col(f"{c}.at")).otherwise(F.col(f"{c}.top")).alias(c) for c in columns]
     return found.select(F.struct(*tops).alias("ceilings"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketvane.functions.numeric import half_up, quartile
-from marketvane.functions.scale import dense_ids, rank_table, salted_join, with_rank
+from marketvane.functions.scale import dense_ids, quantiles, rank_table, salted_join, with_rank
 from marketvane.registry import HEALTH_WEIGHTS, PRIORITY_WEIGHTS, health_tier, is_open, is_unresolved, severity
 from tests.helpers import day, rows
 
@@ -86,3 +86,28 @@ def test_salted_join_equals_the_join_with_a_hot_key(spark, how):
     got = salted_join(left, right, ["k"], ["id"], how).select("id", "k", "v")
     want = left.join(right, "k", how).select("id", "k", "v")
     assert rows(got, "id") == rows(want, "id")
+
+
+def test_quantiles_equal_the_builtin_percentile(spark):
+    dice = random.Random(11)
+    data = [
+        (
+            0.0 if dice.random() < 0.4 else round(dice.random(), 4),
+            dice.choice([None, -3.5, -0.25, 0.0, 7.0, 1e6]),
+            None,
+            dice.choice([1.0, 2.0]) if n == 5 else 1.0,
+        )
+        for n in range(997)
+    ]
+    frame = spark.createDataFrame(data, "a double, b double, c double, d double").repartition(5)
+    for share in (0.0, 0.5, 0.95, 1.0):
+        got = quantiles(frame, ("a", "b", "c", "d"), share).first()
+        want = frame.agg(*[F.percentile(x, F.lit(share)).alias(x) for x in "abcd"], *[F.max(x).alias(f"{x}_top") for x in "abcd"]).first()
+        assert {x: tuple(got[x]) for x in "abcd"} == {x: (want[x], want[f"{x}_top"]) for x in "abcd"}
+
+
+def test_quantiles_of_nothing_and_of_one_row(spark):
+    empty = spark.createDataFrame([], "a double")
+    assert tuple(quantiles(empty, ("a",), 0.95).first()["a"]) == (None, None)
+    one = spark.createDataFrame([(2.5,)], "a double")
+    assert tuple(quantiles(one, ("a",), 0.95).first()["a"]) == (2.5, 2.5)
