@@ -26,17 +26,34 @@ def _many(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counted.unpivot([], [f"`{name}`" for name in rules], "check", "violations")
 
 
-def _copies(frame: DataFrame, key: str) -> DataFrame:
-    """Rows per key. Used as child and as parent of the key checks, so each table is exchanged once."""
-    return frame.groupBy(key).agg(F.count("*").alias("n"))
+def _copies(*columns: tuple[DataFrame, str]) -> DataFrame:
+    """Rows per value of a key, one column `n0`, `n1`, ... for each given table and its column of that key.
 
+    The tables are stacked and counted once: partial counts before a single exchange, so a hot value is one row a task,
+    and no exchange at all where all of them are stored in buckets of the key.
+    """
+    names = [f"n{i}" for i in range(len(columns))]
+    parts = [
+        frame.select(F.col(column).alias("key"), *[F.lit(int(i == j)).cast("long").alias(n) for j, n in enumerate(names)])
+        for i, (frame, column) in enumerate(columns)
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
 
-def _orphans(name: str, child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key has no parent, from counted keys.
 
-    A null key is an orphan too, as in an outer join followed by a null test.
-    """
-    return _one(name, child.join(parent.where("n > 0"), key, "left_anti"), F.sum("n"))
+def _repeated(count: str) -> Column:
+    """Number of key values that a table has more than once."""
+    return F.count_if(F.col(count) > 1)
+
+
+def _lost(child: str, parent: str) -> Column:
+    """Number of rows whose key has no parent. A null key has none, as in an outer join followed by a null test."""
+    return F.sum(F.when((F.col(parent) == 0) | F.col("key").isNull(), F.col(child)))
+
+
+def _counted(copies: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """All rules on the counts of one key: (check, violations)."""
+    found = copies.agg(*[F.coalesce(count, F.lit(0)).cast("long").alias(name) for name, count in rules.items()])
+    return found.unpivot([], [f"`{name}`" for name in rules], "check", "violations")
 
 
 def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
@@ -45,14 +62,19 @@ def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
     returns, reviews, sellers = star["fact_returns"], star["fact_reviews"], star["dim_seller"]
     c = F.col
     line = "order_line_id"
-    lines, shipped, returned = _copies(orders, line), _copies(shipments, line), _copies(returns, line)
     days = orders.groupBy("seller_id", "order_date").agg(F.count("*").alias("n"))
     early = days.join(sellers.select("seller_id", "signup_date"), "seller_id").where(c("order_date") < c("signup_date"))
     parts = [
-        _one("duplicate_orders", lines.where("n > 1"), F.count("*")),
-        _orphans("orphan_order_seller_fk", days, _copies(sellers, "seller_id"), "seller_id"),
-        _orphans("orphan_shipment_order_fk", shipped, lines, line),
-        _orphans("orphan_return_order_fk", returned, lines, line),
+        _counted(
+            _copies((orders, line), (shipments, line), (returns, line)),
+            {
+                "duplicate_orders": _repeated("n0"),
+                "orphan_shipment_order_fk": _lost("n1", "n0"),
+                "orphan_return_order_fk": _lost("n2", "n0"),
+                "return_without_delivered_shipment": _lost("n2", "n1"),
+            },
+        ),
+        _one("orphan_order_seller_fk", days.join(sellers, "seller_id", "left_anti"), F.sum("n")),
         _many(
             orders,
             {
@@ -65,7 +87,6 @@ def raw_checks(star: dict[str, DataFrame], as_of: Column) -> DataFrame:
         _many(reviews, {"invalid_rating": ~c("rating").between(1, 5)}),
         _many(shipments, {"delivery_before_ship": c("actual_delivery_date") < c("actual_ship_date")}),
         _one("order_date_before_seller_signup", early, F.sum("n")),
-        _orphans("return_without_delivered_shipment", returned, shipped, line),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -231,18 +252,17 @@ def key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Declared keys, references and required columns: (check, violations, status).
 
     `table:key` counts repeated key values, `table:required` the rows with a null in a column that must be filled,
-    `table.column:reference` the rows whose value has no parent (null refers to nothing). Rows are counted per value
-    before they meet the parents, so a hot value is one row. A reference to a table that is not given is left out.
+    `table.column:reference` the rows whose value has no parent (null refers to nothing). A parent and all that refer
+    to it are counted per value together, in one exchange. A reference to a table that is not given is left out.
     """
     parts = []
     for name, frame in tables.items():
         required = [F.col(x).isNull() for x in frame.columns if x not in OPTIONAL.get(name, ())]
         parts.append(_many(frame, {f"{name}:required": reduce(lambda a, b: a | b, required)}))
         if name in KEYS:
-            parts.append(_one(f"{name}:key", _copies(frame, KEYS[name]).where("n > 1"), F.count("*")))
-        for column, parent in REFERENCES.get(name, {}).items():
-            if parent in tables:
-                counted = _copies(frame.where(F.col(column).isNotNull()), column)
-                known = _copies(tables[parent], KEYS[parent]).select(F.col(KEYS[parent]).alias(column), "n")
-                parts.append(_orphans(f"{name}.{column}:reference", counted, known, column))
+            uses = [(child, x) for child in tables for x, parent in REFERENCES.get(child, {}).items() if parent == name]
+            columns = [(frame, KEYS[name]), *[(tables[child].where(F.col(x).isNotNull()), x) for child, x in uses]]
+            rules = {f"{name}:key": _repeated("n0")}
+            rules |= {f"{child}.{x}:reference": _lost(f"n{i}", "n0") for i, (child, x) in enumerate(uses, 1)}
+            parts.append(_counted(_copies(*columns), rules))
     return report(*parts)

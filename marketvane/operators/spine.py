@@ -27,28 +27,35 @@ def active_days(sellers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def returns_by_order_day(orders: DataFrame, returns: DataFrame) -> DataFrame:
+def returns_by_order_day(orders: DataFrame, returns: DataFrame, bucketed: bool = False) -> DataFrame:
     """Returns counted on the day of the order they belong to.
 
-    Returns are reduced to one row per order line first, so the join never multiplies copies. The
-    hash as a second key gives that side an exchange of its own; with an exchange on both sides,
-    adaptive execution can split the copies of a hot line among tasks.
+    Returns are reduced to one row per order line first, so the join never multiplies copies. Where both tables are
+    stored in buckets of the line key, neither the reduction nor the join needs an exchange. Elsewhere the hash as a
+    second key gives the reduced side an exchange of its own; with an exchange on both sides, adaptive execution can
+    split the copies of a hot line among tasks.
     """
     per_line = returns.groupBy("order_line_id").agg(
         F.count("*").alias("return_count"),
         F.count_if("is_defect_related").alias("defect_returns"),
         F.sum("refund_amount").alias("refund_amount"),
     )
-    hashed = F.xxhash64("order_line_id")
-    return (
-        orders.select("order_line_id", "seller_id", "order_date", hashed.alias("_hash"))
-        .join(per_line.withColumn("_hash", hashed), ["order_line_id", "_hash"])
-        .select("seller_id", F.col("order_date").alias("metric_date"), "return_count", "defect_returns", "refund_amount")
+    lines, keys = orders.select("order_line_id", "seller_id", "order_date"), ["order_line_id"]
+    if not bucketed:
+        hashed, keys = F.xxhash64("order_line_id"), [*keys, "_hash"]
+        lines, per_line = lines.withColumn("_hash", hashed), per_line.withColumn("_hash", hashed)
+    return lines.join(per_line, keys).select(
+        "seller_id", F.col("order_date").alias("metric_date"), "return_count", "defect_returns", "refund_amount"
     )
 
 
 def daily_activity(
-    orders: DataFrame, shipments: DataFrame, returns: DataFrame, reviews: DataFrame, sellers: DataFrame
+    orders: DataFrame,
+    shipments: DataFrame,
+    returns: DataFrame,
+    reviews: DataFrame,
+    sellers: DataFrame,
+    bucketed: bool = False,
 ) -> DataFrame:
     """Daily counts and sums, zero-activity days included.
 
@@ -74,7 +81,7 @@ def daily_activity(
             one.alias("shipment_count"),
             F.when(F.col("is_late"), one).alias("late_shipments"),
         ),
-        returns_by_order_day(orders, returns),
+        returns_by_order_day(orders, returns, bucketed),
         reviews.select(
             "seller_id",
             F.col("review_date").alias("metric_date"),
@@ -95,13 +102,21 @@ def daily_activity(
 
 
 def daily_metrics(
-    orders: DataFrame, shipments: DataFrame, returns: DataFrame, reviews: DataFrame, sellers: DataFrame
+    orders: DataFrame,
+    shipments: DataFrame,
+    returns: DataFrame,
+    reviews: DataFrame,
+    sellers: DataFrame,
+    bucketed: bool = False,
 ) -> DataFrame:
-    """The 17-column spine: one row per seller and active day, rounded to the stored types."""
+    """The 17-column spine: one row per seller and active day, rounded to the stored types.
+
+    `bucketed` says that orders and returns are stored in buckets of the line key.
+    """
     by_day = Window.partitionBy("seller_id").orderBy("metric_date")
     week = by_day.rowsBetween(-6, 0)
     c = F.col
-    daily = daily_activity(orders, shipments, returns, reviews, sellers).select(
+    daily = daily_activity(orders, shipments, returns, reviews, sellers, bucketed).select(
         "*",
         F.try_divide(c("unit_price").cast("double"), c("price_rows")).alias("mean_price"),
     )

@@ -42,7 +42,7 @@ def warehouse(spark: SparkSession, folder: str, methods: tuple[str, ...] = SQL_M
         workspace = _workspace(spark, folder)
         star = commerce_star(spark, folder, workspace)
         loaded_at = F.lit(LOADED_AT).cast("timestamp_ntz")
-        _warehouses[key] = Warehouse(star, workspace, methods, status_updates, loaded_at)
+        _warehouses[key] = Warehouse(star, workspace, methods, status_updates, loaded_at, bucketed=True)
     return _warehouses[key]
 
 

@@ -33,7 +33,7 @@ class Warehouse:
 
     `methods` names the detectors that vote. `updates` turns new tickets into status updates.
     `as_of` is the moment of the load, now unless given: an order dated later is a fault. Tickets are judged
-    at `judged_at`, the last day of the series unless given.
+    at `judged_at`, the last day of the series unless given. `bucketed` says that the facts are stored in buckets of the line key.
 
     A stored table's name holds a digest of all that shapes it, so warehouses that differ in their input or
     parameters can share a workspace. Tables with a date are stored by month, and reads of some days list only theirs.
@@ -47,6 +47,7 @@ class Warehouse:
         updates: Callable[[DataFrame], DataFrame] | None = None,
         as_of: Column | None = None,
         judged_at: Column | None = None,
+        bucketed: bool = False,
     ):
         self.star = star
         self.workspace = workspace
@@ -54,6 +55,7 @@ class Warehouse:
         self.updates = updates
         self.as_of = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
         self._judged_at = judged_at
+        self.bucketed = bucketed
 
     @cached_property
     def _input(self) -> tuple:
@@ -83,7 +85,8 @@ class Warehouse:
         s = self.star
         facts = (s["fact_orders"], s["fact_shipments"], s["fact_returns"], s["fact_reviews"])
         return self._dated(
-            "fact_seller_daily_metrics", lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers), self.sellers)
+            "fact_seller_daily_metrics",
+            lambda: baselines.with_cohort(spine.daily_metrics(*facts, self.sellers, self.bucketed), self.sellers),
         )
 
     @cached_property

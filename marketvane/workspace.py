@@ -45,6 +45,21 @@ class Workspace:
             self._tables[name] = self.spark.read.schema(frame.schema).parquet(path)
         return self._tables[name]
 
+    def bucketed(self, name: str, build: Callable[[], DataFrame], key: str) -> DataFrame:
+        """The stored table in buckets by the hash of `key`: groupings and joins by it need no exchange.
+
+        As many buckets as the session shuffles to, or may make. Rows are dealt to files by measured size, so a large bucket is
+        written by several tasks; a bucket is read by one, streaming.
+        """
+        if name not in self._tables:
+            settings = ("spark.sql.shuffle.partitions", "spark.sql.sources.bucketing.maxBuckets")
+            buckets = min(int(self.spark.conf.get(s)) for s in settings)
+            table = f"{name}_{uuid.uuid4().hex}"
+            dealt = build().hint("rebalance", key)
+            dealt.write.bucketBy(buckets, key).option("path", f"{self.root}/{name}").saveAsTable(table)
+            self._tables[name] = self.spark.table(table)
+        return self._tables[name]
+
     def dated(self, name: str, build: Callable[[], DataFrame], day: str) -> Table:
         """The stored table parted by the months of `day`, so a scan of some days lists only theirs."""
         if name not in self._dated:
