@@ -56,7 +56,7 @@ class Workspace:
             buckets = min(int(self.spark.conf.get(s)) for s in settings)
             table = f"{name}_{uuid.uuid4().hex}"
             dealt = build().hint("rebalance", key)
-            dealt.write.bucketBy(buckets, key).option("path", f"{self.root}/{name}").saveAsTable(table)
+            dealt.write.bucketBy(buckets, key).option("path", f"{self.root}/{table}").saveAsTable(table)
             self._tables[name] = self.spark.table(table)
         return self._tables[name]
 

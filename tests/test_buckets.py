@@ -65,6 +65,12 @@ def test_bucketed_returns_equal_a_plain_loop(spark, tmp_path):
         assert sorted((r[0], r[1], r[2], r[3], int(r[4])) for r in found) == want
 
 
+def test_a_second_workspace_on_the_same_folder_makes_its_own_table(spark, tmp_path):
+    first, _ = stored(spark, tmp_path, drawn(40))
+    second, _ = stored(spark, tmp_path, drawn(60))
+    assert (first.count(), second.count()) == (40, 60)
+
+
 def test_an_empty_table_can_be_bucketed(spark, tmp_path):
     lines, returned = stored(spark, tmp_path, [])
     assert spine.returns_by_order_day(lines, returned, bucketed=True).count() == 0
