@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from marketvane.operators.calendar import calendar
-from marketvane.operators.spine import daily_metrics
+from marketvane.operators.spine import active_days, daily_metrics
 from marketvane.schemas import STAR_SCHEMAS
 from marketvane.sources.star import read_csv_star, read_parquet_star, write_csv, write_parts
 from tests.helpers import day, rows
@@ -127,3 +127,15 @@ def test_tables_round_trip(spark, tmp_path):
     write_parts(frame, f"{tmp_path}/dim_customer", ("customer_segment",))
     back = read_parquet_star(spark, str(tmp_path), ("dim_customer",))["dim_customer"].select(*frame.columns)
     assert rows(back, "customer_id") == rows(frame, "customer_id")
+
+
+def test_days_are_laid_out_by_several_tasks(spark):
+    """The sellers come in one file, hence in one task, however many they are."""
+    orders = tables(spark, orders=[(1, 1, 0, "10", False), (2, 1, 4, "30", False)])[0]
+    sellers = tables(spark, sellers=[(i, day(0)) for i in range(1, 41)])[4].coalesce(1)
+    days = active_days(sellers, orders)
+    assert sellers.rdd.getNumPartitions() == 1
+    assert days.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert active_days(sellers, orders, sellers_a_task=2).rdd.getNumPartitions() == 20
+    found = sorted((r["seller_id"], r["metric_date"]) for r in days.collect())
+    assert found == [(i, day(n)) for i in range(1, 41) for n in range(5)]
