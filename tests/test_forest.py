@@ -138,3 +138,20 @@ def test_no_large_cohort_gives_no_scores(readings):
 def test_average_path():
     assert forest.average_path(1) == 0 and forest.average_path(2) == 1
     assert float(forest.average_path(256)) == pytest.approx(10.2448, abs=1e-3)
+
+
+def test_draws_equal_a_plain_loop_and_are_compiled(readings):
+    found = forest.samples(readings, forest.cohort_sizes(readings), 42)
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
+    sizes = {"A|Micro": 800, "B|Power": 400}
+    trees = [forest.digits(f"42|{t}") for t in range(forest.N_TREES)]
+    want = set()
+    for r in readings.where("seller_id IN (1, 9)").select("cohort", "seller_id", "metric_date").collect():
+        first, second, _ = forest.digits(f"{r['seller_id']}|{r['metric_date']}")
+        most = min(forest.DRAWS, int(forest.SAMPLE_SIZE * forest.OVERDRAW) * forest.DRAWS // sizes[r["cohort"]])
+        for t, (a, b, c) in enumerate(trees):
+            draw = (first * a + second * b + c % forest.DRAWS) % forest.DRAWS
+            if draw < most:
+                want.add((r["seller_id"], r["metric_date"], t, draw))
+    got = found.where("seller_id IN (1, 9)").select("seller_id", "metric_date", "tree", "draw").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
