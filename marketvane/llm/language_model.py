@@ -8,9 +8,8 @@ one is its context, the right one the lower n-gram that it backs off to. Under t
 
     p(n-gram) = (n - DISCOUNT) / n(left) + weight(left) p(right),  or weight(left) p(right) where it is not in the trie,
 
-a text's log probability is a sum over its n-grams: log p of each word, log weight of each context, and for an n-gram in
-the trie log of p over weight(left) p(right). So each entry has one value, and a document's score is the sum of the
-values of its n-grams.
+an entry needs no more than its own count and its weight as a context. A text asks for those of its own words, pairs and
+triples, which are all that its probabilities rest on, so no entry is ever joined to the lower ones.
 
 1. Documents are read once, into a stored table of slices of about PART_BYTES of text: the tokens as numbers into the
    slice's own list of word hashes. All later steps read slices, whose rows are as many as the corpus has PART_BYTES,
@@ -18,13 +17,14 @@ values of its n-grams.
 2. A slice sends fingerprints of its distinct pairs and triples to blocks by leading bits of their hash; a block answers
    which ones reach LEAST_COUNT among training documents, as a bitmap.
 3. The slices send the parts and counts of those, and of all words, one level at a time. They are counted exactly, by
-   64-bit hash; weights and probabilities come of joins of entries.
-4. The trie is stored in the shared folder in blocks. A block holds contexts in order, for each a monotone pointer to
-   its first child, and the children in order within their context, all in Elias-Fano form, with quantised values beside
-   them. A block is named by leading bits of the context and some of the child, so a frequent context's children lie in
-   many blocks, each with a pointer range of its own.
+   64-bit hash. A triple's count is all that the trie has of it, so its block is made as it is counted; words and pairs
+   are joined with what the entries after them as a context add up to, and so get their weights.
+4. The trie is stored in the shared folder in blocks, each level's apart. A block holds contexts in order, for each a
+   monotone pointer to its first child, and the children in order within their context, all in Elias-Fano form, with
+   counts and quantised weights beside them. A block is named by leading bits of the context and some of the child, so a
+   frequent context's children lie in many blocks, each with a pointer range of its own.
 5. Slices ask for their n-grams, in TURNS: a block is memory-mapped, the context found by successor search among the contexts, and
-   the child by successor search in the context's range alone. The slice adds up the values by document.
+   the child by successor search in the context's range alone. The slice works out its texts' probabilities by the rule.
 
 What a step has left on disk goes before the next one. No step holds more than a slice or a block; both are of fixed
 size, but for a longer single text. The messages of steps 2, 3 and 5 have a row for each slice and block that it has an
@@ -62,7 +62,7 @@ DISCOUNT = 0.75
 PART_BYTES = 4 << 20
 BLOCK_TOKENS = 3 << 20
 #: Slices ask the trie in so many turns, of which one at a time has its messages on disk.
-TURNS = 3
+TURNS = 5
 #: Bits of a fingerprint: of its bucket below its block, and below its bucket.
 FINE_BITS = 8
 LOW_BITS = 24
@@ -94,10 +94,14 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
 
 
-def _narrow(values: np.ndarray) -> bytes:
+def _narrowed(values: np.ndarray) -> np.ndarray:
     """Unsigned numbers in one, two, four or eight bytes each."""
     top = int(values.max()) if len(values) else 0
-    return values.astype(next(k for k in ("u1", "u2", "u4", "u8") if top < 256 ** int(k[1]))).tobytes()
+    return values.astype(next(k for k in ("u1", "u2", "u4", "u8") if top < 256 ** int(k[1])))
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    return _narrowed(values).tobytes()
 
 
 def _wide(data: bytes, size: int) -> np.ndarray:
@@ -213,23 +217,28 @@ class Slice:
         both = inner[:-1] & inner[1:]
         return joined(pairs[:-1], pairs[1:])[both], pairs[:-1][both], pairs[1:][both], doc[2:][both]
 
+    def ends(self, level: int) -> np.ndarray:
+        """The places in the text where the level's n-grams end, in order."""
+        inside = self.doc[level - 1 :] == self.doc[: len(self.doc) - level + 1]
+        return np.flatnonzero(inside) + level - 1
+
     def chosen(self, level: int, deal: Blocks) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The level's distinct n-grams that may be in the trie, dealt to blocks: (left, right, block) by block and
-        left, and for every occurrence of one its (number, doc)."""
+        left, and for every occurrence of one its (number, place where it ends)."""
         if level == 1:
             order = np.argsort(self.distinct)
             number = np.empty(len(order), np.int32)
             number[order] = np.arange(len(order), dtype=np.int32)
             words = self.distinct[order]
-            return words, words, deal.of(words), np.stack([number[self.tokens], self.doc])
-        key, left, right, doc = self.level(level)
+            return words, words, deal.of(words), np.stack([number[self.tokens], self.ends(1)])
+        key, left, right, _ = self.level(level)
         order = np.argsort(key)
         key = key[order]
         often = self._often(key, level, deal)
         order, key = order[often], key[often]
         first = _firsts(key)
         own = order[first]
-        left, right, doc = left[own], right[own], doc[order]
+        left, right = left[own], right[own]
         block = deal.of_parts(left, right)
         # By block, then left: the block's bits before what is left of the context's. Stable, so a slice has one order.
         rest = (left << np.uint64(deal.bits - deal.child_bits)) >> np.uint64(deal.bits)
@@ -237,7 +246,7 @@ class Slice:
         number = np.empty(len(own), np.int32)
         number[place] = np.arange(len(own), dtype=np.int32)
         each = np.repeat(number, np.diff(np.append(first, len(key))))
-        return left[place], right[place], block[place], np.stack([each, doc])
+        return left[place], right[place], block[place], np.stack([each, self.ends(level)[order]])
 
     def _often(self, key: np.ndarray, level: int, deal: Blocks) -> np.ndarray:
         """Which of the sorted n-grams have a fingerprint that the blocks found often enough."""
@@ -313,16 +322,16 @@ def _lefts(lefts: bytes, many: bytes) -> np.ndarray:
 
 def _sent(own: Slice, level: int, deal: Blocks) -> pa.Table:
     """The parts and training counts of a slice's n-grams that training documents hold, by block."""
-    left, right, block, (each, doc) = own.chosen(level, deal)
-    n = np.bincount(each, ~own.held[doc], len(left)).astype(np.int64)
+    left, right, block, (each, end) = own.chosen(level, deal)
+    n = np.bincount(each, ~own.held[own.doc[end]], len(left)).astype(np.int64)
     kept = n > 0
     left, right, block, n = left[kept], right[kept], block[kept], n[kept]
     rows = [(b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"", _narrow(n[k])) for b, k in _cuts(block)]
     return _table(rows, ["block", "lefts", "many", "rights", "n"], [pa.int32(), *[pa.binary()] * 4])
 
 
-def _counted(rows: pa.Table, level: int) -> pa.Table:
-    """The entries of one block that are in the trie, with their training counts."""
+def _entries(rows: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, left, right, training count) of the entries of one block that are in the trie, by key."""
     left, right, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for row in rows.to_pylist():
         left.append(_lefts(row["lefts"], row["many"]))
@@ -335,8 +344,35 @@ def _counted(rows: pa.Table, level: int) -> pa.Table:
     total = np.add.reduceat(n[order], first) if len(first) else n[:0]
     kept = total >= (LEAST_COUNT if level > 1 else 1)
     at = order[first][kept]
-    columns = {1: {"key": key}, 2: {"key": key, "left": left, "right": right}, 3: {"left": left, "right": right}}[level]
-    return pa.table({name: pa.array(x[at].view(np.int64)) for name, x in columns.items()} | {"n": pa.array(total[kept])})
+    return key[at], left[at], right[at], total[kept]
+
+
+def _counted(rows: pa.Table, level: int) -> pa.Table:
+    """The words or pairs of one block that are in the trie, with their training counts."""
+    key, left, right, n = _entries(rows, level)
+    columns = {"key": key} if level == 1 else {"key": key, "left": left, "right": right}
+    return pa.table({name: pa.array(x.view(np.int64)) for name, x in columns.items()} | {"n": pa.array(n)})
+
+
+def _leaves(rows: pa.Table, deal: Blocks) -> pa.Table:
+    """One block of triples: a row with its trie, then one for each context with the mass that its children here take."""
+    _, left, right, n = _entries(rows, 3)
+    block, contexts = rows.column("block")[0].as_py(), np.zeros(0, np.uint64)
+    tries, mass = [], np.zeros(0)
+    if len(n):
+        columns = [np.full(len(n), block), np.full(len(n), 3), left.view(np.int64), right.view(np.int64), np.zeros(len(n)), n]
+        tries = _block(pa.table(columns, ["block", "level", "left", "right", "value", "n"]), deal).column("trie").to_pylist()
+        order = np.argsort(left)
+        first = _firsts(left[order])
+        contexts, mass = left[order][first], np.add.reduceat(n[order] - DISCOUNT, first)
+    none = len(tries)
+    return pa.table(
+        [
+            pa.array([block] * (none + len(contexts)), pa.int32()), pa.array(tries + [None] * len(contexts), pa.binary()),
+            pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(contexts.view(np.int64))]), pa.concat_arrays([pa.nulls(none, pa.float64()), pa.array(mass)]),
+        ],
+        ["block", "trie", "left", "mass"],
+    )
 
 
 def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
@@ -344,7 +380,7 @@ def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
 
     Words: hashes in order, values and counts. Pairs and triples: contexts in order, pointers to their first child, and
     the children in order within each context, each told by its context's number and the leading bits of its right part
-    below the block's. Values stand in the children's order.
+    below the block's. Values and counts stand in the children's order.
     """
     level, left, right, value, n = (rows.column(c).to_numpy() for c in ("level", "left", "right", "value", "n"))
     left, right, parts = left.view(np.uint64), right.view(np.uint64), {}
@@ -352,7 +388,7 @@ def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
         of = np.flatnonzero(level == k)
         if k == 1:
             of = of[np.argsort(left[of])]
-            parts |= {"words": EliasFano.of(left[of]), "values1": Quantised.of(value[of], 16), "counts": n[of]}
+            parts |= {"words": EliasFano.of(left[of]), "values1": Quantised.of(value[of], 16), "counts": _narrowed(n[of])}
             continue
         of = of[np.lexsort((right[of], left[of]))]
         first = _firsts(left[of])
@@ -361,7 +397,7 @@ def _block(rows: pa.Table, deal: Blocks) -> pa.Table:
         number = np.repeat(np.arange(len(contexts)), np.diff(pointers))
         parts |= {
             f"contexts{k}": EliasFano.of(contexts), f"pointers{k}": EliasFano.of(pointers),
-            f"children{k}": EliasFano.of(_label(number, right[of], len(contexts), deal)), f"values{k}": Quantised.of(value[of], 16),
+            f"children{k}": EliasFano.of(_label(number, right[of], len(contexts), deal)), f"values{k}": Quantised.of(value[of], 16), f"counts{k}": _narrowed(n[of]),
         }
     return pa.table([pa.array([rows.column("block")[0].as_py()], pa.int32()), pa.array([elias_fano.packed(parts)], pa.binary())], ["block", "trie"])
 
@@ -387,8 +423,23 @@ class Trie:
         return value, count, known
 
     def child(self, level: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(value, known) of n-grams: the context among the contexts, then the child in the context's range."""
-        contexts, pointers, children, values = (self.parts[f"{x}{level}"] for x in ("contexts", "pointers", "children", "values"))
+        """(value, known) of n-grams."""
+        asked, place, found = self._place(level, left, right)
+        value = np.zeros(len(left))
+        value[asked] = self.parts[f"values{level}"].get(place)
+        return value, found
+
+    def counted(self, level: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, count) of n-grams, 0 where unknown."""
+        asked, place, _ = self._place(level, left, right)
+        value, count = np.zeros(len(left)), np.zeros(len(left), np.int64)
+        value[asked], count[asked] = self.parts[f"values{level}"].get(place), self.parts[f"counts{level}"][place]
+        return value, count
+
+    def _place(self, level: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which n-grams are known, their places, and for each whether it is known: the context among the contexts, then
+        the child in the context's range."""
+        contexts, pointers, children = (self.parts[f"{x}{level}"] for x in ("contexts", "pointers", "children"))
         first = _firsts(left)
         at, known = contexts.successor(left[first], np.zeros(len(first), np.int64), np.full(len(first), contexts.size))
         begin, end = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
@@ -397,70 +448,82 @@ class Trie:
         asked = np.flatnonzero(np.repeat(known, runs))
         label = _label(np.repeat(at, runs)[asked], right[asked], contexts.size, self.deal)
         place, hit = children.successor(label, np.repeat(begin, runs)[asked], np.repeat(end, runs)[asked])
-        value, found = np.zeros(len(left)), np.zeros(len(left), bool)
+        found = np.zeros(len(left), bool)
         found[asked] = hit
-        value[asked[hit]] = values.get(place[hit])
-        return value, found
+        return asked[hit], place[hit], found
 
 
-def _asked(own: Slice, level: int, deal: Blocks) -> pa.Table:
-    left, right, block, _ = own.chosen(level, deal)
-    rows = [(own.number, b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"") for b, k in _cuts(block)]
-    return _table(rows, ["slice", "block", "lefts", "many", "rights"], [pa.int64(), pa.int32(), *[pa.binary()] * 3])
-
-
-def _answered(rows: pa.Table, model: pa.Table, level: int, deal: Blocks) -> pa.Table:
-    """For each slice's n-grams of one block their values in the trie, 0 where it has none; for words also their counts."""
-    names, kinds, out = ["slice", "block", "values", "counts"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()], []
-    trie = None
-    if model.num_rows and rows.num_rows:
-        handle, path = tempfile.mkstemp(prefix="trie-")
-        try:
-            with os.fdopen(handle, "wb") as file:
-                file.write(model.column("trie")[0].as_py())
-            trie = Trie(path, deal)
-        finally:
-            os.unlink(path)  # the map keeps it until the block is done
-    for row in rows.to_pylist():
-        left = _lefts(row["lefts"], row["many"])
-        value, count = np.zeros(len(left)), np.zeros(len(left), np.int64)
-        if trie is not None and level == 1:
-            value, count, _ = trie.word(left)
-        elif trie is not None:
-            value, _ = trie.child(level, left, np.frombuffer(row["rights"], np.uint64))
-        out.append((row["slice"], row["block"], value.tobytes(), _narrow(count) if level == 1 else b""))
+def _asked(own: Slice, deal: Blocks) -> pa.Table:
+    """The parts of a slice's n-grams that may be in the trie, by level and block."""
+    rows = []
+    for level in (1, 2, 3):
+        left, right, block, _ = own.chosen(level, deal)
+        rows += [(own.number, level, b, *_contexts(left[k]), right[k].tobytes() if level > 1 else b"") for b, k in _cuts(block)]
+    return _table(rows, ["slice", "level", "block", "lefts", "many", "rights"], [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 3])
+
+
+def _opened(data: bytes, deal: Blocks) -> Trie:
+    handle, path = tempfile.mkstemp(prefix="trie-")
+    try:
+        with os.fdopen(handle, "wb") as file:
+            file.write(data)
+        return Trie(path, deal)
+    finally:
+        os.unlink(path)  # the map keeps it until the block is done
+
+
+def _answered(rows: pa.Table, model: pa.Table, deal: Blocks) -> pa.Table:
+    """For each slice's n-grams of one block their counts in the trie, 0 where it has none; for words and pairs that it
+    has also their weights as contexts."""
+    names, kinds, out = ["slice", "level", "block", "counts", "weights"], [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()], []
+    tries, asked = {x["level"]: x["trie"] for x in model.to_pylist()} if rows.num_rows else {}, rows.to_pylist()
+    for level in (1, 2, 3):
+        own = [row for row in asked if row["level"] == level]
+        if not own:
+            continue
+        # all slices' n-grams at once: a message alone is too short to be worth a search
+        lefts = [_lefts(row["lefts"], row["many"]) for row in own]
+        left = np.concatenate(lefts)
+        weight, count = np.zeros(len(left)), np.zeros(len(left), np.int64)
+        if level in tries:
+            trie = _opened(tries[level], deal)
+            weight, count = trie.word(left)[:2] if level == 1 else trie.counted(level, left, np.frombuffer(b"".join(row["rights"] for row in own), np.uint64))
+        at = np.cumsum([len(x) for x in lefts])[:-1]
+        for row, n, w in zip(own, np.split(count, at), np.split(weight, at), strict=True):
+            out.append((row["slice"], level, row["block"], _narrow(n), w[n > 0].tobytes() if level < 3 else b""))
     return _table(out, names, kinds)
 
 
-def _added(rows: pa.Table, answers: pa.Table, level: int, deal: Blocks) -> pa.Table:
-    """By document of a slice the sums of one level: values, and of words also their number, the known ones, log counts."""
-    names, kinds = ["slice", "level", "words", "known", "logs", "value"], [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    own = Slice(rows.combine_chunks().to_batches()[0])
-    left, _, _, (each, doc) = own.chosen(level, deal)
-    answers = answers.sort_by("block")
-    value = np.concatenate([np.zeros(0), *(np.frombuffer(v) for v in answers.column("values").to_pylist())])
-    docs = len(own.held)
-    sums = [b"", b"", b"", np.bincount(doc, value[each], docs).tobytes()]
-    if level == 1:
-        sizes = [len(v) // 8 for v in answers.column("values").to_pylist()]
-        counts = np.concatenate([np.zeros(0, np.int64), *(_wide(c, n) for c, n in zip(answers.column("counts").to_pylist(), sizes, strict=True))])
-        word = left[each] != START
-        n = np.where(word, counts[each], 0)
-        sums[:3] = [np.bincount(doc, x, docs).tobytes() for x in (word, word & (n > 0), np.log10(n + 1))]
-    return _table([(own.number, level, *sums)], names, kinds)
-
-
-def _scored(rows: pa.Table, sums: pa.Table, kind: pa.DataType) -> pa.Table:
-    """One row a document of a slice."""
+def _scored(rows: pa.Table, answers: pa.Table, deal: Blocks, every: float, kind: pa.DataType) -> pa.Table:
+    """One row a document of a slice. `every` is what the words' probabilities are shares of."""
     batch = rows.combine_chunks().to_batches()[0]
+    own, given = Slice(batch), {(x["level"], x["block"]): x for x in answers.to_pylist()}
+    size = len(own.tokens)
+    # at the place where an n-gram ends: its count, and its weight as a context
+    n, weight = np.zeros((4, size), np.int64), np.ones((3, size))
+    for level in (1, 2, 3):
+        left, _, block, (each, end) = own.chosen(level, deal)
+        counts, weights = np.zeros(len(left), np.int64), np.ones(len(left))
+        for b, part in _cuts(block):
+            answer = given[level, b]
+            counts[part] = _wide(answer["counts"], part.stop - part.start)
+            if level < 3:
+                weights[part][counts[part] > 0] = np.frombuffer(answer["weights"])
+        n[level, end] = counts[each]
+        if level < 3:
+            weight[level, end] = weights[each]
+    p = (n[1] + 1) / every
+    for level in (2, 3):
+        end, lower = own.ends(level), p
+        p = lower.copy()
+        own_n, left_n = n[level, end], n[level - 1, end - 1]
+        p[end] = weight[level - 1, end - 1] * lower[end] + np.where(own_n > 0, own_n - DISCOUNT, 0) / np.maximum(left_n, 1)
+    word = own.words != START
+    doc, known = own.doc[word], n[1, word]
+    docs = len(own.held)
+    sums = [np.bincount(doc, minlength=docs), np.bincount(doc[known > 0], minlength=docs), np.bincount(doc, np.log10(known + 1), docs), np.bincount(doc, np.log10(p[word]), docs)]
     ids, held = batch.column("ids")[0].values, batch.column("held")[0].values
-    totals = [np.zeros(len(ids)) for _ in range(4)]
-    for row in sums.sort_by("level").to_pylist():
-        for k, name in enumerate(("words", "known", "logs", "value")):
-            if row[name]:
-                totals[k] += np.frombuffer(row[name])
-    counts = [pa.array(np.rint(x).astype(np.int64)) for x in totals[:2]]
-    return pa.table([ids.cast(kind), held, *counts, *map(pa.array, totals[2:])], ["id", "held_out", "n_tokens", "n_known", "logs", "value"])
+    return pa.table([ids.cast(kind), held, *map(pa.array, sums)], ["id", "held_out", "n_tokens", "n_known", "logs", "value"])
 
 
 def _settled(frame: DataFrame, name: str) -> DataFrame:
@@ -482,35 +545,10 @@ def _dropped(frame: DataFrame) -> None:
         path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def _valued(words: DataFrame, pairs: DataFrame, triples: DataFrame, total: int, distinct: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The levels' entries as (left, right, value, n)."""
-    every = F.lit(float(total + distinct + 1))
-
-    def weighed(own: DataFrame, above: DataFrame) -> DataFrame:
-        """With `weight`: what the entries after a context leave to their lower n-grams."""
-        mass = above.groupBy(F.col("left").alias("key")).agg((F.sum("n") - DISCOUNT * F.count("*")).alias("mass"))
-        return own.join(mass.hint("shuffle_hash"), "key", "left").withColumn("weight", 1 - F.coalesce("mass", F.lit(0.0)) / F.col("n")).drop("mass")
-
-    def interpolated(own: DataFrame, below: DataFrame) -> DataFrame:
-        """With `p`, and `gain`: its log over what the lower n-gram would have given."""
-        left = below.select(F.col("key").alias("left"), F.col("n").alias("n_left"), F.col("weight").alias("left_weight"))
-        right = below.select(F.col("key").alias("right"), F.col("p").alias("lower"))
-        met = own.join(left.hint("shuffle_hash"), "left").join(right.hint("shuffle_hash"), "right")
-        met = met.withColumn("p", (F.col("n") - DISCOUNT) / F.col("n_left") + F.col("left_weight") * F.col("lower"))
-        return met.withColumn("gain", F.log10(F.col("p") / (F.col("left_weight") * F.col("lower")))).drop("n_left", "left_weight", "lower")
-
-    first = _settled(weighed(words.withColumn("p", (F.col("n") + 1) / every), pairs), "words")
-    gained = _settled(interpolated(pairs, first), "gains")
-    _dropped(pairs)
-    second = _settled(weighed(gained, triples), "pairs")
-    _dropped(gained)
-    third = _settled(interpolated(triples, second).select("left", "right", F.col("gain").alias("value"), "n"), "triples")
-    _dropped(triples)
-    return (
-        first.select(F.col("key").alias("left"), F.col("key").alias("right"), F.log10("weight").alias("value"), "n"),
-        second.select("left", "right", (F.col("gain") + F.log10("weight")).alias("value"), "n"),
-        third,
-    )
+def _weighed(own: DataFrame, mass: DataFrame) -> DataFrame:
+    """With `value`: the weight of an entry as a context, what the entries after it leave to their lower n-grams."""
+    taken = mass.select(F.col("left").alias("key"), "mass")
+    return own.join(taken.hint("shuffle_hash"), "key", "left").withColumn("value", 1 - F.coalesce("mass", F.lit(0.0)) / F.col("n"))
 
 
 def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -528,49 +566,55 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _dropped(table)
     of_words = known.drop("ids")
 
-    def each_slice(of_words: DataFrame, level: int, function: Callable[[Slice, int, Blocks], pa.Table], schema: str) -> DataFrame:
+    def each_slice(of_words: DataFrame, function: Callable[[Slice], pa.Table], schema: str) -> DataFrame:
         def run(batches):
             for batch in batches:
                 for row in range(batch.num_rows):
-                    yield from function(Slice(batch, row), level, deal).to_batches()
+                    yield from function(Slice(batch, row)).to_batches()
 
         return of_words.mapInArrow(run, schema)
 
+    def sent(level: int):
+        return each_slice(of_words, partial(_sent, level=level, deal=deal), "block int, lefts binary, many binary, rights binary, n binary").groupBy("block")
+
     def counted(level: int) -> DataFrame:
-        sent = each_slice(of_words, level, _sent, "block int, lefts binary, many binary, rights binary, n binary")
-        names = {1: "key bigint, n bigint", 2: "key bigint, left bigint, right bigint, n bigint", 3: "left bigint, right bigint, n bigint"}[level]
-        return _settled(sent.groupBy("block").applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
+        names = {1: "key bigint, n bigint", 2: "key bigint, left bigint, right bigint, n bigint"}[level]
+        return _settled(sent(level).applyInArrow(lambda rows: _counted(rows, level), names), f"counted-{level}")
+
+    def placed(level: int, entries: DataFrame, block: F.Column) -> DataFrame:
+        """The level's blocks of the trie."""
+        found = entries.select(F.lit(level).alias("level"), "left", "right", "value", "n", block.alias("block"))
+        return _settled(found.groupBy("block").applyInArrow(lambda rows: _block(rows, deal), "block int, trie binary"), f"trie-{level}")
 
-    words = counted(1)
+    leaves = _settled(sent(3).applyInArrow(lambda rows: _leaves(rows, deal), "block int, trie binary, left bigint, mass double"), "leaves")
+    pairs, words = counted(2), counted(1)
     start = int(START.view(np.int64))
     total = words.where(F.col("key") != start).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
-    levels = _valued(words, counted(2), counted(3), total["n"], total["words"])
-    placed = [
-        x.select(F.lit(k).alias("level"), "left", "right", "value", "n", (deal.column("left") if k == 1 else deal.column_of_parts("left", "right")).alias("block"))
-        for k, x in enumerate(levels, 1)
-    ]
-    entries = placed[0].unionByName(placed[1]).unionByName(placed[2])
-    model = _settled(entries.groupBy("block").applyInArrow(lambda rows: _block(rows, deal), "block int, trie binary"), "trie")
-    for table in (words, *levels):
-        _dropped(table)
+    mass = pairs.groupBy("left").agg((F.sum("n") - DISCOUNT * F.count("*")).alias("mass"))
+    weighed = _weighed(words, mass).select(F.col("key").alias("left"), F.lit(0).cast("bigint").alias("right"), "value", "n")
+    tries = [placed(1, weighed, deal.column("left"))]
+    _dropped(words)
+    mass = leaves.where("trie IS NULL").groupBy("left").agg(F.sum("mass").alias("mass"))
+    tries.append(placed(2, _weighed(pairs, mass), deal.column_of_parts("left", "right")))
+    _dropped(pairs)
+    tries.append(leaves.where("trie IS NOT NULL").select("block", "trie"))
+    model = reduce(DataFrame.unionByName, [trie.select(F.lit(k).alias("level"), "block", "trie") for k, trie in enumerate(tries, 1)])
+    id_type, every = to_arrow_type(kind), float(total["n"] + total["words"] + 1)
 
-    def summed(level: int, turn: int) -> DataFrame:
-        mine = of_words.where(F.pmod("slice", F.lit(TURNS)) == turn)
-        asked = each_slice(mine, level, _asked, "slice bigint, block int, lefts binary, many binary, rights binary")
+    def scored_in(turn: int) -> DataFrame:
+        mine = known.where(F.pmod("slice", F.lit(TURNS)) == turn)
+        asked = each_slice(mine.drop("ids"), partial(_asked, deal=deal), "slice bigint, level int, block int, lefts binary, many binary, rights binary")
         answers = asked.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
-            lambda rows, trie: _answered(rows, trie, level, deal), "slice bigint, block int, values binary, counts binary"
+            lambda rows, blocks: _answered(rows, blocks, deal), "slice bigint, level int, block int, counts binary, weights binary"
         )
         met = mine.groupBy("slice").cogroup(answers.groupBy("slice"))
-        out = "slice bigint, level int, words binary, known binary, logs binary, value binary"
-        return _settled(met.applyInArrow(lambda rows, given: _added(rows, given, level, deal), out), f"sums-{level}")
-
-    sums = reduce(DataFrame.unionByName, [summed(level, turn) for level in (1, 2, 3) for turn in range(TURNS)])
-    id_type = to_arrow_type(kind)
-    scored = known.select("slice", "ids", "held").groupBy("slice").cogroup(sums.groupBy("slice")).applyInArrow(
-        lambda rows, parts: _scored(rows, parts, id_type),
-        f"id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, logs double, value double",
-    )
-    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(total["n"] + total["words"] + 1))
+        out = f"id {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, logs double, value double"
+        return _settled(met.applyInArrow(lambda rows, given: _scored(rows, given, deal, every, id_type), out), "scored")
+
+    scored = reduce(DataFrame.unionByName, [scored_in(turn) for turn in range(TURNS)])
+    for table in (known, *tries):
+        _dropped(table)
+    base = F.col("logs") - F.col("n_tokens") * F.lit(math.log10(every))
     return scored.select(
         F.col("id").alias(id_col),
         "held_out",
@@ -578,5 +622,5 @@ def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "n_known",
         F.lit(total["n"]).cast("bigint").alias("train_tokens"),
         F.round(base, 9).alias("base_score"),
-        F.round(base + F.col("value"), 9).alias("score"),
+        F.round("value", 9).alias("score"),
     )

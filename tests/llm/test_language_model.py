@@ -109,3 +109,28 @@ def test_a_mapped_block_answers_as_a_dictionary(tmp_path):
         got, known = trie.child(k, a, b)
         assert known.tolist() == [(k, *p) in entries for p in pairs] and known.sum() > 100
         assert got.tolist() == [entries.get((k, *p), 0.0) for p in pairs]
+
+
+def test_entries_meet_only_what_their_contexts_lost(spark, monkeypatch):
+    """No level's entries are joined to the lower ones, whose copies filled the disk: three joins in all."""
+    plans, settled = [], language_model._settled
+
+    def seen(frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return settled(frame, name)
+
+    monkeypatch.setattr(language_model, "_settled", seen)
+    rows = [(k, "one two three one two three four") for k in range(9)]
+    assert scores(spark, rows) == plain_scores(rows)
+    assert sum(plan.count("Join ") for plan in plans) == 3
+
+
+def test_a_block_gives_counts_beside_values():
+    deal, rng = language_model.Blocks(1), np.random.default_rng(5)
+    left, right = (np.sort(rng.integers(0, 2**64 - 1, 400, dtype=np.uint64)) for _ in "ab")
+    n = rng.integers(1, 10**6, 400)
+    rows = pa.table({"block": np.zeros(400, np.int32), "level": np.full(400, 3), "left": left.view(np.int64), "right": right.view(np.int64), "value": n / 8, "n": n})
+    trie = language_model._opened(language_model._block(rows, deal).column("trie")[0].as_py(), deal)
+    value, count = trie.counted(3, left, np.where(np.arange(400) % 2, right, ~right))
+    assert count.tolist() == np.where(np.arange(400) % 2, n, 0).tolist()
+    assert value.tolist() == (count / 8).tolist()
