@@ -74,10 +74,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def tokens(text: bytes) -> np.ndarray:
-    """The hashes of a text's words, A-Z lower-cased, and END."""
-    codes = _LOWER[np.frombuffer(text, np.uint8)]
-    return np.append(span_hashes(codes, *word_bounds(codes)), END)
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """START, the hashes of the words, A-Z lower-cased, and END of every text, and how many these are in each."""
+    codes = _LOWER[np.frombuffer(b" ".join(texts), np.uint8)]
+    starts, ends = word_bounds(codes)
+    begin = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    sizes = np.diff(np.searchsorted(starts, begin)) + 2
+    last = np.cumsum(sizes) - 1
+    out = np.zeros(sizes.sum(), np.uint64)
+    inner = np.ones(len(out), bool)
+    inner[last], inner[last - sizes + 1] = False, False
+    out[inner] = span_hashes(codes, starts, ends)
+    out[last], out[last - sizes + 1] = END, START
+    return out, sizes
 
 
 def held_out(id_: F.Column) -> F.Column:
@@ -142,8 +151,8 @@ class Blocks:
 
 def _slice_row(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     """One slice of (id, held out, text): its tokens as numbers into its list of words."""
-    texts = [np.append(START, tokens(text or b"")) for _, _, text in rows]
-    words, numbers, times = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    found, sizes = tokens([text or b"" for _, _, text in rows])
+    words, numbers, times = np.unique(found, return_inverse=True, return_counts=True)
     order = np.argsort(-times, kind="stable")  # frequent words get low numbers, which take less room
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order), dtype=np.int32)
@@ -155,7 +164,7 @@ def _slice_row(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([uuid.uuid4().int >> 65], pa.int64()), one([r[0] for r in rows], id_type), one([r[1] for r in rows], pa.bool_()),
-            one(np.array([len(t) for t in texts], np.int32), pa.int32()), pa.array([words.tobytes()], pa.binary()),
+            one(sizes.astype(np.int32), pa.int32()), pa.array([words.tobytes()], pa.binary()),
             pa.array([numbers.astype(np.int32).tobytes()], pa.binary()),
         ],
         ["slice", "ids", "held", "sizes", "words", "tokens"],
