@@ -41,6 +41,9 @@ REACH = 20
 PART_BYTES = 8 << 20
 #: Places of rarest terms looked at in one go.
 AT_ONCE = 1 << 20
+#: Rows of a row group of the stored index. A block is megabytes: Parquet's writer would look at its buffer after 100 rows
+#: only, and its reader opens up to 4096 rows of a row group together.
+GROUP_BLOCKS = 1
 
 _IS_WORD = np.zeros(256, bool)
 for _low, _high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
@@ -92,11 +95,12 @@ def _block(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The stored index of the documents, one row a block."""
+    """The stored index of the documents, one row a block. A task holds a block at a time, however many it writes or reads."""
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = frame.schema["id"].dataType.simpleString()
     schema = f"block string, ids array<{kind}>, starts array<bigint>, terms array<binary>, counts array<int>, steps array<int>"
-    return stored(map_slices(frame, _block, schema, "text"), "postings", compression="zstd")
+    options = {"compression": "zstd", "parquet.block.row.count.limit": str(GROUP_BLOCKS)}
+    return stored(map_slices(frame, _block, schema, "text"), "postings", **options)
 
 
 @dataclass

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,13 @@ def test_parts_and_small_steps_change_nothing(tables, monkeypatch):
     assert exact_rows(dc.search(postings, bench)) == exact(rows, items)
 
 
+def test_a_task_holds_one_block_at_a_time(spark):
+    docs = spark.range(3500).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text")).coalesce(1)
+    files = [pq.read_metadata(f.removeprefix("file://")) for f in dc.index(docs).inputFiles()]
+    groups = [m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)]
+    assert sum(groups) == 4 and max(groups) == 1
+
+
 def test_proximity_equals_a_plain_scan(tables):
     rows, items, docs, bench = tables
     for reach in (4, 20):
