@@ -152,6 +152,15 @@ def test_zscore_needs_both_baselines(spark):
         assert {r["seller_id"] for r in got if r["flag_date"] == day(40)} == want
 
 
+def test_zscore_copies_no_statistics_a_metric(spark):
+    """The join copies the statistics to spread hot keys; laid out a metric they would be ten times that on the driver."""
+    marked = found(spark, {1: noisy(1, 40) + [60]})
+    marked = spark.createDataFrame(marked.collect(), marked.schema)
+    members = baselines.with_cohort(spine_frame(spark, {1: noisy(1, 40) + [60]}), sellers_frame(spark, [1]))
+    flags = detectors.zscore_flags(marked, baselines.cohort_stats(members), sellers_frame(spark, [1]))
+    assert flags._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+
+
 def test_direction_up_ignores_a_drop(spark):
     rates = {1: [0.5 + 0.01 * (i % 5) for i in range(40)] + [0.0]}
     marked = rows(found(spark, rates, DEFECT).where(F.col("metric_date") == F.lit(day(40))))

@@ -1,11 +1,13 @@
 """Versioned tables: replaced whole or by month, never seen half."""
 
+import time
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketvane.sources.tables import Table
+from marketvane.sources.tables import RELEASE, Table
+from marketvane.workspace import Workspace
 from tests.helpers import rows
 
 
@@ -117,3 +119,23 @@ def test_old_versions_go(spark, tmp_path):
     assert rows(table.read(), "day", "seller_id") == rows(readings(spark, 4, (1, 2)), "day", "seller_id")
     table.replace(readings(spark, 5, (1,)))
     assert table.current()["number"] == 5
+
+
+def shuffled(spark):
+    """The shuffle blocks on disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [blocks.apply(i).name() for i in range(blocks.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("kind", ["table", "dated", "bucketed"])
+def test_what_a_stored_table_shuffled_goes_with_the_write(spark, tmp_path, kind):
+    space = Workspace(spark, str(tmp_path))
+    key = {"table": [], "dated": ["day"], "bucketed": ["seller_id"]}[kind]
+    before, setting = shuffled(spark), spark.conf.get(RELEASE)
+    stored = getattr(space, kind)("kept", lambda: readings(spark).groupBy("seller_id", "day").agg(F.sum("value").alias("value")), *key)
+    until = time.time() + 10
+    while shuffled(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled(spark) - before and spark.conf.get(RELEASE) == setting
+    assert (stored.read() if kind == "dated" else stored).count() == 36
