@@ -83,3 +83,9 @@ def test_the_command_writes_every_table_and_takes_updates(spark, tmp_path):
     for name in DATED:
         assert {p.split("part_month=")[1][:7] for p in files(name) ^ before[name]} == {"2020-08"}
         assert table(name).count() == rows[name]
+
+
+def test_the_key_report_leaves_no_shuffle_to_its_reader(spark):
+    """Each table's checks are stored one after another; in one plan the shuffles of all would be on disk together."""
+    plan = warehouse(spark, FOLDER).key_report()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan parquet" in plan
